@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
@@ -14,6 +15,14 @@ def _reader(spark: SparkSession, url: str, fetch_rows: int, options: Mapping[str
     return spark.read.format("jdbc").options(**(options or {})).option("url", url).option("fetchsize", fetch_rows)
 
 
+def _bound(value: object) -> str:
+    """A stride bound as the source wants it: whole numbers, dates and timestamps as text.
+
+    Bounds only place the strides, they filter nothing, so a fraction may be cut off.
+    """
+    return str(int(value) if isinstance(value, (Decimal, float)) else value)
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -52,8 +61,8 @@ def read_jdbc(
         return reader.load()
     return (
         reader.option("partitionColumn", partition_column)
-        .option("lowerBound", lowest)
-        .option("upperBound", highest)
+        .option("lowerBound", _bound(lowest))
+        .option("upperBound", _bound(highest))
         .option("numPartitions", num_partitions)
         .load()
     )
