@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldnorm.functions.text import column, is_text
 from fieldnorm.operators.readings import Readings
-from fieldnorm.spec import SENTINELS, FieldSpec, resolve
+from fieldnorm.spec import SENTINELS, FieldSpec
 
 
 def normalize(df: DataFrame, specs: Sequence[FieldSpec], sentinels: Iterable[str] = SENTINELS) -> DataFrame:
@@ -45,8 +45,9 @@ def preview(
     """The specified columns of a few normalised rows: the first by ``key``, or any.
 
     The rows are picked from the source before anything is converted, so only these few
-    are normalised; with a key Spark keeps just ``rows`` candidates per task.
+    are normalised. With a key that is one top-k operator: each task keeps its ``rows``
+    best, and the table is not sorted.
     """
-    spelling = resolve(df.columns, specs)
     picked = (df if key is None else df.orderBy(column(key))).limit(rows)
-    return normalize(picked, specs, sentinels).select(*(column(spelling[spec.column]) for spec in specs))
+    readings = Readings(picked, specs, sentinels, stacked=False)
+    return readings.df.select(*(readings.result(spec).alias(readings.spelling[spec.column]) for spec in specs))

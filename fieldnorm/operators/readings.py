@@ -37,9 +37,16 @@ def wrong_shape(value: Column, op: str) -> Column:
 
 
 class Readings:
-    """The rows of a table (``df``) with the decoded values of every field beside them."""
+    """The rows of a table (``df``) with the decoded values of every field beside them.
 
-    def __init__(self, source: DataFrame, specs: Sequence[FieldSpec], sentinels: Iterable[str]):
+    With ``stacked=False`` nothing is put beside them: every result is one nested
+    expression over ``source``. For a handful of rows that costs nothing, and a single
+    projection over a sort and a limit still becomes one top-k operator.
+    """
+
+    def __init__(
+        self, source: DataFrame, specs: Sequence[FieldSpec], sentinels: Iterable[str], stacked: bool = True
+    ):
         self.specs = tuple(specs)
         self.sentinels = tuple(sentinels)
         self.spelling = resolve(source.columns, self.specs)
@@ -48,7 +55,9 @@ class Readings:
             self._prefix += "_"
 
         names = list(dict.fromkeys(self.spelling.values()))
-        with_text = source.withColumns({self._step("text", name): field_text(source, name) for name in names})
+        self._steps: dict[str, Column] = {}
+        self.df = source
+        self._add({self._step("text", name): field_text(source, name) for name in names}, stacked)
         decoded = {}
         for spec in self.specs:
             if spec.op == AMOUNT:
@@ -56,13 +65,20 @@ class Readings:
                 decoded[self._step("units", name)] = enc.whole_units(self._text(name))
             if (name := self._date_name(spec)) is not None:
                 decoded[self._step("digits", name)] = enc.iso_text(self._text(name), self.sentinels)
-        self.df = with_text.withColumns(decoded) if decoded else with_text
+        self._add(decoded, stacked)
+
+    def _add(self, values: dict[str, Column], stacked: bool) -> None:
+        if stacked and values:
+            self.df = self.df.withColumns(values)
+            self._steps.update({name: column(name) for name in values})
+        else:
+            self._steps.update(values)
 
     def _step(self, kind: str, name: str) -> str:
         return f"{self._prefix}_{kind}_{name}"
 
     def _text(self, name: str) -> Column:
-        return column(self._step("text", name))
+        return self._steps[self._step("text", name)]
 
     def _date_name(self, spec: FieldSpec) -> str | None:
         """The column that holds the date of the field: its own, or the linked one."""
@@ -71,13 +87,13 @@ class Readings:
         return self.spelling[spec.date_column] if spec.date_column else None
 
     def _digits(self, spec: FieldSpec) -> Column:
-        return column(self._step("digits", self._date_name(spec)))
+        return self._steps[self._step("digits", self._date_name(spec))]
 
     def _undated(self, spec: FieldSpec) -> Column:
         return enc.as_date(self._digits(spec)).isNull()
 
     def _units(self, spec: FieldSpec) -> Column:
-        return column(self._step("units", self.spelling[spec.column]))
+        return self._steps[self._step("units", self.spelling[spec.column])]
 
     def result(self, spec: FieldSpec) -> Column:
         """The normalised text of the field."""

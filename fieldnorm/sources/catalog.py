@@ -119,10 +119,10 @@ def create_empty_like(
 ) -> None:
     """Create ``new_table`` with the structure of ``table`` and no rows.
 
-    Format, options, partitioning, buckets, properties, comments, column defaults and
-    NOT NULL are kept. Columns in ``widths`` become nullable VARCHAR of that width with no
-    default, since a default for raw values does not fit normalised ones. The new table is
-    managed even if the old one is external.
+    Format, options, partitioning, buckets, properties, comments and column defaults are
+    kept. Columns in ``widths`` become VARCHAR of that width with no default, since a
+    default for raw values does not fit normalised ones. The new table is managed even if
+    the old one is external.
     """
     details = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} AS JSON").first()[0])
     if details.get("type") not in ("MANAGED", "EXTERNAL"):
@@ -137,8 +137,6 @@ def create_empty_like(
         name = "`" + profile.column_name.replace("`", "``") + "`"
         width = retyped.get(profile.column_name.upper())
         parts = [name, profile.data_type if width is None else f"VARCHAR({width})"]
-        if width is None and not info.get("nullable", True):
-            parts.append("NOT NULL")
         if width is None and info.get("default"):
             parts.append(f"DEFAULT {info['default']}")
         if info.get("comment"):

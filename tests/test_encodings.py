@@ -1,0 +1,190 @@
+"""Golden values of the column functions, under both ANSI settings and several time zones."""
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldnorm import FieldSpec, normalize, source_quality
+from fieldnorm.functions import amount_text, date_text, parse_date, text_view, timestamp_text, trim_strings
+from fieldnorm.functions import truncate_last_2 as drop_last_2
+
+DATES = {
+    "250131": "31_01-2025",
+    "691231": "31_12-2069",
+    "700101": "01_01-1970",
+    "20250131": "31_01-2025",
+    "2025-01-31": "31_01-2025",
+    "2025-01-31T10": "31_01-2025",
+    "2025-01-31 junk": "31_01-2025",
+    " 250131  ": "31_01-2025",
+    "20000229": "29_02-2000",
+    "20111230": "30_12-2011",  # a day that one time zone skipped
+    "250131\n": "31_01-2025",
+    "250131\r\n": "31_01-2025",
+    "2025-01-31\n": "31_01-2025",
+}
+NO_DATES = [None, "", "   ", "000000"]
+BAD_DATES = [
+    "00000000",
+    "251301",
+    "20250230",
+    "19000229",
+    "50101",
+    "31/01/2025",
+    "2025-01-31junk",
+    "2025-1-31",
+    "\t250131",
+    "20250131\n",
+    "2501311",
+    "25013a",
+    "２５０１３１",
+]
+TIMES = {
+    ("12345678", "250131"): "31_01-2025 12:34:56",
+    ("00000000", "250131"): "31_01-2025 00:00:00",
+    ("23595999", "2025-01-31"): "31_01-2025 23:59:59",
+    ("02300000", "250309"): "09_03-2025 02:30:00",  # a time that New York skipped
+    ("123456", "250131"): "31_01-2025 12:34:56",
+    ("24000000", "250131"): None,
+    ("12600000", "250131"): None,
+    ("12006000", "250131"): None,
+    ("1234", "250131"): None,
+    ("+1234567", "250131"): None,
+    ("", "250131"): None,
+    (None, "250131"): None,
+    ("12345678", "000000"): None,
+    ("12345678", None): None,
+    ("12345678", "20250230"): None,
+}
+AMOUNTS = {
+    "50000": "500.00",
+    "50000.00": "500.00",
+    "50000.0000000000": "500.00",
+    "-5": "-0.05",
+    "0": "0.00",
+    "-0": "0.00",
+    "9999999999999999999": "99999999999999999.99",
+    "-9999999999999999999": "-99999999999999999.99",
+    "000000000000000000012345": "123.45",
+    "5.00": "0.05",  # converted before: read as five minor units
+    " 7 ": "0.07",
+    "7.0\n": "0.07",
+    "12345678901234567890": None,
+    "12a": None,
+    "-": None,
+    ".00": None,
+    "": None,
+    None: None,
+}
+CODES = {"100": "1", "1234500": "12345", " 100 ": "1", "": None, "  ": None, None: None, "00": "", "5": ""}
+
+
+def values(spark, inputs, function):
+    """What ``function`` makes of each input, by position."""
+    rows = [(i, *(value if isinstance(value, tuple) else (value,))) for i, value in enumerate(inputs)]
+    width = len(rows[0]) - 1
+    names = [f"v{i}" for i in range(width)]
+    df = spark.createDataFrame(rows, "i int, " + ", ".join(f"{name} string" for name in names))
+    shown = df.select("i", function(*(text_view(F.col(name)) for name in names)).alias("out"))
+    return [row.out for row in shown.orderBy("i").collect()]
+
+
+def counters(spark, spec, value, date=None):
+    df = spark.createDataFrame([(value, date)], "c string, d string")
+    return {name for name, count in source_quality(df, [spec]).first().asDict().items() if count}
+
+
+def test_dates(spark, ansi, zone):
+    assert values(spark, DATES, date_text) == list(DATES.values())
+    assert values(spark, NO_DATES + BAD_DATES, date_text) == [None] * len(NO_DATES + BAD_DATES)
+    assert values(spark, ["20111230"], parse_date) == [datetime.date(2011, 12, 30)]
+
+
+def test_date_checks(spark, ansi):
+    spec = FieldSpec("c", "DATE")
+    rows = [(value,) for value in [*DATES, *NO_DATES]]
+    assert source_quality(spark.createDataFrame(rows, "c string"), [spec]).first().BAD_c == 0
+    bad = spark.createDataFrame([(value,) for value in BAD_DATES], "c string")
+    assert source_quality(bad, [spec]).first().BAD_c == len(BAD_DATES)
+
+
+def test_other_sentinels(spark):
+    df = spark.createDataFrame([("999999",), ("000000",)], "c string")
+    spec = FieldSpec("c", "DATE")
+    assert source_quality(df, [spec], ("999999",)).first().BAD_c == 1
+    assert source_quality(df, [spec], ()).first().BAD_c == 2
+
+
+def test_timestamps(spark, ansi, zone):
+    assert values(spark, TIMES, timestamp_text) == list(TIMES.values())
+
+
+def test_timestamp_checks(spark, ansi):
+    spec = FieldSpec("c", "TIMESTAMP", date_column="d")
+    assert counters(spark, spec, "12345678", "250131") == set()
+    assert counters(spark, spec, "00000000", "250131") == set()
+    assert counters(spark, spec, "12345678\n", "250131") == set()
+    assert counters(spark, spec, "  ", None) == set()
+    for bad in ("24000000", "12600000", "12006000", "123456", "123456789", "1234567a", "ab"):
+        assert counters(spark, spec, bad, "250131") == {"BAD_c"}
+    for missing in (None, "000000", "", "20250230"):
+        assert counters(spark, spec, "12345678", missing) == {"NO_DATE_c"}
+
+
+def test_amounts(spark, ansi):
+    assert values(spark, AMOUNTS, amount_text) == list(AMOUNTS.values())
+
+
+def test_amount_checks(spark, ansi):
+    spec = FieldSpec("c", "AMOUNT")
+    for fine in ("50000", "50000.00", "-5", "000000000000000000012345", "5.00", "", None, "7.0\n"):
+        assert counters(spark, spec, fine) == set()
+    for bad in ("500.50", "+5", "1e5"):
+        assert counters(spark, spec, bad) == {"BAD_c"}
+    for junk in ("12a", "-", ".00"):
+        assert counters(spark, spec, junk) == {"BAD_c", "OVERFLOW_c"}
+    assert counters(spark, spec, "12345678901234567890") == {"OVERFLOW_c"}
+
+
+def test_codes(spark, ansi):
+    assert values(spark, CODES, drop_last_2) == list(CODES.values())
+
+
+def test_code_checks(spark, ansi):
+    spec = FieldSpec("c", "TRUNCATE_LAST_2")
+    for fine in ("100", "1234500", "1" * 17 + "00", "", None):
+        assert counters(spark, spec, fine) == set()
+    for bad in ("00", "12345", "-100", "1" * 18 + "00", "1a00"):
+        assert counters(spark, spec, bad) == {"BAD_c"}
+
+
+def test_typed_sources(spark, ansi, zone):
+    df = spark.sql(
+        "SELECT DATE'2025-01-31' AS d, TIMESTAMP'2025-01-31 10:00:00' AS t, TIMESTAMP_NTZ'2025-01-31 10:00:00' AS n, "
+        "CAST(50000 AS DECIMAL(30,10)) AS a, CAST(0 AS DECIMAL(38,10)) AS z, CAST(1234567 AS DECIMAL(12,2)) AS s, "
+        "-5L AS b, CAST(12345678901234567.00 AS DECIMAL(38,18)) AS w"
+    )
+    specs = [FieldSpec(name, "DATE") for name in "dtn"] + [FieldSpec(name, "AMOUNT") for name in "azsbw"]
+    assert all(count == 0 for count in source_quality(df, specs).first())
+    expected = ("31_01-2025", "31_01-2025", "31_01-2025", "500.00", "0.00", "12345.67", "-0.05", "123456789012345.67")
+    assert tuple(normalize(df, specs).first()) == expected
+
+
+def test_number_dates_lose_zeros(spark):
+    df = spark.createDataFrame([(Decimal("50101"),), (Decimal("20250131"),)], "c decimal(8,0)")
+    assert source_quality(df, [FieldSpec("c", "DATE")]).first().BAD_c == 1
+
+
+def test_trim_strings(spark):
+    df = spark.createDataFrame([("  a ", 1), (None, 2), ("\ta", 3), ("  ", 4)], "s string, n int")
+    assert [tuple(row) for row in trim_strings(df).orderBy("n").collect()] == [("a", 1), (None, 2), ("\ta", 3), ("", 4)]
+
+
+@pytest.mark.parametrize("name", ["a.b", "with space", "tick`ed"])
+def test_odd_column_names(spark, name):
+    df = spark.createDataFrame([(" 250131 ", " x ")], [name, "other.one"])
+    specs = [FieldSpec(name, "DATE")]
+    assert tuple(normalize(df, specs).first()) == ("31_01-2025", "x")
+    assert source_quality(df, specs).first()[0] == 0
