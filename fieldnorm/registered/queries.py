@@ -23,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 CODE_SPECS = (FieldSpec("CODE", TRUNCATE_LAST_2),)
 RUN_DATE = date(2026, 1, 31)
 
+_scratch: list[str] = []
+
 
 def _texts(df: DataFrame, *names: str) -> list[Column]:
     return [field_text(df, name) for name in names]
@@ -68,11 +70,18 @@ def _scratch_table(spark: SparkSession, rows: DataFrame) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     location = f" LOCATION '{shared.rstrip('/')}/{database}'" if shared else ""
     spark.sql(f"CREATE DATABASE {database}{location}")
+    _scratch.append(database)
     table = f"{database}.card_rows"
     rows.write.saveAsTable(table)
     return table
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the databases this process made, once nobody reads their tables any more."""
+    while _scratch:
+        spark.sql(f"DROP DATABASE IF EXISTS {_scratch.pop()} CASCADE")
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
     """A raw table, its verified staging table and the row count of both."""
     table = _scratch_table(spark, raw_pos(spark, sf_dir))
@@ -87,8 +96,8 @@ def schema_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count_reconcile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, stage, _ = _staged(spark, sf_dir)
-    return reconcile(spark.table(table), spark.table(stage))
+    raw = raw_pos(spark, sf_dir)
+    return reconcile(raw, normalize(raw, POS_SPECS))
 
 
 def backup_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:

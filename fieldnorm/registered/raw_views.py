@@ -25,12 +25,16 @@ def _two_digits(value: Column) -> Column:
 def raw_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card-terminal rows from ``orders``: every accepted date encoding, blanks, sentinels,
     signed amounts and amounts with a zero fraction."""
-    key = F.col("o_orderkey")
-    stamp = F.substring(F.col("o_orderdate").cast("string"), 1, 19)
-    dashed = F.substring(stamp, 1, 10)
-    long = F.translate(dashed, "-", "")
-    short = F.substring(long, 3, 6)
-    cents = _cents(F.col("o_totalprice"))
+    rows = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"),
+        F.substring(F.col("o_orderdate").cast("string"), 1, 19).alias("stamp"),
+        _cents(F.col("o_totalprice")).alias("cents"),
+        "o_orderpriority",
+    )
+    rows = rows.withColumn("dashed", F.substring("stamp", 1, 10))
+    rows = rows.withColumn("long", F.translate("dashed", "-", ""))
+    rows = rows.withColumn("short", F.substring("long", 3, 6))
+    key, stamp, cents, dashed, long, short = map(F.col, ("k", "stamp", "cents", "dashed", "long", "short"))
 
     style = key % 6
     begin_date = (
@@ -50,8 +54,8 @@ def raw_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 10 == 1, F.concat(cents, F.lit(".00")))
         .otherwise(cents)
     )
-    return read_table(spark, sf_dir, "orders").select(
-        key.alias("k"),
+    return rows.select(
+        key,
         begin_date.alias("TRN_BGN_DATE"),
         begin_time.alias("TRN_BGN_TIME"),
         long.alias("POST_DATE"),
@@ -84,14 +88,18 @@ def raw_pos_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_atm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cash-machine rows from ``events``: dates with a time part, hundredths of a second."""
-    key = F.col("event_id")
-    stamp = F.col("ts").cast("string")
-    dashed = F.substring(stamp, 1, 10)
-    long = F.translate(dashed, "-", "")
+    rows = read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("k"),
+        F.col("ts").cast("string").alias("stamp"),
+        _cents(F.col("value")).alias("cents"),
+        "event_type",
+    )
+    rows = rows.withColumn("dashed", F.substring("stamp", 1, 10))
+    rows = rows.withColumn("long", F.translate("dashed", "-", ""))
+    key, stamp, cents, dashed, long = map(F.col, ("k", "stamp", "cents", "dashed", "long"))
     hundredths = F.rpad(F.substring(stamp, 21, 2), 2, "0")
-    cents = _cents(F.col("value"))
-    return read_table(spark, sf_dir, "events").select(
-        key.alias("k"),
+    return rows.select(
+        key,
         F.substring(long, 3, 6).alias("DATE_TRN_BGN"),
         long.alias("POST_DATE"),
         stamp.alias("ACQ_ICHG_SETL_DATE"),

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from fieldnorm.registered.queries import drop_scratch  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -17,11 +19,11 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
-        .config("spark.checkpoint.dir", str(home / "shared"))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 
