@@ -38,8 +38,8 @@ def run_job(
     backup of the target exists.
 
     The rows are scanned once for all checks (only the mapped columns), once for the backup
-    and once for the stage. The files of a catalog table are fixed when it is first read,
-    so the three scans see the same rows.
+    and once for the stage. Nobody else should write to the source meanwhile: if the number
+    of rows changes between the scans, the run stops before the target is replaced.
     """
     tune(spark)
     sentinels = tuple(sentinels)
