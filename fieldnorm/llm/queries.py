@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldnorm.llm.decontaminate import contamination
+from fieldnorm.llm.language import fold, identify, learn
+from fieldnorm.llm.licenses import license_scan
 from fieldnorm.llm.lines import line_report
+from fieldnorm.llm.packing import pack_documents
 from fieldnorm.llm.quality import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +29,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    found = identify(docs, learn(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -34,8 +45,19 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_language_id": op2_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op8_line_dedup": op8_line_dedup,
+    "op9_license_scan": op9_license_scan,
+    "op10_packing": op10_packing,
 }
