@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldnorm.llm.decontaminate import contamination
 from fieldnorm.llm.language import fold, identify, learn
+from fieldnorm.llm.language_model import score_texts
 from fieldnorm.llm.licenses import license_scan
 from fieldnorm.llm.lines import line_report
 from fieldnorm.llm.packing import pack_documents
@@ -36,6 +37,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
+    return score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_license_scan": op9_license_scan,
