@@ -13,6 +13,7 @@ from fieldnorm.llm.language import fold, identify, learn
 from fieldnorm.llm.language_model import score_texts
 from fieldnorm.llm.licenses import license_scan
 from fieldnorm.llm.lines import line_report
+from fieldnorm.llm.near_dedup import near_duplicates
 from fieldnorm.llm.packing import pack_documents
 from fieldnorm.llm.quality import quality_rules
 
@@ -37,6 +38,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
     return score_texts(table(spark, sf_dir, "documents"), held_out)
@@ -62,6 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
     "op8_line_dedup": op8_line_dedup,
