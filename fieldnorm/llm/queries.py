@@ -16,6 +16,7 @@ from fieldnorm.llm.lines import line_report
 from fieldnorm.llm.near_dedup import near_duplicates
 from fieldnorm.llm.packing import pack_documents
 from fieldnorm.llm.quality import quality_rules
+from fieldnorm.llm.substrings import without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +53,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = line_report(table(spark, sf_dir, "documents"))
     return report.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_packing": op10_packing,
