@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldnorm.llm.decontaminate import decontaminate
 from fieldnorm.llm.lines import dedup_lines
+from fieldnorm.llm.near_dedup import near_dedup
+from fieldnorm.llm.packing import pack_documents
 from fieldnorm.llm.quality import apply_quality_rules
 from fieldnorm.llm.storage import stored
 
@@ -22,14 +25,24 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_stage),
     ("line dedup", line_stage),
+    ("MinHash near-dedup", near_dedup_stage),
     ("benchmark decontamination", decontamination_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 #: No SQL: packing tokenizes texts.

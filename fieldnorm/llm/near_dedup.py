@@ -1,6 +1,7 @@
 """Near-duplicate documents by min-max hashing.
 
-A document is the set of its distinct shingles (two words; a single word stands for itself).
+A document is the set of its distinct shingles of ``size`` words; one of fewer words, but not
+none, has a single shingle.
 ``HASHES`` permutations are evaluated once each, and both the minimum and the maximum are
 kept: twice as many values for the same work, each equal for two sets with the probability of
 their similarity. Bands of ``ROWS`` values from different permutations make buckets; two sets
@@ -43,7 +44,7 @@ from fieldnorm.llm.words import mixed, slices, windows, words_of
 BANDS = 48
 ROWS = 6  # half of them minima, half maxima
 HASHES = BANDS * ROWS // 2
-SIZE = 2
+SIZE = 5  # words of a shingle
 #: Pairs whose sketches agree less are not confirmed: six standard deviations below 0.8.
 LEAST_AGREEMENT = 0.65
 _KEPT_BYTES = 5  # of each shingle's hash, in sets that are compared
@@ -54,13 +55,13 @@ _SKETCH = T.StructType(
 )
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """Sorted hashes of each text's distinct shingles."""
     words = words_of(texts, signs=False, lower=True)
-    pairs = windows(words.hash, SIZE)
+    shingles = windows(words.hash, size)
     out = []
     for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-        out.append(np.unique(pairs[a : b - SIZE + 1]) if b - a >= SIZE else windows(words.hash[a:b], b - a) if b > a else pairs[:0])
+        out.append(np.unique(shingles[a : b - size + 1]) if b - a >= size else windows(words.hash[a:b], b - a) if b > a else shingles[:0])
     return out
 
 
@@ -94,36 +95,39 @@ def _bands(values: np.ndarray) -> np.ndarray:
     return out.T
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 40
-    for batch in batches:
-        for part in slices(batch, "text"):
-            sets = shingle_sets(part.column("text"))
-            full = np.flatnonzero([len(own) > 0 for own in sets])
-            bands, sketches = [[]] * len(sets), [b""] * len(sets)
-            if len(full):
-                values = min_max([sets[k] for k in full])
-                keys, low = _bands(values).view(np.int64), values.T.astype(np.uint8)
-                for row, own, sketch in zip(full.tolist(), keys, low, strict=True):
-                    bands[row], sketches[row] = own, sketch.tobytes()
-            salt = np.uint64(0x5851F42D4C957F2D)
-            sums = [[int(mixed(own ^ s).sum().view(np.int64)) for own in sets] for s in (np.uint64(0), salt)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(number, number + part.num_rows)),
-                    part.column("doc_id"),
-                    part.column("text_hash"),
-                    pa.array([len(own) for own in sets], pa.int64()),
-                    *[pa.array(x, pa.int64()) for x in sums],
-                    pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(sketches, pa.binary()),
-                ],
-                names=_SKETCH.names,
-            )
-            number += part.num_rows
-
-
-def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _sketch(size: int):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingle_sets(part.column("text"), size)
+                full = np.flatnonzero([len(own) > 0 for own in sets])
+                bands, sketches = [[]] * len(sets), [b""] * len(sets)
+                if len(full):
+                    values = min_max([sets[k] for k in full])
+                    keys, low = _bands(values).view(np.int64), values.T.astype(np.uint8)
+                    for row, own, sketch in zip(full.tolist(), keys, low, strict=True):
+                        bands[row], sketches[row] = own, sketch.tobytes()
+                salt = np.uint64(0x5851F42D4C957F2D)
+                sums = [[int(mixed(own ^ s).sum().view(np.int64)) for own in sets] for s in (np.uint64(0), salt)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.arange(number, number + part.num_rows)),
+                        part.column("doc_id"),
+                        part.column("text_hash"),
+                        pa.array([len(own) for own in sets], pa.int64()),
+                        *[pa.array(x, pa.int64()) for x in sums],
+                        pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.binary()),
+                    ],
+                    names=_SKETCH.names,
+                )
+                number += part.num_rows
+
+    return scan
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """The sets of the given nodes (node, doc_id, text_hash): node, n, members."""
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(nodes, F.xxhash64("doc_id", "text_hash")))
 
@@ -131,7 +135,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(may_hold(wanted.value, batch.column("both").to_numpy())))
             for part in slices(batch, "text"):
-                sets = shingle_sets(part.column("text"))
+                sets = shingle_sets(part.column("text"), size)
                 kept = [own.view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES].tobytes() for own in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_hash"), pa.array([len(own) for own in sets], pa.int64()), pa.array(kept, pa.binary())],
@@ -170,8 +174,8 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Candidates:
     """Candidate pairs of nodes, by their sketches and then by their full sets."""
 
-    def __init__(self, docs: DataFrame, sketches: DataFrame, nodes: DataFrame):
-        self.docs = docs
+    def __init__(self, docs: DataFrame, sketches: DataFrame, nodes: DataFrame, size: int):
+        self.docs, self.size = docs, size
         self.nodes = stored(
             sketches.join(nodes.select(F.col("node").alias("row")), "row").select(
                 F.col("row").alias("node"), "doc_id", "text_hash", "n_shingles", "sketch"
@@ -192,7 +196,7 @@ class _Candidates:
         )
         fair = stored(fair.mapInArrow(_agreeing, "a long, b long"), "pairs")
         used = fair.select(F.col("a").alias("node")).union(fair.select(F.col("b"))).distinct()
-        sets = _sets_of(self.docs, self.nodes.select("node", "doc_id", "text_hash").join(used, "node"))
+        sets = _sets_of(self.docs, self.nodes.select("node", "doc_id", "text_hash").join(used, "node"), self.size)
         return stored(self._with(fair, sets, "n", "members").mapInArrow(_linked, "a long, b long"), "similar")
 
 
@@ -200,10 +204,10 @@ def _pairs(df: DataFrame, one: str, other: str) -> DataFrame:
     return df.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).where("a < b").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     """One row per document: doc_id, text_hash, n_shingles, component_id, kept."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    sketches = stored(keyed.mapInArrow(_sketch, _SKETCH), "sketches")
+    sketches = stored(keyed.mapInArrow(_sketch(size), _SKETCH), "sketches")
     full = sketches.where("n_shingles > 0 and doc_id is not null")
     same = ["set_a", "set_b", "n_shingles"]
     nodes = full.groupBy(*same).agg(F.min("row").alias("node"))
@@ -211,7 +215,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = full.join(nodes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.explode("bands").alias("bucket"))
     shared = own.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     buckets = stored(own.join(shared, "bucket"), "buckets")
-    candidates = _Candidates(keyed, sketches, buckets.select("node").distinct())
+    candidates = _Candidates(keyed, sketches, buckets.select("node").distinct(), size)
 
     firsts = buckets.groupBy("node").agg(F.min("first").alias("other"))
     links = candidates.links(_pairs(firsts, "node", "other"))
@@ -245,12 +249,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     """The documents that are kept: one of each component. All columns stay.
 
     Rows that repeat both id and text are the same document and stay or go together.
     """
     doc_id, text_hash = free_name(docs, "kept_id"), free_name(docs, "kept_hash")
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)).distinct()
+    kept = near_duplicates(docs, size=size).where("kept").select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
     return docs.join(kept, same, "left_semi").select(*docs.columns)

@@ -13,6 +13,8 @@ from fieldnorm.llm.language import fold, identify, learn
 from fieldnorm.llm.language_model import score_texts
 from fieldnorm.llm.licenses import license_scan
 from fieldnorm.llm.lines import line_report
+from fieldnorm.llm.main_text import extract
+from fieldnorm.llm.main_text import learn as learn_pages
 from fieldnorm.llm.near_dedup import near_duplicates
 from fieldnorm.llm.packing import pack_documents
 from fieldnorm.llm.quality import quality_rules
@@ -40,7 +42,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(spark, sf_dir, "documents"), size=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
@@ -53,6 +55,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, learn_pages(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = without_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -77,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_extraction": op6_html_extraction,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_license_scan": op9_license_scan,
