@@ -36,6 +36,7 @@ TIMESTAMP_SHAPE = r"^\d{2}_\d{2}-\d{4} \d{2}:\d{2}:\d{2}$"  # dd_MM-yyyy HH:mm:s
 AMOUNT_SHAPE = r"^-?\d+\.\d{2}$"
 SHORT_CODE_SHAPE = r"^\d{1,17}$"
 SHORT_CODE_WIDTH = 17
+ISO_DATE = r"^(\d{4})-(\d{2})-(\d{2})$"  # how a date prints
 
 
 def is_sentinel(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
@@ -66,10 +67,9 @@ def as_date(iso: Column) -> Column:
     return iso.try_cast("date")
 
 
-def date_layout(iso: Column) -> Column:
-    """``yyyy-MM-dd`` digits rearranged to ``dd_MM-yyyy``; null if not a calendar date."""
-    day, month, year = F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4)
-    return F.when(as_date(iso).isNotNull(), F.concat(day, F.lit("_"), month, F.lit("-"), year))
+def date_layout(day: Column) -> Column:
+    """A calendar date as ``dd_MM-yyyy``, printed once from its ISO text."""
+    return F.regexp_replace(day.cast("string"), ISO_DATE, "$3_$2-$1")
 
 
 def parse_date(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
@@ -79,7 +79,7 @@ def parse_date(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
 
 def date_text(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
     """Any accepted date encoding as ``dd_MM-yyyy``."""
-    return date_layout(iso_text(text, sentinels))
+    return date_layout(parse_date(text, sentinels))
 
 
 def clock_layout(time: Column, date_shown: Column) -> Column:

@@ -2,6 +2,7 @@ from fieldnorm.operators.normalize import normalize, preview
 from fieldnorm.operators.quality import (
     QualityError,
     counted_output_quality,
+    filled,
     output_quality,
     quality_pass,
     require_clean,
@@ -12,6 +13,7 @@ from fieldnorm.operators.reconcile import reconcile
 __all__ = [
     "QualityError",
     "counted_output_quality",
+    "filled",
     "normalize",
     "output_quality",
     "preview",

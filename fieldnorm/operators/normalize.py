@@ -12,23 +12,27 @@ from fieldnorm.operators.readings import Readings
 from fieldnorm.spec import SENTINELS, FieldSpec
 
 
-def normalize(df: DataFrame, specs: Sequence[FieldSpec], sentinels: Iterable[str] = SENTINELS) -> DataFrame:
+def normalize(
+    df: DataFrame, specs: Sequence[FieldSpec], sentinels: Iterable[str] = SENTINELS, untrimmed: Iterable[str] = ()
+) -> DataFrame:
     """Replace every specified column by its normalised text, in place.
 
     Row count, column order and the spelling of column names are kept. Other text columns
-    are trimmed (an all-blank value becomes ``""``), other types pass through. All
+    are trimmed (an all-blank value becomes ``""``) unless named in ``untrimmed`` (partition
+    columns, where a trimmed value is another partition), other types pass through. All
     expressions read source values, so a timestamp sees its date column in raw form. The
     whole table is one narrow pass: no shuffle, no Python.
 
     Apply it to raw values only; see ``amount_text`` for what a second run would do.
     """
     readings = Readings(df, specs, sentinels)
+    as_is = {name.upper() for name in untrimmed}
     mapped = {readings.spelling[spec.column]: spec for spec in specs}
 
     def shown(field):
         if field.name in mapped:
             return readings.result(mapped[field.name]).alias(field.name)
-        if is_text(field.dataType):
+        if is_text(field.dataType) and field.name.upper() not in as_is:
             return F.trim(column(field.name)).alias(field.name)
         return column(field.name)
 

@@ -18,6 +18,7 @@ from fieldnorm.spec import SENTINELS, FieldSpec, resolve
 
 ROWS = "ROWS"
 OUTPUT_PREFIX = "OUTPUT_"
+FILLED_PREFIX = "FILLED_"
 
 
 class QualityError(ValueError):
@@ -53,8 +54,18 @@ def output_quality(df: DataFrame, specs: Sequence[FieldSpec]) -> DataFrame:
 
 
 def counted_output_quality(df: DataFrame, specs: Sequence[FieldSpec]) -> DataFrame:
-    """``output_quality`` and the row count (``ROWS``) from the same scan."""
-    return df.agg(F.count("*").alias(ROWS), *_counted(_stored_faults(df, specs)))
+    """``output_quality``, the row count (``ROWS``) and the values that are there
+    (``FILLED_c``) from the same scan."""
+    spelling = resolve(df.columns, specs)
+    present = {spec.column: column(spelling[spec.column]) != "" for spec in specs}
+    return df.agg(
+        F.count("*").alias(ROWS), *_counted(_stored_faults(df, specs)), *_counted(present, FILLED_PREFIX)
+    )
+
+
+def filled(report: Row) -> dict[str, int]:
+    """The ``FILLED_c`` counters of a report."""
+    return {name: count for name, count in report.asDict().items() if name.startswith(FILLED_PREFIX)}
 
 
 def _stored_faults(df: DataFrame, specs: Sequence[FieldSpec]) -> dict[str, Column]:
@@ -65,7 +76,7 @@ def _stored_faults(df: DataFrame, specs: Sequence[FieldSpec]) -> dict[str, Colum
 def quality_pass(df: DataFrame, specs: Sequence[FieldSpec], sentinels: Iterable[str] = SENTINELS) -> DataFrame:
     """Row count, source counters and output counters of a raw table in one scan.
 
-    The output counters (``OUTPUT_BAD_c``) are taken on the values ``normalize`` would
+    ``FILLED_c`` counts the raw values that must not become null. The output counters (``OUTPUT_BAD_c``) are taken on the values ``normalize`` would
     write, computed beside the source checks from the same decoded fields.
     """
     readings = Readings(df, specs, sentinels)
@@ -73,11 +84,13 @@ def quality_pass(df: DataFrame, specs: Sequence[FieldSpec], sentinels: Iterable[
     results = {f"{OUTPUT_PREFIX}{i}": spec for i, spec in enumerate(specs)}
     checked = readings.df.select(
         *(flag.alias(name) for name, flag in faults.items()),
+        *(readings.filled(spec).alias(FILLED_PREFIX + spec.column) for spec in specs),
         *(readings.result(spec).alias(name) for name, spec in results.items()),
     )
     return checked.agg(
         F.count("*").alias(ROWS),
         *_counted({name: column(name) for name in faults}),
+        *_counted({spec.column: column(FILLED_PREFIX + spec.column) for spec in specs}, FILLED_PREFIX),
         *_counted({f"BAD_{spec.column}": wrong_shape(F.col(name), spec.op) for name, spec in results.items()}, OUTPUT_PREFIX),
     )
 
@@ -86,13 +99,14 @@ def require_clean(report: DataFrame | Row, label: str, prefix: str | None = None
     """Raise ``QualityError`` if any counter of a one-row report is above zero.
 
     With ``prefix`` only the counters that start with it are looked at; ``""`` selects
-    those that belong to the source. The row count is never a fault. Returns the report.
+    those that belong to the source. The row count and the
+    filled values are no faults. Returns the report.
     """
     row = report.first() if isinstance(report, DataFrame) else report
     counts = row.asDict()
 
     def selected(name: str) -> bool:
-        if name == ROWS:
+        if name == ROWS or name.startswith(FILLED_PREFIX):
             return False
         if prefix is None:
             return True

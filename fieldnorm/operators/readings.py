@@ -64,7 +64,7 @@ class Readings:
                 name = self.spelling[spec.column]
                 decoded[self._step("units", name)] = enc.whole_units(self._text(name))
             if (name := self._date_name(spec)) is not None:
-                decoded[self._step("digits", name)] = enc.iso_text(self._text(name), self.sentinels)
+                decoded[self._step("day", name)] = enc.parse_date(self._text(name), self.sentinels)
         self._add(decoded, stacked)
 
     def _add(self, values: dict[str, Column], stacked: bool) -> None:
@@ -86,11 +86,11 @@ class Readings:
             return self.spelling[spec.column]
         return self.spelling[spec.date_column] if spec.date_column else None
 
-    def _digits(self, spec: FieldSpec) -> Column:
-        return self._steps[self._step("digits", self._date_name(spec))]
+    def _day(self, spec: FieldSpec) -> Column:
+        return self._steps[self._step("day", self._date_name(spec))]
 
     def _undated(self, spec: FieldSpec) -> Column:
-        return enc.as_date(self._digits(spec)).isNull()
+        return self._day(spec).isNull()
 
     def _units(self, spec: FieldSpec) -> Column:
         return self._steps[self._step("units", self.spelling[spec.column])]
@@ -99,13 +99,20 @@ class Readings:
         """The normalised text of the field."""
         text = self._text(self.spelling[spec.column])
         if spec.op == DATE:
-            return enc.date_layout(self._digits(spec))
+            return enc.date_layout(self._day(spec))
         if spec.op == TIMESTAMP:
-            return enc.clock_layout(text, enc.date_layout(self._digits(spec)))
+            return enc.clock_layout(text, enc.date_layout(self._day(spec)))
         if spec.op == AMOUNT:
             return enc.amount_layout(self._units(spec))
         return enc.truncate_last_2(text)
 
+    def filled(self, spec: FieldSpec) -> Column:
+        """Whether the field holds a raw value that must not become null."""
+        text = self._text(self.spelling[spec.column])
+        if spec.op == DATE:
+            return (text != "") & ~enc.is_sentinel(text, self.sentinels)
+        return text != ""
+
     def faults(self) -> dict[str, Column]:
         """What makes a raw value bad, by counter name. Null counts as not bad."""
         flags: dict[str, Column] = {}

@@ -9,11 +9,17 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldnorm.operators.normalize import normalize, preview
-from fieldnorm.operators.quality import OUTPUT_PREFIX, ROWS, quality_pass, require_clean
+from fieldnorm.operators.quality import OUTPUT_PREFIX, ROWS, filled, quality_pass, require_clean
 from fieldnorm.plans import names
 from fieldnorm.plans.publish import publish_swap, refresh_backup, stage_verified
-from fieldnorm.session import tune
-from fieldnorm.sources.catalog import exists, require_absent
+from fieldnorm.session import tuned
+from fieldnorm.sources.catalog import (
+    WorkTableError,
+    exists,
+    partition_columns,
+    require_absent,
+    require_session_catalog,
+)
 from fieldnorm.spec import SENTINELS, FieldSpec
 
 log = logging.getLogger(__name__)
@@ -39,16 +45,34 @@ def run_job(
 
     The rows are scanned once for all checks (only the mapped columns), once for the backup
     and once for the stage. Nobody else should write to the source meanwhile: if the number
-    of rows changes between the scans, the run stops before the target is replaced.
+    of rows, or of values in a mapped column, changes between the scans, the run stops before
+    the target is replaced. Partition columns that are not mapped are left as they are.
+
+    The session's limit for compiled methods is lowered while the run scans and writes, and
+    put back afterwards; a preview is computed later, by whoever asks for its rows.
     """
-    tune(spark)
-    sentinels = tuple(sentinels)
-    raw = spark.table(source) if isinstance(source, str) else source
+    with tuned(spark):
+        return _run(spark, source, specs, target, dry_run, preview_key, tuple(sentinels), run_date)
+
+
+def _run(
+    spark: SparkSession,
+    source: str | DataFrame,
+    specs: Sequence[FieldSpec],
+    target: str | None,
+    dry_run: bool,
+    preview_key: str | None,
+    sentinels: tuple[str, ...],
+    run_date: date | None,
+) -> DataFrame:
     target = source if target is None and isinstance(source, str) else target
     in_place = target is not None and target == source
     if not dry_run and target is None:
         raise ValueError("a publishing run needs a target table")
+    if not dry_run:
+        _require_ready(spark, target)
 
+    raw = spark.table(source) if isinstance(source, str) else source
     report = quality_pass(raw, specs, sentinels).first()
     rows = report[ROWS]
     log.info("%s rows in %s, dry_run=%s", rows, source if isinstance(source, str) else "the source", dry_run)
@@ -58,11 +82,6 @@ def run_job(
         log.info("dry run complete, nothing was changed")
         return preview(raw, specs, preview_key, sentinels=sentinels)
 
-    if not exists(spark, target):
-        raise ValueError(f"target table {target} does not exist")
-    stage, swap_old = names.stage_name(target), names.swap_name(target)
-    require_absent(spark, [stage, swap_old, names.backup_tmp_name(target), names.backup_old_name(target)])
-
     backup = refresh_backup(
         spark,
         target,
@@ -71,7 +90,22 @@ def run_job(
         expected_rows=rows if in_place else None,
     )
     log.info("verified backup %s", backup)
-    stage_verified(spark, normalize(raw, specs, sentinels), target, specs, rows)
-    publish_swap(spark, target, stage, specs, rows)
+    converted = normalize(raw, specs, sentinels, untrimmed=partition_columns(spark, target))
+    stage = stage_verified(spark, converted, target, specs, rows, filled(report))
+    publish_swap(spark, target, stage, specs, rows, in_place)
     log.info("%s published with %s rows, backup %s", target, rows, backup)
     return spark.table(target)
+
+
+def _require_ready(spark: SparkSession, target: str) -> None:
+    """Refuse a run that could not end well, before anything is read or written."""
+    require_session_catalog(spark, target)
+    stage, swap_old = names.stage_name(target), names.swap_name(target)
+    if not exists(spark, target):
+        if exists(spark, swap_old):
+            raise WorkTableError(
+                f"target table {target} does not exist: an earlier run stopped between its renames. "
+                f"The old rows are in {swap_old}" + (f", the new ones in {stage}" if exists(spark, stage) else "")
+            )
+        raise ValueError(f"target table {target} does not exist")
+    require_absent(spark, [stage, swap_old, names.backup_tmp_name(target), names.backup_old_name(target)])

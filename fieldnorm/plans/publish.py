@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import itertools
 import warnings
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldnorm.operators.quality import ROWS, counted_output_quality, require_clean
+from fieldnorm.operators.quality import ROWS, counted_output_quality, filled, require_clean
+from fieldnorm.operators.reconcile import reconcile
 from fieldnorm.plans import names
 from fieldnorm.sources import catalog
 from fieldnorm.spec import FieldSpec, output_widths
@@ -54,6 +55,7 @@ def refresh_backup(
     back if anything fails; a copy that failed is kept. ``source`` is the snapshot of the
     table to copy, by default its present rows.
     """
+    catalog.require_session_catalog(spark, table)
     dated = names.backup_name(table, run_date)
     tmp, old = names.backup_tmp_name(table), names.backup_old_name(table)
     catalog.require_absent(spark, [tmp, old])
@@ -104,13 +106,16 @@ def stage_verified(
     table: str,
     specs: Sequence[FieldSpec],
     expected_rows: int,
+    expected_filled: Mapping[str, int] | None = None,
 ) -> str:
     """Write normalised rows to the staging table of ``table`` and verify them there.
 
     The staging table has the structure of ``table`` with the specified columns as VARCHAR.
-    What was written is read back once for row count and value shapes together. A staging
-    table that fails is kept. Returns its name.
+    What was written is read back once for row count, value shapes and, where the counters of
+    ``quality_pass`` are given as ``expected_filled``, values lost to null. A staging table
+    that fails is kept. Returns its name.
     """
+    catalog.require_session_catalog(spark, table)
     stage = names.stage_name(table)
     widths = output_widths(specs)
     catalog.require_absent(spark, [stage])
@@ -124,37 +129,74 @@ def stage_verified(
             f"{stage} has {written[ROWS]} rows instead of {expected_rows}. {table} is untouched, inspect {stage}."
         )
     require_clean(written, f"check of the values in {stage}")
+    present = filled(written)
+    lost = {name: (count, present[name]) for name, count in (expected_filled or {}).items() if present[name] != count}
+    if lost:
+        raise PublishError(
+            f"{stage} has other numbers of values than the source (expected, found): {lost}. "
+            f"{table} is untouched, inspect {stage}."
+        )
     catalog.require_text_columns(spark, stage, widths)
     return stage
 
 
+def _visible_rows(spark: SparkSession, table: str) -> int:
+    return spark.table(table).count()
+
+
+def _restore(spark: SparkSession, table: str, old: str, rows: int) -> str:
+    """Give the old table its name back; says what came of it."""
+    catalog.rename(spark, old, table)
+    try:
+        found = _visible_rows(spark, table)
+    except Exception as error:
+        return f"{table} has its name back but could not be counted ({error})"
+    if found == rows:
+        return f"{table} is restored"
+    return f"{table} has its name back but shows {found} of {rows} rows, inspect it before anything else"
+
+
 def publish_swap(
-    spark: SparkSession, table: str, stage: str, specs: Sequence[FieldSpec], expected_rows: int
+    spark: SparkSession,
+    table: str,
+    stage: str,
+    specs: Sequence[FieldSpec],
+    expected_rows: int,
+    in_place: bool = False,
 ) -> None:
     """Put a verified staging table in the place of ``table``.
 
     The old table is renamed away, the new one verified in its place, and the old one then
-    dropped. If the new one cannot be verified, for whatever reason, the old table gets its
-    name back and the new rows are kept under the staging name. Failure to drop the old
+    dropped. ``in_place`` says that the new rows were made of the old ones: then both must
+    have as many. If the new one cannot be verified, for whatever reason, the old table gets
+    its name back and the new rows are kept under the staging name. Failure to drop the old
     table at the very end is a warning only.
     """
+    catalog.require_session_catalog(spark, table)
     old = names.swap_name(table)
     catalog.require_absent(spark, [old])
+    before = _visible_rows(spark, table)
     catalog.rename(spark, table, old)
     try:
         catalog.rename(spark, stage, table)
-    except Exception:
-        catalog.rename(spark, old, table)
+    except Exception as error:
+        outcome = _restore(spark, table, old, before)
+        if "restored" not in outcome:
+            raise PublishError(f"swap failed: {error}. {outcome}.") from error
         raise
     try:
         catalog.require_text_columns(spark, table, output_widths(specs))
         rows = row_count(spark, table)
         if rows != expected_rows:
             raise PublishError(f"{table} has {rows} rows instead of {expected_rows}")
+        if in_place:
+            counts = reconcile(spark.table(old), spark.table(table)).first()
+            if not counts.matched:
+                raise PublishError(f"{table} has {counts.target_rows} rows, the old table {counts.source_rows}")
     except Exception as error:
         catalog.rename(spark, table, stage)
-        catalog.rename(spark, old, table)
-        raise PublishError(f"swap failed: {error}. {table} is restored, the new rows are kept as {stage}.") from error
+        outcome = _restore(spark, table, old, before)
+        raise PublishError(f"swap failed: {error}. {outcome}, the new rows are kept as {stage}.") from error
     try:
         catalog.drop(spark, old)
     except Exception as error:

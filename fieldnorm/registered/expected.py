@@ -61,6 +61,17 @@ raw AS (
   FROM events
 )"""
 
+ATM_DIRTY = ATM_RAW.replace("raw AS", "clean AS", 1) + """,
+raw AS (
+  SELECT * REPLACE (
+    CASE k % 100 WHEN 7 THEN '251399' WHEN 17 THEN '2024-02-30' ELSE DATE_TRN_BGN END AS DATE_TRN_BGN,
+    CASE k % 100 WHEN 27 THEN '24000000' WHEN 37 THEN '123456' ELSE TRN_ENTY_TIME END AS TRN_ENTY_TIME,
+    CASE k % 100 WHEN 47 THEN '2024/01/02' ELSE ISS_ICHG_SETL_DATE END AS ISS_ICHG_SETL_DATE,
+    CASE k % 100 WHEN 57 THEN '1e5' ELSE AMT_1 END AS AMT_1,
+    CASE k % 100 WHEN 67 THEN '12a' WHEN 77 THEN '99999999999999999999' ELSE AMT_3 END AS AMT_3
+  ) FROM clean
+)"""
+
 CODES_RAW = """
 raw AS (
   SELECT o_orderkey AS k,
@@ -68,6 +79,13 @@ raw AS (
   FROM orders
 )"""
 
+CODES_DIRTY = CODES_RAW.replace("raw AS", "clean AS", 1) + """,
+raw AS (
+  SELECT k, CASE k % 100 WHEN 7 THEN '12301' WHEN 37 THEN '00' WHEN 47 THEN '12345678901234567800'
+    WHEN 57 THEN '12a00' ELSE CODE END AS CODE
+  FROM clean
+)"""
+
 
 def _date(name: str) -> str:
     x = f"trim({name})"
@@ -183,6 +201,19 @@ def _misshapen(columns: dict[str, str], prefix: str) -> dict[str, str]:
     }
 
 
+def _filled(columns: dict[str, str]) -> dict[str, str]:
+    """Counters of the values that must not become null."""
+    return {
+        f"FILLED_{name}": f"trim({name}) <> ''" + (f" AND trim({name}) <> '000000'" if "dd" in _kind(name) else "")
+        for name in columns
+    }
+
+
+def _kind(name: str) -> str:
+    """What a mapped column of the presets holds, as a pattern of its normalised text."""
+    return "amount" if name.startswith("AMT") else "time" if name.endswith("TIME") else "dd"
+
+
 def _counts(faults: dict[str, str]) -> str:
     return _select({name: f"count(*) FILTER (WHERE {fault})" for name, fault in faults.items()})
 
@@ -196,6 +227,15 @@ POS_NORMALIZED = f"""WITH {POS_RAW}
 _TRIMMED = _select({name: f"trim({name})" for name in (*POS_COLUMNS, "NOTE")})
 _PREVIEW = f"WITH {POS_RAW} SELECT {_select(POS_COLUMNS)} FROM raw ORDER BY k LIMIT 20"
 
+_PREVIEW_ATM = f"WITH {ATM_RAW} SELECT {_select(ATM_COLUMNS)} FROM raw ORDER BY k LIMIT 20"
+_ATM_NORMALIZED = f"WITH {ATM_RAW} SELECT k, {_select(ATM_COLUMNS)} FROM raw"
+_BAD_CODES = """count(*) FILTER (WHERE trim(CODE) <> '' AND NOT (regexp_full_match(trim(CODE), '[0-9]{3,19}')
+        AND suffix(trim(CODE), '00'))) AS BAD_CODE"""
+_PROFILES = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, column_name, row_number() OVER () AS ordinal, column_type FROM (DESCRIBE {table})"
+    for table in ("customer", "lineitem", "orders", "part", "supplier")
+)
+
 EXPECTED = {
     "parse_date": f"""WITH {POS_DIRTY}
       SELECT k, {_date('TRN_BGN_DATE')} AS begin_date, {_date('POST_DATE')} AS post_date FROM raw""",
@@ -203,7 +243,7 @@ EXPECTED = {
       SELECT k, {_date_text('TRN_BGN_DATE')} AS begin_date, {_date_text('POST_DATE')} AS post_date FROM raw""",
     "timestamp_text": f"""WITH {POS_DIRTY}
       SELECT k, {_time_text('TRN_BGN_TIME', 'TRN_BGN_DATE')} AS begin_time FROM raw""",
-    "amount_text": f"""WITH {POS_RAW}
+    "amount_text": f"""WITH {POS_DIRTY}
       SELECT k, {_amount_text('AMT_1')} AS amount_1, {_amount_text('AMT_2')} AS amount_2 FROM raw""",
     "truncate_last_2": """
       SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 <> 0 THEN (o_orderkey + 1)::VARCHAR END AS code FROM orders""",
@@ -214,35 +254,38 @@ EXPECTED = {
       SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 <> 0 THEN (o_orderkey + 1)::VARCHAR END AS CODE FROM orders""",
     "source_quality": f"WITH {POS_RAW} SELECT {_counts(POS_FAULTS)} FROM raw",
     "source_quality_dirty": f"WITH {POS_DIRTY} SELECT {_counts(POS_FAULTS)} FROM raw",
-    "source_quality_codes": f"""WITH {CODES_RAW}
-      SELECT count(*) FILTER (WHERE trim(CODE) <> '' AND NOT (regexp_full_match(trim(CODE), '[0-9]{{3,19}}')
-        AND suffix(trim(CODE), '00'))) AS BAD_CODE FROM raw""",
+    "source_quality_dirty_atm": f"WITH {ATM_DIRTY} SELECT {_counts(ATM_FAULTS)} FROM raw",
+    "source_quality_codes": f"WITH {CODES_RAW} SELECT {_BAD_CODES} FROM raw",
+    "source_quality_dirty_codes": f"WITH {CODES_DIRTY} SELECT {_BAD_CODES} FROM raw",
+    "output_quality_codes": f"""WITH {CODES_DIRTY}
+      SELECT count(*) FILTER (WHERE code <> '' AND NOT regexp_full_match(code, '[0-9]{{1,17}}')) AS BAD_CODE
+      FROM (SELECT left(trim(CODE), greatest(length(trim(CODE)) - 2, 0)::INT) AS code FROM raw)""",
     "output_quality": f"WITH {POS_RAW} SELECT {_counts(_misshapen(POS_COLUMNS, ''))} FROM raw",
     "output_quality_raw": f"""WITH {POS_RAW}
       SELECT {_counts(_misshapen({name: name for name in POS_COLUMNS}, ''))} FROM raw""",
     "quality_pass": f"""WITH {POS_DIRTY}
-      SELECT count(*) AS ROWS, {_counts(POS_FAULTS)}, {_counts(_misshapen(POS_COLUMNS, 'OUTPUT_'))} FROM raw""",
+      SELECT count(*) AS ROWS, {_counts(POS_FAULTS)}, {_counts(_filled(POS_COLUMNS))},
+        {_counts(_misshapen(POS_COLUMNS, 'OUTPUT_'))} FROM raw""",
     "quality_pass_atm": f"""WITH {ATM_RAW}
-      SELECT count(*) AS ROWS, {_counts(ATM_FAULTS)}, {_counts(_misshapen(ATM_COLUMNS, 'OUTPUT_'))} FROM raw""",
+      SELECT count(*) AS ROWS, {_counts(ATM_FAULTS)}, {_counts(_filled(ATM_COLUMNS))},
+        {_counts(_misshapen(ATM_COLUMNS, 'OUTPUT_'))} FROM raw""",
     "preview_mapped": _PREVIEW,
-    "schema_profile": """
-      SELECT column_name, ordinal::INTEGER AS ordinal, data_type, length::INTEGER AS length,
-        NULL::INTEGER AS "precision", NULL::INTEGER AS scale
-      FROM (VALUES
-        ('k', 1, 'bigint', NULL),
-        ('TRN_BGN_DATE', 2, 'varchar(10)', 10),
-        ('TRN_BGN_TIME', 3, 'varchar(19)', 19),
-        ('POST_DATE', 4, 'varchar(10)', 10),
-        ('AINT_SETL_DATE', 5, 'varchar(10)', 10),
-        ('IINT_SETL_DATE', 6, 'varchar(10)', 10),
-        ('AMT_1', 7, 'varchar(21)', 21),
-        ('AMT_2', 8, 'varchar(21)', 21),
-        ('NOTE', 9, 'string', NULL)
-      ) AS declared(column_name, ordinal, data_type, length)""",
+    "schema_profile": f"""
+      SELECT table_name, column_name, ordinal::INTEGER AS ordinal,
+        CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+          ELSE lower(column_type) END AS data_type,
+        NULL::INTEGER AS length, NULL::INTEGER AS "precision", NULL::INTEGER AS scale
+      FROM ({_PROFILES})""",
     "row_count_reconcile": "SELECT count(*) AS source_rows, count(*) AS target_rows, true AS matched FROM orders",
     "backup_refresh": f"WITH {POS_RAW} SELECT * FROM raw",
     "stage_verified": POS_NORMALIZED,
     "publish_swap": POS_NORMALIZED,
     "run_job_dry": _PREVIEW,
     "run_job_publish": POS_NORMALIZED,
+    "run_job_dry_atm": _PREVIEW_ATM,
+    "run_job_publish_atm": _ATM_NORMALIZED,
+    "publish_partitioned": POS_NORMALIZED.replace(
+        "trim(NOTE) AS NOTE",
+        "trim(NOTE) AS NOTE, CASE k % 4 WHEN 0 THEN 'a b' WHEN 1 THEN '10:00' WHEN 2 THEN ' x ' END AS PLACE",
+    ),
 }

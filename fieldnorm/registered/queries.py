@@ -13,8 +13,18 @@ from fieldnorm.functions import amount_text, date_text, field_text, parse_date,
 from fieldnorm.functions import truncate_last_2 as drop_last_2
 from fieldnorm.operators import normalize, output_quality, preview, quality_pass, reconcile, source_quality
 from fieldnorm.plans import publish_swap, refresh_backup, run_job, stage_verified
-from fieldnorm.registered.raw_views import raw_atm, raw_codes, raw_pos, raw_pos_dirty
+from fieldnorm.registered.raw_views import (
+    raw_atm,
+    raw_atm_dirty,
+    raw_codes,
+    raw_codes_dirty,
+    raw_pos,
+    raw_pos_dirty,
+    raw_pos_partitioned,
+    read_table,
+)
 from fieldnorm.session import tune
+from fieldnorm.sources import create_empty_like, text_literal
 from fieldnorm.sources import schema_profile as profile_of
 from fieldnorm.spec import ATM_SPECS, POS_SPECS, TRUNCATE_LAST_2, FieldSpec
 
@@ -22,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CODE_SPECS = (FieldSpec("CODE", TRUNCATE_LAST_2),)
 RUN_DATE = date(2026, 1, 31)
+PROFILED = ("customer", "lineitem", "orders", "part", "supplier")
 
 _scratch: list[str] = []
 
@@ -49,7 +60,7 @@ def timestamp_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amount_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_pos(spark, sf_dir)
+    raw = raw_pos_dirty(spark, sf_dir)
     first, second = _texts(raw, "AMT_1", "AMT_2")
     return raw.select("k", amount_text(first).alias("amount_1"), amount_text(second).alias("amount_2"))
 
@@ -60,19 +71,28 @@ def truncate_last_2_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("k", drop_last_2(code).alias("code"))
 
 
-def _scratch_table(spark: SparkSession, rows: DataFrame) -> str:
-    """Store raw rows as a table in a database of its own.
+def _scratch_database(spark: SparkSession) -> str:
+    """A new database in the shared folder the cluster names, or where none is named in the
+    session's warehouse. ``drop_scratch`` drops it.
 
-    The database lies in the shared folder the cluster names, or where none is named in
-    the session's warehouse.
+    One machine's own disk won't do on a cluster, so there a ``file:`` folder is refused.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and (folder.startswith("file:") or ":" not in folder):
+        raise ValueError(f"{folder} is one machine's own folder; set spark.checkpoint.dir to one that all share")
     database = f"fieldnorm_{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    location = f" LOCATION '{shared.rstrip('/')}/{database}'" if shared else ""
+    location = f" LOCATION {text_literal(shared.rstrip('/') + '/' + database)}" if shared else ""
     spark.sql(f"CREATE DATABASE {database}{location}")
     _scratch.append(database)
-    table = f"{database}.card_rows"
-    rows.write.saveAsTable(table)
+    return database
+
+
+def _scratch_table(spark: SparkSession, rows: DataFrame, *partitions: str) -> str:
+    """Store raw rows as a table in a database of its own."""
+    table = f"{_scratch_database(spark)}.card_rows"
+    writer = rows.write.partitionBy(*partitions) if partitions else rows.write
+    writer.saveAsTable(table)
     return table
 
 
@@ -91,13 +111,19 @@ def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
 
 
 def schema_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, stage, _ = _staged(spark, sf_dir)
-    return profile_of(spark, stage)
+    """Profiles of empty tables cloned from empty tables with the given ones' columns."""
+    database, profiles = _scratch_database(spark), None
+    for name in PROFILED:
+        spark.catalog.createTable(f"{database}.{name}", source="parquet", schema=read_table(spark, sf_dir, name).schema)
+        create_empty_like(spark, f"{database}.{name}", f"{database}.{name}_empty")
+        profile = profile_of(spark, f"{database}.{name}_empty").select(F.lit(name).alias("table_name"), "*")
+        profiles = profile if profiles is None else profiles.union(profile)
+    return profiles
 
 
 def row_count_reconcile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_pos(spark, sf_dir)
-    return reconcile(raw, normalize(raw, POS_SPECS))
+    table, stage, _ = _staged(spark, sf_dir)
+    return reconcile(spark.table(table), spark.table(stage))
 
 
 def backup_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +148,16 @@ def run_job_publish_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_job(spark, table, POS_SPECS, dry_run=False, run_date=RUN_DATE)
 
 
+def run_job_publish_atm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _scratch_table(spark, raw_atm(spark, sf_dir))
+    return run_job(spark, table, ATM_SPECS, dry_run=False, run_date=RUN_DATE)
+
+
+def publish_partitioned_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _scratch_table(spark, raw_pos_partitioned(spark, sf_dir), "PLACE")
+    return run_job(spark, table, POS_SPECS, dry_run=False, run_date=RUN_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "parse_date": parse_date_query,
     "date_text": date_text_query,
@@ -135,6 +171,11 @@ QUERIES: dict[str, Query] = {
     "source_quality": lambda spark, sf_dir: source_quality(raw_pos(spark, sf_dir), POS_SPECS),
     "source_quality_dirty": lambda spark, sf_dir: source_quality(raw_pos_dirty(spark, sf_dir), POS_SPECS),
     "source_quality_codes": lambda spark, sf_dir: source_quality(raw_codes(spark, sf_dir), CODE_SPECS),
+    "source_quality_dirty_atm": lambda spark, sf_dir: source_quality(raw_atm_dirty(spark, sf_dir), ATM_SPECS),
+    "source_quality_dirty_codes": lambda spark, sf_dir: source_quality(raw_codes_dirty(spark, sf_dir), CODE_SPECS),
+    "output_quality_codes": lambda spark, sf_dir: output_quality(
+        normalize(raw_codes_dirty(spark, sf_dir), CODE_SPECS), CODE_SPECS
+    ),
     "output_quality": lambda spark, sf_dir: output_quality(normalize(raw_pos(spark, sf_dir), POS_SPECS), POS_SPECS),
     "output_quality_raw": lambda spark, sf_dir: output_quality(raw_pos(spark, sf_dir), POS_SPECS),
     "quality_pass": lambda spark, sf_dir: quality_pass(raw_pos_dirty(spark, sf_dir), POS_SPECS),
@@ -147,6 +188,9 @@ QUERIES: dict[str, Query] = {
     "publish_swap": publish_swap_query,
     "run_job_dry": lambda spark, sf_dir: run_job(spark, raw_pos(spark, sf_dir), POS_SPECS, preview_key="k"),
     "run_job_publish": run_job_publish_query,
+    "run_job_dry_atm": lambda spark, sf_dir: run_job(spark, raw_atm(spark, sf_dir), ATM_SPECS, preview_key="k"),
+    "run_job_publish_atm": run_job_publish_atm_query,
+    "publish_partitioned": publish_partitioned_query,
 }
 
 

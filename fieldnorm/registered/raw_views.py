@@ -69,7 +69,6 @@ def raw_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_pos_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_pos`` with one broken field in eight of every hundred rows."""
-    slot = F.col("k") % 100
     broken = {
         "TRN_BGN_DATE": {7: "251301", 77: "00000000"},
         "TRN_BGN_TIME": {17: "25000000", 27: "1234"},
@@ -77,13 +76,20 @@ def raw_pos_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         "POST_DATE": {67: "20250230"},
     }
 
+    return _overwritten(raw_pos(spark, sf_dir), broken)
+
+
+def _overwritten(rows: DataFrame, broken: dict[str, dict[int, str]]) -> DataFrame:
+    """Values put over those of the rows whose key has these last two digits."""
+    slot = F.col("k") % 100
+
     def overwrite(name: str) -> Column:
         value = F.col(name)
         for at, text in broken[name].items():
             value = F.when(slot == at, text).otherwise(value)
         return value
 
-    return raw_pos(spark, sf_dir).withColumns({name: overwrite(name) for name in broken})
+    return rows.withColumns({name: overwrite(name) for name in broken})
 
 
 def raw_atm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +117,33 @@ def raw_atm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_atm_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_atm`` with broken dates, times and amounts, one in eight of every hundred rows."""
+    broken = {
+        "DATE_TRN_BGN": {7: "251399", 17: "2024-02-30"},
+        "TRN_ENTY_TIME": {27: "24000000", 37: "123456"},
+        "ISS_ICHG_SETL_DATE": {47: "2024/01/02"},
+        "AMT_1": {57: "1e5"},
+        "AMT_3": {67: "12a", 77: "99999999999999999999"},
+    }
+    return _overwritten(raw_atm(spark, sf_dir), broken)
+
+
 def raw_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order keys as text codes that end in ``00``; every seventh is blank."""
     key = F.col("o_orderkey")
     code = F.when(key % 7 == 0, "  ").otherwise(F.concat(F.lit(" "), (key + 1).cast("string"), F.lit("00")))
     return read_table(spark, sf_dir, "orders").select(key.alias("k"), code.alias("CODE"))
+
+
+def raw_codes_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_codes`` with codes of another ending, length or alphabet."""
+    broken = {"CODE": {7: "12301", 37: "00", 47: "12345678901234567800", 57: "12a00"}}
+    return _overwritten(raw_codes(spark, sf_dir), broken)
+
+
+def raw_pos_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_pos`` with a text column whose values are written escaped in paths."""
+    slot = F.col("k") % 4
+    place = F.when(slot == 0, "a b").when(slot == 1, "10:00").when(slot == 2, " x ")
+    return raw_pos(spark, sf_dir).withColumn("PLACE", place)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 HUGE_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -19,3 +22,14 @@ def tune(spark: SparkSession) -> SparkSession:
     if int(spark.conf.get(HUGE_METHOD_LIMIT)) > JIT_LIMIT:
         spark.conf.set(HUGE_METHOD_LIMIT, str(JIT_LIMIT))
     return spark
+
+
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[SparkSession]:
+    """``tune`` for the actions of a block; afterwards the session is as it was."""
+    before = spark.conf.get(HUGE_METHOD_LIMIT)
+    tune(spark)
+    try:
+        yield spark
+    finally:
+        spark.conf.set(HUGE_METHOD_LIMIT, before)

@@ -1,21 +1,25 @@
 from fieldnorm.sources.catalog import (
     WorkTableError,
     columns_of,
+    create_empty_like,
     require_absent,
     require_text_columns,
     same_schema,
     schema_profile,
+    text_literal,
 )
 from fieldnorm.sources.jdbc import jdbc_count, read_jdbc, write_jdbc
 
 __all__ = [
     "WorkTableError",
     "columns_of",
+    "create_empty_like",
     "jdbc_count",
     "read_jdbc",
     "require_absent",
     "require_text_columns",
     "same_schema",
     "schema_profile",
+    "text_literal",
     "write_jdbc",
 ]

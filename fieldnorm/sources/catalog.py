@@ -1,7 +1,8 @@
 """Catalog tables: metadata, verbatim and retyped empty copies, renames.
 
 Table names are plain identifiers, optionally qualified (``table``, ``database.table`` or
-``catalog.database.table``). Work tables stand beside the table they belong to.
+``spark_catalog.database.table``). Work tables stand beside the table they belong to. Only the
+session catalog can publish; tables of other catalogs can be read.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+SESSION_CATALOG = "spark_catalog"
 _NAME = re.compile(r"\w+(\.\w+){0,2}")
-_SIZED = re.compile(r"(varchar|char|decimal)\((\d+)(?:,\s*(\d+))?\)")
+_SIZED = re.compile(r"(?:varchar|char)\((\d+)\)")
 
 
 class WorkTableError(RuntimeError):
@@ -44,9 +46,26 @@ def require_absent(spark: SparkSession, tables: Iterable[str]) -> None:
         raise WorkTableError(f"work tables already exist, inspect them before running again: {', '.join(found)}")
 
 
+def require_session_catalog(spark: SparkSession, table: str) -> None:
+    """Raise ``ValueError`` for a table of another catalog: work tables can't be renamed there."""
+    quoted(table)
+    parts = table.split(".")
+    catalog = parts[0] if len(parts) == 3 else spark.catalog.currentCatalog()
+    if catalog.lower() != SESSION_CATALOG:
+        raise ValueError(f"{table} is in catalog {catalog}; only tables of {SESSION_CATALOG} can be replaced")
+
+
 def rename(spark: SparkSession, table: str, new_name: str) -> None:
-    """Rename within the same database. Spark refuses a name that is already taken."""
-    spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(new_name)}")
+    """Rename within the same database. Spark refuses a name that is already taken.
+
+    After the rename of a managed table, a catalog may no longer find partitions whose values
+    are written escaped in paths (a blank, a colon), so partitions are looked up anew.
+    """
+    within = new_name.split(".")[-2:]  # the new name is one of the same catalog
+    spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted('.'.join(within))}")
+    if partition_columns(spark, new_name):
+        spark.sql(f"ALTER TABLE {quoted(new_name)} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(new_name)
 
 
 def drop(spark: SparkSession, table: str) -> None:
@@ -66,20 +85,65 @@ class ColumnProfile:
     scale: int | None = None
 
 
+def _details(spark: SparkSession, table: str) -> dict:
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} AS JSON").first()[0])
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return _details(spark, table).get("partition_columns") or []
+
+
+# Type names of the JSON description that SQL spells differently.
+_SQL_NAMES = {"integer": "int", "long": "bigint", "short": "smallint", "byte": "tinyint", "timestamp_ltz": "timestamp"}
+
+
+def _type_text(described: dict) -> str:
+    """The whole SQL text of a type of the JSON description, however many fields it has."""
+    name = described["name"]
+    if name in ("varchar", "char"):
+        return f"{name}({described['length']})"
+    if name == "decimal":
+        return f"decimal({described['precision']},{described['scale']})"
+    if name == "array":
+        return f"array<{_type_text(described['element_type'])}>"
+    if name == "map":
+        return f"map<{_type_text(described['key_type'])},{_type_text(described['value_type'])}>"
+    if name == "struct":
+        return f"struct<{','.join(map(_field_text, described['fields']))}>"
+    if name == "string" and described.get("collation", "UTF8_BINARY") != "UTF8_BINARY":
+        return f"string collate {described['collation']}"
+    if name == "interval":
+        units = [described[key] for key in ("start_unit", "end_unit") if described.get(key)]
+        return " ".join(["interval", " to ".join(dict.fromkeys(units))]).strip()
+    return _SQL_NAMES.get(name, name)
+
+
+def _field_text(field: dict) -> str:
+    parts = [_quoted_column(field["name"]) + ":", _type_text(field["type"])]
+    if field.get("nullable") is False:
+        parts.append("not null")
+    if field.get("comment"):
+        parts.append(f"comment {text_literal(field['comment'])}")
+    return " ".join(parts)
+
+
+def _quoted_column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+# Fixed value: where Spark keeps the declared text of a type with (var)char in it.
+_DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
+
+
 def columns_of(spark: SparkSession, table: str) -> list[ColumnProfile]:
-    """The columns of a table in order, with declared text widths."""
+    """The columns of a table in order, with whole types and declared text widths."""
+    declared = {field.name: field.metadata.get(_DECLARED) for field in spark.table(table).schema}
     profiles = []
-    for row in spark.sql(f"DESCRIBE TABLE {quoted(table)}").collect():
-        if not row.col_name or row.col_name.startswith("#"):
-            break  # the partition section repeats columns
-        sized = _SIZED.fullmatch(row.data_type)
-        if sized is None:
-            sizes = (None, None, None)
-        elif sized[1] == "decimal":
-            sizes = (None, int(sized[2]), int(sized[3] or 0))
-        else:
-            sizes = (int(sized[2]), None, None)
-        profiles.append(ColumnProfile(row.col_name, len(profiles) + 1, row.data_type, *sizes))
+    for ordinal, column in enumerate(_details(spark, table)["columns"], start=1):
+        text = declared.get(column["name"]) or _type_text(column["type"])
+        sized = _SIZED.fullmatch(text)
+        precision, scale = column["type"].get("precision"), column["type"].get("scale")
+        profiles.append(ColumnProfile(column["name"], ordinal, text, int(sized[1]) if sized else None, precision, scale))
     return profiles
 
 
@@ -110,7 +174,7 @@ def require_text_columns(spark: SparkSession, table: str, widths: Mapping[str, i
         raise ValueError(f"{table}: mapped columns are not text of the needed width: {wrong}")
 
 
-def _text_literal(text: str) -> str:
+def text_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -124,7 +188,7 @@ def create_empty_like(
     default for raw values does not fit normalised ones. The new table is managed even if
     the old one is external.
     """
-    details = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} AS JSON").first()[0])
+    details = _details(spark, table)
     if details.get("type") not in ("MANAGED", "EXTERNAL"):
         raise ValueError(f"{table} is not a table but {details.get('type')}")
     if details.get("provider", "hive") == "hive":
@@ -134,20 +198,20 @@ def create_empty_like(
 
     def declared(profile: ColumnProfile) -> str:
         info = described[profile.column_name]
-        name = "`" + profile.column_name.replace("`", "``") + "`"
+        name = _quoted_column(profile.column_name)
         width = retyped.get(profile.column_name.upper())
         parts = [name, profile.data_type if width is None else f"VARCHAR({width})"]
         if width is None and info.get("default"):
             parts.append(f"DEFAULT {info['default']}")
         if info.get("comment"):
-            parts.append(f"COMMENT {_text_literal(info['comment'])}")
+            parts.append(f"COMMENT {text_literal(info['comment'])}")
         return " ".join(parts)
 
     def names(key: str) -> str:
-        return ", ".join("`" + name.replace("`", "``") + "`" for name in details[key])
+        return ", ".join(map(_quoted_column, details[key]))
 
     def pairs(key: str) -> str:
-        return ", ".join(f"{_text_literal(k)} = {_text_literal(v)}" for k, v in details[key].items())
+        return ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in details[key].items())
 
     clauses = [
         f"CREATE TABLE {quoted(new_table)} ({', '.join(map(declared, columns_of(spark, table)))})",
@@ -161,7 +225,7 @@ def create_empty_like(
         ordered = f" SORTED BY ({names('sort_columns')})" if details.get("sort_columns") else ""
         clauses.append(f"CLUSTERED BY ({names('bucket_columns')}){ordered} INTO {details['num_buckets']} BUCKETS")
     if details.get("comment"):
-        clauses.append(f"COMMENT {_text_literal(details['comment'])}")
+        clauses.append(f"COMMENT {text_literal(details['comment'])}")
     if details.get("table_properties"):
         clauses.append(f"TBLPROPERTIES ({pairs('table_properties')})")
     spark.sql("\n".join(clauses))
@@ -178,5 +242,5 @@ def append_rows(df: DataFrame, table: str) -> None:
     wanted = [profile.column_name for profile in columns_of(spark, table)]
     if sorted(by_name) != sorted(name.upper() for name in wanted):
         raise ValueError(f"{table} has columns {wanted}, the rows have {df.columns}")
-    ordered = df.select(*("`" + by_name[name.upper()].replace("`", "``") + "`" for name in wanted))
+    ordered = df.select(*(_quoted_column(by_name[name.upper()]) for name in wanted))
     ordered.write.insertInto(quoted(table))

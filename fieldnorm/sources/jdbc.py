@@ -31,29 +31,30 @@ def read_jdbc(
     partition_column: str | None = None,
     num_partitions: int | None = None,
     predicates: Sequence[str] | None = None,
+    single_task: bool = False,
     fetch_rows: int = FETCH_ROWS,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read a whole database table.
+    """Read a whole database table, in a way that has to be chosen.
 
-    Without further arguments one task reads everything, which suits small tables only.
     With ``partition_column`` and ``num_partitions`` the range of that column is looked up
     by one small query and read in equal strides. Strides of a skewed column are uneven:
     give ``predicates`` then, WHERE conditions that are disjoint and together cover every
     row (a hash of a unique key modulo n, say, with a condition for nulls), one task each.
+    ``single_task`` reads everything in one task, which suits small tables only.
 
     ``options`` are the other options of the source: user, password, driver and so on.
     Parts are read by separate statements; reconcile the row count if the table may change.
     """
+    if (predicates is not None) + bool(partition_column or num_partitions) + single_task != 1:
+        raise ValueError("give one of: a partition column with its number of partitions, predicates, single_task=True")
     if predicates is not None:
-        if partition_column or num_partitions:
-            raise ValueError("give either predicates or a partition column, not both")
         properties = {**(options or {}), "fetchsize": str(fetch_rows)}
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=properties)
     reader = _reader(spark, url, fetch_rows, options).option("dbtable", table)
     if (partition_column is None) != (num_partitions is None):
         raise ValueError("partition_column and num_partitions go together")
-    if partition_column is None:
+    if single_task:
         return reader.load()
     query = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}) bounds"
     lowest, highest = _reader(spark, url, fetch_rows, options).option("dbtable", query).load().first()

@@ -59,7 +59,7 @@ LOGIN = {"user": "u", "password": "p", "driver": "d"}
 
 def test_plain_read():
     spark = Recorder()
-    read_jdbc(spark, URL, "t", options=LOGIN)
+    read_jdbc(spark, URL, "t", single_task=True, options=LOGIN)
     assert spark.loads == [{**LOGIN, "url": URL, "dbtable": "t", "fetchsize": 1000}]
 
 
@@ -97,7 +97,11 @@ def test_read_by_predicates():
 def test_contradicting_arguments():
     with pytest.raises(ValueError, match="go together"):
         read_jdbc(Recorder(), URL, "t", partition_column="id")
-    with pytest.raises(ValueError, match="not both"):
+    with pytest.raises(ValueError, match="give one of"):
+        read_jdbc(Recorder(), URL, "t")
+    with pytest.raises(ValueError, match="give one of"):
+        read_jdbc(Recorder(), URL, "t", single_task=True, predicates=["a = 1"])
+    with pytest.raises(ValueError, match="give one of"):
         read_jdbc(Recorder(), URL, "t", partition_column="id", num_partitions=2, predicates=["a = 1"])
 
 
