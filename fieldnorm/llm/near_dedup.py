@@ -9,10 +9,13 @@ of similarity 0.8 share none with a probability below 1e-6. What shares a bucket
 candidate, and links are confirmed on the full sets: 100 * intersection >= 80 * union.
 
 Equal sets are one node. Nodes of a bucket are not paired with each other: each is compared
-with one other node of its buckets at first (the least, then the last). Links are closed to
-components, and only pairs of nodes that share a bucket and still are in different components
-are compared after that. So no link that could join components is lost, while large groups
-of copies cost about two comparisons a node.
+with the least and the last node of its buckets, and links are closed to components. Pairs
+that share a bucket of at most ``SMALL`` nodes and still are in different components are then
+compared as they are. In larger buckets each node is first compared with the one nearest to
+what most of them have in common (the core); of the other pairs across
+components those are compared whose sizes and members outside the core allow a link (see
+``_Cores``). So no link that could join components is lost, while a large group of near copies
+costs a few comparisons a node and not one for each pair.
 
 Defined cases: documents without words, or a null text, have an empty set and are linked with
 nothing; so are rows with a null doc_id (their component_id is null, they are kept). Rows that
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,13 +48,12 @@ BANDS = 48
 ROWS = 6  # half of them minima, half maxima
 HASHES = BANDS * ROWS // 2
 SIZE = 5  # words of a shingle
-#: Pairs whose sketches agree less are not confirmed: six standard deviations below 0.8.
-LEAST_AGREEMENT = 0.65
+SMALL = 8
 _KEPT_BYTES = 5  # of each shingle's hash, in sets that are compared
 
 _SKETCH = T.StructType(
     [T.StructField(name, T.LongType()) for name in ("row", "doc_id", "text_hash", "n_shingles", "set_a", "set_b")]
-    + [T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
+    + [T.StructField("bands", T.ArrayType(T.LongType()))]
 )
 
 
@@ -102,12 +104,11 @@ def _sketch(size: int):
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
                 full = np.flatnonzero([len(own) > 0 for own in sets])
-                bands, sketches = [[]] * len(sets), [b""] * len(sets)
+                bands: list = [[]] * len(sets)
                 if len(full):
-                    values = min_max([sets[k] for k in full])
-                    keys, low = _bands(values).view(np.int64), values.T.astype(np.uint8)
-                    for row, own, sketch in zip(full.tolist(), keys, low, strict=True):
-                        bands[row], sketches[row] = own, sketch.tobytes()
+                    keys = _bands(min_max([sets[k] for k in full])).view(np.int64)
+                    for row, own in zip(full.tolist(), keys, strict=True):
+                        bands[row] = own
                 salt = np.uint64(0x5851F42D4C957F2D)
                 sums = [[int(mixed(own ^ s).sum().view(np.int64)) for own in sets] for s in (np.uint64(0), salt)]
                 yield pa.RecordBatch.from_arrays(
@@ -118,7 +119,6 @@ def _sketch(size: int):
                         pa.array([len(own) for own in sets], pa.int64()),
                         *[pa.array(x, pa.int64()) for x in sums],
                         pa.array(bands, pa.list_(pa.int64())),
-                        pa.array(sketches, pa.binary()),
                     ],
                     names=_SKETCH.names,
                 )
@@ -156,54 +156,116 @@ def _members(raw: bytes) -> np.ndarray:
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose sets are similar enough."""
     for batch in batches:
-        keep = []
-        rows = zip(*[batch.column(name).to_pylist() for name in ("n_a", "members_a", "n_b", "members_b")], strict=True)
-        for n_a, a, n_b, b in rows:
-            both = len(np.intersect1d(_members(a), _members(b)))
-            keep.append(100 * both >= 80 * (n_a + n_b - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for at in range(0, batch.num_rows, 100):
+            part, keep = batch.slice(at, 100), []
+            rows = zip(*[part.column(name).to_pylist() for name in ("n_a", "members_a", "n_b", "members_b")], strict=True)
+            for n_a, a, n_b, b in rows:
+                both = len(np.intersect1d(_members(a), _members(b)))
+                keep.append(100 * both >= 80 * (n_a + n_b - both))
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs whose sketches agree enough to be worth confirming."""
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, 2 * HASHES) for name in ("sketch_a", "sketch_b"))
-        yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= LEAST_AGREEMENT))
-
-
-class _Candidates:
-    """Candidate pairs of nodes, by their sketches and then by their full sets."""
-
-    def __init__(self, docs: DataFrame, sketches: DataFrame, nodes: DataFrame, size: int):
-        self.docs, self.size = docs, size
-        self.nodes = stored(
-            sketches.join(nodes.select(F.col("node").alias("row")), "row").select(
-                F.col("row").alias("node"), "doc_id", "text_hash", "n_shingles", "sketch"
-            ),
-            "nodes",
-        )
-
-    def _with(self, pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
-        for side in "ab":
-            own = table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
-            pairs = pairs.join(own, side)
-        return pairs
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that are similar: a stored table."""
-        fair = self._with(pairs, self.nodes, "n_shingles", "sketch").where(
-            F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * 80
-        )
-        fair = stored(fair.mapInArrow(_agreeing, "a long, b long"), "pairs")
-        used = fair.select(F.col("a").alias("node")).union(fair.select(F.col("b"))).distinct()
-        sets = _sets_of(self.docs, self.nodes.select("node", "doc_id", "text_hash").join(used, "node"), self.size)
-        return stored(self._with(fair, sets, "n", "members").mapInArrow(_linked, "a long, b long"), "similar")
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that are linked: a stored table."""
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("members").alias(f"members_{side}")), side)
+    return stored(pairs.mapInArrow(_linked, "a long, b long"), "similar")
 
 
 def _pairs(df: DataFrame, one: str, other: str) -> DataFrame:
     return df.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).where("a < b").distinct()
 
 
+def _fit(n: str, m: str) -> Column:
+    """Whether sets of these sizes can be similar at all."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * 80
+
+
+def _labelled(buckets: DataFrame, joined: DataFrame) -> DataFrame:
+    return buckets.join(joined, "node", "left").withColumn("least", F.coalesce("least", "node"))
+
+
+def _mixed(buckets: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows of buckets whose nodes are in several components, with the node's component (least) and the bucket's main one."""
+    labelled = _labelled(buckets.select("bucket", "node", "n", "nodes"), joined)
+    sizes = labelled.groupBy("bucket", "least").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("main"), F.count("*").alias("kinds"))
+    return stored(labelled.join(main.where("kinds > 1").drop("kinds"), "bucket"), "mixed")
+
+
+def _across(rows: DataFrame, on: list[str], *columns: str) -> DataFrame:
+    """Pairs a, b of rows with the same values of ``on``, of different components and of fitting sizes.
+
+    One side holds the nodes outside the main component, so that component's own pairs are not looked at.
+    """
+    kept = ["node", "least", "n", *columns]
+    one = rows.where("least <> main").select(*on, *[F.col(c).alias(f"{c}_a") for c in kept])
+    two = rows.select(*on, *[F.col(c).alias(f"{c}_b") for c in kept], F.col("main").alias("main_b"))
+    apart = (F.col("least_a") != F.col("least_b")) & ((F.col("least_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b")))
+    return one.join(two, on).where(apart & _fit("n_a", "n_b"))
+
+
+class _Cores:
+    """What the sets of large mixed buckets have beyond a core.
+
+    Buckets with the same main component have a core: the shingles of more than half of their
+    nodes. Let x and y be sets
+    of sizes n and m that have v and w members within the core, and s members outside it in
+    common. Then they have at most min(v, w) + s members in common. With s = 0 they can only be
+    linked if these numbers allow it. Otherwise s is at least 0.8 n - v, and 1: so x and y must
+    share one of the rarest members of x outside the core, all but that number less one, and
+    likewise of y.
+    """
+
+    def __init__(self, sets: DataFrame, large: DataFrame):
+        of = large.select("node", "main").distinct()
+        members = sets.join(of.select("node").distinct(), "node").mapInArrow(_spread, "node long, n long, member long")
+        sizes = of.groupBy("main").agg(F.count("*").alias("of_main"))
+        core = members.join(of, "node").groupBy("main", "member").agg(F.count("*").alias("times"))
+        core = stored(core.join(sizes, "main").where("2 * times > of_main").select("main", "member", F.lit(1).alias("core")), "cores")
+        self.placed = stored(members.join(of, "node").join(core, ["main", "member"], "left"), "placed")
+        counted = self.placed.groupBy("main", "node", "n").agg(F.count("core").alias("within"))
+        self.counts = stored(counted.join(core.groupBy("main").agg(F.count("*").alias("core_size")), "main"), "core-counts")
+
+    def with_central(self) -> DataFrame:
+        """Pairs of each node with the node that differs least from the core."""
+        off = F.col("n") + F.col("core_size") - 2 * F.col("within")
+        central = self.counts.groupBy("main").agg(F.min_by(F.struct("node", "n"), F.struct(off, "node")).alias("central"))
+        near = self.counts.join(central, "main").select("node", "n", F.col("central.node").alias("c"), F.col("central.n").alias("m"))
+        return _pairs(near.where(_fit("n", "m")), "node", "c")
+
+    def across(self, large: DataFrame) -> DataFrame:
+        """Pairs of nodes of different components that may still be linked."""
+        known = large.join(self.counts.select("main", "node", "within"), ["main", "node"])
+        common = F.least("within_a", "within_b")
+        direct = _across(known, ["bucket"], "within").where(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * 80)
+        of_node = known.select("main", "node", "n", "least", "within").distinct()
+        outside = self.placed.where("core is null").select("main", "node", "member")
+        times = outside.groupBy("main", "member").agg(F.count("*").alias("times")).where("times > 1")
+        ranked = outside.join(times, ["main", "member"]).join(of_node, ["main", "node"])
+        # Members outside the core that no other set has stand first, and are already gone.
+        alone = F.col("n") - F.col("within") - F.count("*").over(Window.partitionBy("main", "node"))
+        rank = F.row_number().over(Window.partitionBy("main", "node").orderBy("times", "member")) + alone
+        needed = F.greatest(F.lit(1), F.ceil(F.col("n") * 0.8 - F.col("within")))
+        rare = ranked.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.col("within") - needed + 1)
+        # Those that sizes alone allow are direct pairs already; others need enough members outside the core.
+        most = common + F.least(F.col("n_a") - F.col("within_a"), F.col("n_b") - F.col("within_b"))
+        both = F.col("n_a") + F.col("n_b")
+        shared = _across(rare, ["main", "member"], "within").where((common * 100 < (both - common) * 80) & (most * 100 >= (both - most) * 80))
+        return _pairs(direct.select("node_a", "node_b").union(shared.select("node_a", "node_b")), "node_a", "node_b")
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each member of each set."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 100):
+            part = batch.slice(at, 100)
+            sets = [_members(raw) for raw in part.column("members").to_pylist()]
+            take = pa.array(np.repeat(np.arange(len(sets)), [len(own) for own in sets]))
+            flat = np.concatenate(sets).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("node").take(take), part.column("n").take(take), pa.array(flat)], names=["node", "n", "member"])
+
+
 def near_duplicates(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     """One row per document: doc_id, text_hash, n_shingles, component_id, kept."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
@@ -212,32 +274,30 @@ def near_duplicates(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     same = ["set_a", "set_b", "n_shingles"]
     nodes = full.groupBy(*same).agg(F.min("row").alias("node"))
 
-    own = full.join(nodes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.explode("bands").alias("bucket"))
-    shared = own.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
+    own = full.join(nodes.select(F.col("node").alias("row")), "row").select(
+        F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
+    )
+    ends = [f(F.struct("node", "n")).alias(name) for name, f in (("first", F.min), ("last", F.max))]
+    shared = own.groupBy("bucket").agg(*ends, F.count("*").alias("nodes")).where("nodes > 1")
     buckets = stored(own.join(shared, "bucket"), "buckets")
-    candidates = _Candidates(keyed, sketches, buckets.select("node").distinct(), size)
+    active = full.join(buckets.select(F.col("node").alias("row")).distinct(), "row")
+    sets = _sets_of(keyed, active.select(F.col("row").alias("node"), "doc_id", "text_hash"), size)
 
-    firsts = buckets.groupBy("node").agg(F.min("first").alias("other"))
-    links = candidates.links(_pairs(firsts, "node", "other"))
-    joined = components(links)
-    labelled = buckets.join(joined, "node", "left").withColumn("least", F.coalesce("least", "node"))
-    others = labelled.join(joined.select(F.col("node").alias("last"), F.col("least").alias("of_last")), "last", "left")
-    apart = others.where(F.col("least") != F.coalesce("of_last", "last")).groupBy("node").agg(F.max("last").alias("other"))
-    links = links.union(candidates.links(_pairs(apart, "node", "other")))
+    ends = [F.when(_fit("n", f"{end}.n"), F.col(f"{end}.node")) for end in ("first", "last")]
+    tried = buckets.groupBy("node").agg(F.min(ends[0]).alias("first"), F.max(ends[1]).alias("last"))
+    tried = tried.select("node", F.explode(F.array("first", "last")).alias("other"))
+    links = _similar(_pairs(tried, "node", "other"), sets)
     joined = components(links)
 
-    labelled = stored(
-        buckets.select("bucket", "node").join(joined, "node", "left").withColumn("least", F.coalesce("least", "node")), "labelled"
-    )
-    sizes = labelled.groupBy("bucket", "least").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("least", F.struct("n", "least")).alias("main"), F.count("*").alias("kinds"))
-    mixed_buckets = main.where("kinds > 1").drop("kinds")
-    inside = labelled.join(mixed_buckets, "bucket")
-    minor = inside.where("least <> main").select("bucket", "node", "least")
-    others = inside.select("bucket", F.col("node").alias("other"), F.col("least").alias("other_least"), "main")
-    across = minor.join(others, "bucket").where("least <> other_least and (other_least = main or node < other)")
-    links = links.union(candidates.links(_pairs(across, "node", "other")))
-    joined = components(links)
+    mixed_rows = _mixed(buckets, joined)
+    pairs = _across(mixed_rows.where(F.col("nodes") <= SMALL), ["bucket"]).select("node_a", "node_b")
+    large = mixed_rows.where(F.col("nodes") > SMALL)
+    if not large.isEmpty():
+        cores = _Cores(sets, large)
+        links = links.union(_similar(cores.with_central(), sets))
+        joined = components(links)
+        pairs = pairs.union(cores.across(_labelled(large.drop("least"), joined)))
+    joined = components(links.union(_similar(_pairs(pairs, "node_a", "node_b"), sets)))
 
     of_row = full.select("row", *same).join(nodes, same).select("row", "node").join(joined, "node", "left")
     of_row = of_row.select("row", F.coalesce("least", "node").alias("component"))

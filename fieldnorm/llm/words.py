@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20  # bytes hashed at a time
-LIMIT = 4 << 20  # bytes of text in a slice of a batch, if it has more than one row
+LIMIT = 2 << 20  # bytes of text in a slice of a batch, if it has more than one row
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
