@@ -1,3 +1,137 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
 
-EXPECTED: dict[str, str] = {}
+The others are tested against plain Python versions: language identification, language model,
+HTML extraction, license scan and packing.
+"""
+
+from __future__ import annotations
+
+_SPACE_WORD = r"[^\x20\x09-\x0D]+"
+_SIGN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TEXT = "coalesce(text, '')"
+_LOWER = f"translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_CONTAMINATION = rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SIGN_WORD}') AS w FROM documents),
+item AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all({_LOWER}, '{_SIGN_WORD}') AS w FROM benchmark),
+shapes AS (SELECT item_id, w, least(10, len(w)) AS n FROM item WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM shapes, unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM doc, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+hits AS (SELECT doc_id, i, places.n, item_id FROM places JOIN windows ON places.words = windows.words AND places.n = windows.n),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(pos) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+_NEAR = rf"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACE_WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) > 1 THEN w[i] || ' ' || w[i + 1] ELSE w[1] END AS s
+  FROM doc, unnest(range(1, greatest(len(w), 2))) AS t(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)
+),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reached.doc_id, steps.b FROM reached JOIN steps ON steps.a = reached.other
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+
+_QUALITY = rf"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS host, {_TEXT} AS text, regexp_extract_all({_TEXT}, '{_SPACE_WORD}') AS w,
+    list_filter(string_split({_TEXT}, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS full_lines
+  FROM documents
+),
+threes AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+  FROM doc, unnest(range(1, len(w) - 1)) AS t(i)
+),
+repeats AS (
+  SELECT doc_id, count(DISTINCT pos) AS n FROM threes, unnest(range(i, i + 3)) AS t(pos) WHERE times > 1 GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, host, i, trim(string_split(lower(regexp_replace(text, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10))[i], ' ') AS line
+  FROM doc, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i)
+),
+keyed AS (
+  SELECT doc_id, host, i, ('0x' || substr(md5(line), 1, 15))::BIGINT AS key,
+    len(line) - len(replace(line, ' ', '')) + 1 AS n FROM lines WHERE line <> ''
+),
+own AS (SELECT doc_id, host, list_sort(list_distinct(list(key))) AS keys FROM keyed GROUP BY doc_id, host),
+seen AS (
+  SELECT host, key, CASE WHEN key = keys[1] THEN keys[2] ELSE keys[1] END AS other
+  FROM (SELECT host, keys, unnest(keys) AS key FROM own)
+),
+contexts AS (SELECT host, key, other, count(*) AS n FROM seen GROUP BY ALL),
+counts AS (SELECT host, key, sum(n) AS n_docs, count(*) AS n_contexts FROM contexts GROUP BY host, key),
+hosts AS (SELECT host, count(*) AS host_docs FROM doc GROUP BY host),
+above AS (
+  SELECT host, key FROM counts JOIN hosts USING (host)
+  WHERE n_contexts > 10 AND n_contexts * 2 >= n_docs AND n_contexts > host_docs * 0.01
+),
+gone AS (SELECT doc_id, sum(n)::BIGINT AS n FROM keyed JOIN above USING (host, key) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(full_lines) - len(list_distinct(full_lines)))::BIGINT AS n_dup_lines,
+    coalesce(repeats.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS n_removed_words
+  FROM doc LEFT JOIN repeats USING (doc_id) LEFT JOIN gone USING (doc_id)
+),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND NOT (n_words - n_removed_words < 50 AND 2 * n_removed_words >= n_words) AS kept FROM judged"""
+
+_SUBSTRINGS = rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({_TEXT}, '{_SPACE_WORD}') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS key FROM doc, unnest(range(1, len(w) - 33)) AS t(i)),
+twice AS (SELECT key FROM windows GROUP BY key HAVING count(*) > 1),
+covered AS (SELECT DISTINCT doc_id, pos FROM windows SEMI JOIN twice USING (key), unnest(range(i, i + 35)) AS t(pos)),
+words AS (SELECT doc_id, i AS pos, w[i] AS word FROM doc, unnest(range(1, len(w) + 1)) AS t(i)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n FROM words ANTI JOIN covered USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)"""
+
+_LINES = rf"""
+WITH lines AS (
+  SELECT doc_id, i, string_split({_TEXT}, chr(10))[i] AS line
+  FROM documents, unnest(range(1, len(string_split({_TEXT}, chr(10))) + 1)) AS t(i)
+),
+keyed AS (
+  SELECT *, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+),
+counts AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+),
+judged AS (SELECT keyed.*, last IS NOT NULL AND doc_id < last AS dropped FROM keyed LEFT JOIN counts USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+EXPECTED: dict[str, str] = {
+    "op1_decontamination": _CONTAMINATION,
+    "op3_minhash_near_dedup": _NEAR,
+    "op5_quality_rules": _QUALITY,
+    "op7_substring_dedup": _SUBSTRINGS,
+    "op8_line_dedup": _LINES,
+}

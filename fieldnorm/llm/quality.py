@@ -158,7 +158,9 @@ def apply_quality_rules(docs: DataFrame, *, min_words: int = 50, min_docs: int =
     )
     # The measures are taken in a struct of their own, so that no column of the input can clash.
     inner = with_measures(docs.select(F.struct("*").alias("row"), F.col("text").alias("text")))
-    kept = inner.where("not base_failed").select("row", "n_words")
+    # As a generator, since a filter would be pushed into the measures and take them apart again.
+    passing = F.explode(F.when(~F.col("base_failed"), F.array(F.lit(True))))
+    kept = inner.select("row", "n_words", passing.alias("passing")).drop("passing")
     joined = kept.join(lines, kept["row.doc_id"].eqNullSafe(F.col(of)) & (F.xxhash64("row.text") == F.col(of_hash)), "left")
     total = F.aggregate(removed, F.lit(0).cast("long"), lambda s, x: s + x["n"])
     out = joined.withColumn(gone, F.coalesce(total, F.lit(0).cast("long"))).where(~depleted(F.col("n_words"), F.col(gone), min_words))

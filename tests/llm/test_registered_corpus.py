@@ -1,0 +1,62 @@
+"""The registered queries and the pipeline on the given tables, against DuckDB where it has SQL."""
+
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from fieldnorm.llm.decontaminate import contamination
+from fieldnorm.llm.expected import EXPECTED
+from fieldnorm.llm.near_dedup import near_duplicates
+from fieldnorm.llm.queries import QUERIES
+from fieldnorm.llm.storage import stored
+
+DATA = Path("/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in DATA.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED))
+def test_query_matches_sql(spark, duck, name):
+    df = QUERIES[name](spark, str(DATA))
+    result = duck.execute(EXPECTED[name])
+    names = [column[0] for column in result.description]
+    assert sorted(df.columns) == sorted(names)
+    assert Counter(map(tuple, df.select(*names).collect())) == Counter(result.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(EXPECTED)))
+def test_query_covers_its_table(spark, name):
+    table, key = ("pages", "page_id") if name.startswith("op6") else ("documents", "doc_id")
+    rows = spark.read.parquet(str(DATA / f"{table}.parquet")).select(key)
+    found = QUERIES[name](spark, str(DATA)).select(key)
+    assert found.distinct().count() == rows.count() and found.join(rows, key, "left_anti").isEmpty()
+
+
+def test_pipeline_takes_effect(spark):
+    docs = spark.read.parquet(str(DATA / "documents.parquet"))
+    sizes = [docs.count()]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stored(stage(spark, docs, str(DATA)), f"test-stage-{k}")
+        if k == len(corpus_pipeline.STAGES) - 1:
+            assert out.select("doc_id").distinct().count() == docs.count()
+            break
+        assert out.schema.names == docs.schema.names
+        sizes.append(out.count())
+        if k == 1:
+            assert out.join(docs.select("doc_id", F.col("text").alias("before")), "doc_id").where("length(text) < length(before)").count() > 0
+        if k == 2:
+            assert near_duplicates(out).where("not kept").isEmpty()
+        if k == 3:
+            assert contamination(out, spark.read.parquet(str(DATA / "benchmark.parquet"))).where("contaminated").isEmpty()
+        docs = out
+    assert sizes == sorted(sizes, reverse=True) and sizes[0] > sizes[1] > sizes[3] > 0.5 * sizes[0]
