@@ -36,7 +36,6 @@ TIMESTAMP_SHAPE = r"^\d{2}_\d{2}-\d{4} \d{2}:\d{2}:\d{2}$"  # dd_MM-yyyy HH:mm:s
 AMOUNT_SHAPE = r"^-?\d+\.\d{2}$"
 SHORT_CODE_SHAPE = r"^\d{1,17}$"
 SHORT_CODE_WIDTH = 17
-ISO_DATE = r"^(\d{4})-(\d{2})-(\d{2})$"  # how a date prints
 
 
 def is_sentinel(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
@@ -68,8 +67,13 @@ def as_date(iso: Column) -> Column:
 
 
 def date_layout(day: Column) -> Column:
-    """A calendar date as ``dd_MM-yyyy``, printed once from its ISO text."""
-    return F.regexp_replace(day.cast("string"), ISO_DATE, "$3_$2-$1")
+    """A calendar date as ``dd_MM-yyyy``, rearranged from its ISO text; null stays null.
+
+    Nothing here is conditional, so Spark computes the text (and the date) only once.
+    """
+    iso = day.cast("string")
+    part = {name: F.substring(iso, *at) for name, at in (("day", (9, 2)), ("month", (6, 2)), ("year", (1, 4)))}
+    return F.concat(part["day"], F.lit("_"), part["month"], F.lit("-"), part["year"])
 
 
 def parse_date(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
