@@ -178,12 +178,12 @@ def repeated_edges(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     paths = stored(keyed.mapInArrow(_paths(size, twice), _PATHS), "paths")
 
     kinds = paths.groupBy("anchor", "path", "key").agg(F.count("*").alias("n"))
-    of_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    of_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("singles"))
     kinds = stored(kinds.join(of_anchor, "anchor").where("n > 1 or kinds > 1"), "path-kinds")
     whole = paths.join(kinds.where("n > 1").select("anchor", "path"), ["anchor", "path"]).select("doc_id", "text_hash", "first", "edges")
 
     single = shared(bitmap_of(kinds.where("n = 1"), F.col("key")))
-    copies = shared(bitmap_of(kinds.where("n > 1 and kinds > 1"), F.col("key")))
+    copies = shared(bitmap_of(kinds.where("n > 1 and singles > 0"), F.col("key")))
     edges = stored(keyed.mapInArrow(_edges(size, single, copies), _EDGES), "edges")
     repeated = edges.groupBy("anchor", "edge").agg(F.sum("n").alias("total")).where("total > 1").select("anchor", "edge")
     placed = edges.where("n = 1").join(repeated, ["anchor", "edge"]).select("doc_id", "text_hash", "first", F.lit(1).alias("edges"))
