@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnorm.llm.storage import stored
-from fieldnorm.llm.words import slices, windows, words_of
+from fieldnorm.llm.words import slices, tidy, windows, words_of
 
 BLOCK_BYTES = 4 << 20
 _FILTER_BITS = 22
@@ -127,24 +127,36 @@ def _marked(windows_of_block: WindowSet, text: str, runs: str, ids: str) -> Call
     return scan
 
 
-def mark_hits(docs: DataFrame, benchmark: DataFrame, runs: str, ids: str, *, size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents with two more columns.
+def mark_hits(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    runs: str,
+    ids: str,
+    then: Callable | None = None,
+    out_schema: T.StructType | None = None,
+    *,
+    size: int = 10,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The documents with two more columns, or what ``then`` makes of their batches in the same pass.
 
     ``runs``: maximal runs of hit words as ``[first, end)``, words counted from 0.
     ``ids``: sorted ids of the items whose windows occur.
     """
     state = [T.StructField(runs, T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField(ids, T.ArrayType(T.StringType()))]
     out = docs.withColumns({field.name: F.array().cast(field.dataType) for field in state})
-    schema = T.StructType([*docs.schema.fields, *state])
-    for k, items in enumerate(_blocks(benchmark, block_bytes)):
-        out = stored(out, "hits") if k else out
-        out = out.mapInArrow(_marked(WindowSet(items, size), "text", runs, ids), schema)
-    return out
+    schema, scan = T.StructType([*docs.schema.fields, *state]), None
+    for items in _blocks(benchmark, block_bytes):
+        if scan is not None:
+            out = stored(out.mapInArrow(tidy(scan), schema), "hits")
+        scan = _marked(WindowSet(items, size), "text", runs, ids)
+    if then is None:
+        return out.mapInArrow(tidy(scan), schema)
+    return out.mapInArrow(tidy(lambda batches: then(scan(batches))), out_schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, item_ids, runs, contaminated."""
-    marked = mark_hits(docs.select("doc_id", "text"), benchmark, "runs", "item_ids", size=size, block_bytes=block_bytes)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,10 +168,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, bloc
                 )
 
     kept = T.StructType(
-        [docs.schema["doc_id"], T.StructField("n_words", T.LongType()), marked.schema["runs"], marked.schema["item_ids"]]
+        [
+            docs.schema["doc_id"],
+            T.StructField("n_words", T.LongType()),
+            T.StructField("runs", T.ArrayType(T.ArrayType(T.IntegerType()))),
+            T.StructField("item_ids", T.ArrayType(T.StringType())),
+        ]
+    )
+    found = mark_hits(
+        docs.select("doc_id", "text"), benchmark, "runs", "item_ids", counted, kept, size=size, block_bytes=block_bytes
     )
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda total, run: total + (run[1] - run[0]))
-    return marked.mapInArrow(counted, kept).select(
+    return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "item_ids", "runs",
         (n_hit > 0).alias("contaminated"),
     )
@@ -176,7 +196,6 @@ def decontaminate(
     but for ``text``.
     """
     runs, ids = free_name(docs, "hit_runs"), free_name(docs, "hit_items")
-    marked = mark_hits(docs, benchmark, runs, ids, size=size, block_bytes=block_bytes)
     names, schema = docs.columns, docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,4 +222,4 @@ def decontaminate(
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    return marked.mapInArrow(cut, schema)
+    return mark_hits(docs, benchmark, runs, ids, cut, schema, size=size, block_bytes=block_bytes)

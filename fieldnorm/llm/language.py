@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnorm.llm.storage import stored
-from fieldnorm.llm.words import mixed, slices, text_bytes
+from fieldnorm.llm.words import mixed, slices, text_bytes, tidy
 
 FEATURES = 4096
 SAMPLE = 400
@@ -130,7 +130,7 @@ def learn(labelled: DataFrame) -> LanguageModel:
                     rows = [row.tobytes() for row in counts_of(own.column("text"))]
                     yield pa.RecordBatch.from_arrays([own.column("lang"), pa.array(rows, pa.binary())], names=["lang", "counts"])
 
-    sample = stored(chosen.mapInArrow(vectors, "lang string, counts binary").repartition(_TASKS), "languages")
+    sample = stored(chosen.mapInArrow(tidy(vectors), "lang string, counts binary").repartition(_TASKS), "languages")
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(FEATURES, np.int64), 0
@@ -140,7 +140,7 @@ def learn(labelled: DataFrame) -> LanguageModel:
                 n += 1
         yield pa.RecordBatch.from_pylist([{"df": df.tobytes(), "n": n}])
 
-    parts = sample.mapInArrow(seen, "df binary, n long").collect()
+    parts = sample.mapInArrow(tidy(seen), "df binary, n long").collect()
     n = sum(row.n for row in parts)
     idf = (np.log((1 + n) / (1 + sum(np.frombuffer(row.df, np.int64) for row in parts))) + 1).astype(np.float32)
 
@@ -176,7 +176,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     [part.column("doc_id"), pa.array(lang), pa.array(score, pa.float64()), pa.array(rejected)], names=schema.names
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(scan), schema)
 
 
 def fold(doc_id: Column, folds: int) -> Column:

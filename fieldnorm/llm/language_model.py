@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnorm.llm.storage import stored
-from fieldnorm.llm.words import mixed, slices, words_of
+from fieldnorm.llm.words import mixed, slices, tidy, words_of
 
 WORDS = 1 << 20
 ARCS = 1 << 18  # at most WORDS
@@ -171,7 +171,7 @@ def _counted(docs: DataFrame, tokens) -> DataFrame:
                 keys, n = np.unique(tokens(part.column("text")), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-    return docs.select("text").mapInArrow(scan, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(scan), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _arrays(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +253,7 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                 )
                 rows += part.num_rows
 
-    return docs.select("doc_id", held_out, "text").mapInArrow(scan, schema)
+    return docs.select("doc_id", held_out, "text").mapInArrow(tidy(scan), schema)
 
 
 def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from fieldnorm.llm.words import LOWER, slices, text_bytes, words_of
+from fieldnorm.llm.words import LOWER, slices, text_bytes, tidy, words_of
 
 #: Base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -260,7 +260,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
                 columns += [pa.array(values, kind) for values, kind in zip(zip(*out, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(scan, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(scan), schema)
 
 
 def words_mask() -> np.ndarray:

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from fieldnorm.llm.decontaminate import free_name
 from fieldnorm.llm.perfect_hash import PerfectHash
 from fieldnorm.llm.storage import stored
-from fieldnorm.llm.words import LOWER, is_space, slices, span_hashes, text_bytes
+from fieldnorm.llm.words import LOWER, is_space, slices, span_hashes, text_bytes, tidy
 
 SHARD = 100_000
 HOT_PART = 1000
@@ -124,7 +124,7 @@ def _probe_shard(lines: pa.Table, index: pa.Table) -> pa.Table:
 def dropped_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Documents that lose lines: holder (doc_id, or the lowest long for null), text_hash, dropped (places from 0)."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    lines = stored(keyed.mapInArrow(_line_rows(min_chars), _LINES), "lines")
+    lines = stored(keyed.mapInArrow(tidy(_line_rows(min_chars)), _LINES), "lines")
     total = lines.count()
     shards = max(1, -(-total // SHARD))
     counts = lines.groupBy("key", "check").agg(
@@ -144,8 +144,8 @@ def dropped_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3) ->
 
         return scan
 
-    of_hot = lines.mapInArrow(probe_hot(True), _LINES)
-    others = lines.mapInArrow(probe_hot(False), _LINES).withColumn("shard", shard)
+    of_hot = lines.mapInArrow(tidy(probe_hot(True)), _LINES)
+    others = lines.mapInArrow(tidy(probe_hot(False)), _LINES).withColumn("shard", shard)
     of_shards = others.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe_shard, _LINES)
     gone = of_hot.unionByName(of_shards)
     return gone.groupBy(F.col("doc_id").alias("holder"), "text_hash").agg(F.collect_set("at").alias("dropped"))

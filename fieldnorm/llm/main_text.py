@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnorm.llm.dom import Block, blocks_of
-from fieldnorm.llm.words import slices
+from fieldnorm.llm.words import slices, tidy
 
 SAMPLE = 150
 COMPOSED = 260
@@ -289,4 +289,4 @@ def extract(pages: DataFrame, field: Field) -> DataFrame:
                 texts = [main_text(page, shared.value) for page in part.column("html").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=schema.names)
 
-    return pages.select("page_id", "url", "html").mapInArrow(scan, schema)
+    return pages.select("page_id", "url", "html").mapInArrow(tidy(scan), schema)

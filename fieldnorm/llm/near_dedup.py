@@ -42,7 +42,7 @@ from fieldnorm.llm.bitmap import bitmap_of, may_hold
 from fieldnorm.llm.components import components
 from fieldnorm.llm.decontaminate import free_name
 from fieldnorm.llm.storage import stored
-from fieldnorm.llm.words import mixed, slices, windows, words_of
+from fieldnorm.llm.words import mixed, slices, tidy, windows, words_of
 
 BANDS = 48
 ROWS = 6  # half of them minima, half maxima
@@ -143,7 +143,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 )
 
     keyed = docs.select("doc_id", "text_hash", F.xxhash64("doc_id", "text_hash").alias("both"), "text")
-    sets = keyed.mapInArrow(scan, "doc_id long, text_hash long, n long, members binary")
+    sets = keyed.mapInArrow(tidy(scan), "doc_id long, text_hash long, n long, members binary")
     return stored(sets.join(nodes, ["doc_id", "text_hash"]).select("node", "n", "members"), "sets")
 
 
@@ -169,7 +169,7 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that are linked: a stored table."""
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("members").alias(f"members_{side}")), side)
-    return stored(pairs.mapInArrow(_linked, "a long, b long"), "similar")
+    return stored(pairs.mapInArrow(tidy(_linked), "a long, b long"), "similar")
 
 
 def _pairs(df: DataFrame, one: str, other: str) -> DataFrame:
@@ -219,7 +219,7 @@ class _Cores:
 
     def __init__(self, sets: DataFrame, large: DataFrame):
         of = large.select("node", "main").distinct()
-        members = sets.join(of.select("node").distinct(), "node").mapInArrow(_spread, "node long, n long, member long")
+        members = sets.join(of.select("node").distinct(), "node").mapInArrow(tidy(_spread), "node long, n long, member long")
         sizes = of.groupBy("main").agg(F.count("*").alias("of_main"))
         core = members.join(of, "node").groupBy("main", "member").agg(F.count("*").alias("times"))
         core = stored(core.join(sizes, "main").where("2 * times > of_main").select("main", "member", F.lit(1).alias("core")), "cores")
@@ -269,7 +269,7 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     """One row per document: doc_id, text_hash, n_shingles, component_id, kept."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    sketches = stored(keyed.mapInArrow(_sketch(size), _SKETCH), "sketches")
+    sketches = stored(keyed.mapInArrow(tidy(_sketch(size)), _SKETCH), "sketches")
     full = sketches.where("n_shingles > 0 and doc_id is not null")
     same = ["set_a", "set_b", "n_shingles"]
     nodes = full.groupBy(*same).agg(F.min("row").alias("node"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldnorm.llm.words import slices
+from fieldnorm.llm.words import slices, tidy
 
 OPEN = 512
 PER_TASK = 100_000
@@ -121,7 +121,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 1024, end_i
                     columns.append(pa.array([np.frombuffer(x, "<i4") for x in own], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(scan, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(scan), schema)
 
 
 class BestFit:
@@ -175,7 +175,7 @@ def pack(pieces: DataFrame, tasks: int, *, capacity: int = 1024, open_sequences:
     # The same rows come to a task in the same order again if it is repeated.
     dealt = F.xxhash64("doc_id", "piece", "length", "ids_crc32")
     ordered = pieces.repartition(tasks, dealt).sortWithinPartitions(F.xxhash64(dealt), "doc_id", "piece", "start", "length", "ids_crc32")
-    return ordered.mapInArrow(place, schema)
+    return ordered.mapInArrow(tidy(place), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:

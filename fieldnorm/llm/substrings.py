@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from fieldnorm.llm.bitmap import bitmap_of, may_hold
 from fieldnorm.llm.storage import stored
-from fieldnorm.llm.words import mixed, powers, slices, sums, text_bytes, windows, words_of
+from fieldnorm.llm.words import mixed, powers, slices, sums, text_bytes, tidy, windows, words_of
 
 SIZE = 35
 ANCHOR = 8
@@ -173,9 +173,9 @@ def repeated_edges(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     shared = spark.sparkContext.broadcast
 
-    anchors = keyed.select("text").mapInArrow(_anchors(size), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    anchors = keyed.select("text").mapInArrow(tidy(_anchors(size)), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     twice = shared(bitmap_of(anchors.where("n > 1"), F.col("anchor")))
-    paths = stored(keyed.mapInArrow(_paths(size, twice), _PATHS), "paths")
+    paths = stored(keyed.mapInArrow(tidy(_paths(size, twice)), _PATHS), "paths")
 
     kinds = paths.groupBy("anchor", "path", "key").agg(F.count("*").alias("n"))
     of_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("singles"))
@@ -184,7 +184,7 @@ def repeated_edges(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
 
     single = shared(bitmap_of(kinds.where("n = 1"), F.col("key")))
     copies = shared(bitmap_of(kinds.where("n > 1 and singles > 0"), F.col("key")))
-    edges = stored(keyed.mapInArrow(_edges(size, single, copies), _EDGES), "edges")
+    edges = stored(keyed.mapInArrow(tidy(_edges(size, single, copies)), _EDGES), "edges")
     repeated = edges.groupBy("anchor", "edge").agg(F.sum("n").alias("total")).where("total > 1").select("anchor", "edge")
     placed = edges.where("n = 1").join(repeated, ["anchor", "edge"]).select("doc_id", "text_hash", "first", F.lit(1).alias("edges"))
     return whole.unionByName(placed)
@@ -228,4 +228,4 @@ def without_repeats(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
                 columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.string()), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(tidy(cut), schema)

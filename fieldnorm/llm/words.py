@@ -6,14 +6,16 @@ sums, so that every window of a text costs one subtraction. They depend on the w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes hashed at a time
-LIMIT = 2 << 20  # bytes of text in a slice of a batch, if it has more than one row
+PIECE = 1 << 18  # bytes hashed at a time
+LIMIT = 1 << 20  # bytes of text in a slice of a batch, if it has more than one row
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -143,3 +145,25 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         to = min(to, batch.num_rows)
         yield batch.slice(at, to - at)
         at = to
+
+
+def _give_back() -> None:
+    """Return freed memory to the machine: Spark keeps idle Python workers, and they keep theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(scan: Callable) -> Callable:
+    """``scan``, a function for ``mapInArrow``, as one whose workers hold no memory between tasks."""
+
+    @functools.wraps(scan)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from scan(batches)
+        finally:
+            _give_back()
+
+    return run
