@@ -19,6 +19,11 @@ def rows_of(spark, table):
     return sorted(map(tuple, spark.table(table).collect()), key=repr)
 
 
+def tables_beside(spark, table):
+    found = spark.sql(f"SHOW TABLES IN {table.split('.')[0]}").where("not isTemporary").collect()
+    return {row.tableName for row in found}
+
+
 @pytest.fixture
 def wide(spark, database):
     def make(name, last):
@@ -110,16 +115,13 @@ def test_values_lost_to_null_are_refused(spark, placed):
 def test_session_catalog_name(spark, placed):
     run_job(spark, f"spark_catalog.{placed}", SPECS, dry_run=False, run_date=DAY)
     assert spark.table(placed).where("D = '31_12-2025'").count() == 5
-    assert {row.tableName for row in spark.sql(f"SHOW TABLES IN {placed.split('.')[0]}").collect()} == {
-        "placed",
-        "placed_bak_20260131",
-    }
+    assert tables_beside(spark, placed) == {"placed", "placed_bak_20260131"}
 
 
 def test_other_catalogs_are_refused_before_writing(spark, placed):
     with pytest.raises(ValueError, match="catalog other"):
         run_job(spark, spark.table(placed), SPECS, target=f"other.{placed}", dry_run=False)
-    assert len(spark.sql(f"SHOW TABLES IN {placed.split('.')[0]}").collect()) == 1
+    assert tables_beside(spark, placed) == {"placed"}
 
 
 def test_crash_between_the_renames_is_named(spark, placed):
