@@ -187,20 +187,20 @@ def _labelled(buckets: DataFrame, joined: DataFrame) -> DataFrame:
 
 def _mixed(buckets: DataFrame, joined: DataFrame) -> DataFrame:
     """Rows of buckets whose nodes are in several components, with the node's component (least) and the bucket's main one."""
-    labelled = _labelled(buckets.select("bucket", "node", "n", "nodes"), joined)
+    labelled = _labelled(buckets.select("bucket", "node", "n", "nodes", "first"), joined)
     sizes = labelled.groupBy("bucket", "least").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("main"), F.count("*").alias("kinds"))
     return stored(labelled.join(main.where("kinds > 1").drop("kinds"), "bucket"), "mixed")
 
 
-def _across(rows: DataFrame, on: list[str], *columns: str) -> DataFrame:
-    """Pairs a, b of rows with the same values of ``on``, of different components and of fitting sizes.
+def _across(rows: DataFrame, others: DataFrame, on: list[str], *columns: str) -> DataFrame:
+    """Pairs a, b of rows and others with the same values of ``on``, of different components and of fitting sizes.
 
     One side holds the nodes outside the main component, so that component's own pairs are not looked at.
     """
     kept = ["node", "least", "n", *columns]
     one = rows.where("least <> main").select(*on, *[F.col(c).alias(f"{c}_a") for c in kept])
-    two = rows.select(*on, *[F.col(c).alias(f"{c}_b") for c in kept], F.col("main").alias("main_b"))
+    two = others.select(*on, *[F.col(c).alias(f"{c}_b") for c in kept], F.col("main").alias("main_b"))
     apart = (F.col("least_a") != F.col("least_b")) & ((F.col("least_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b")))
     return one.join(two, on).where(apart & _fit("n_a", "n_b"))
 
@@ -208,50 +208,56 @@ def _across(rows: DataFrame, on: list[str], *columns: str) -> DataFrame:
 class _Cores:
     """What the sets of large mixed buckets have beyond a core.
 
-    Buckets with the same main component have a core: the shingles of more than half of their
-    nodes. Let x and y be sets
-    of sizes n and m that have v and w members within the core, and s members outside it in
-    common. Then they have at most min(v, w) + s members in common. With s = 0 they can only be
-    linked if these numbers allow it. Otherwise s is at least 0.8 n - v, and 1: so x and y must
-    share one of the rarest members of x outside the core, all but that number less one, and
-    likewise of y.
+    Nodes connected by such buckets are a family, and its core holds the shingles of more than
+    half of its nodes (so it is less than twice an average set). Let x and y be sets of sizes n
+    and m that have v and w members within the core, and s members outside it in common. Then
+    they have at most min(v, w) + s members in common. With s = 0 they can only be linked if
+    these numbers allow it. Otherwise s is at least 0.8 n - v, and 1: so y must hold one of the
+    rarest members of x outside the core, of all but that number less one.
     """
 
     def __init__(self, sets: DataFrame, large: DataFrame):
-        of = large.select("node", "main").distinct()
-        members = sets.join(of.select("node").distinct(), "node").mapInArrow(tidy(_spread), "node long, n long, member long")
-        sizes = of.groupBy("main").agg(F.count("*").alias("of_main"))
-        core = members.join(of, "node").groupBy("main", "member").agg(F.count("*").alias("times"))
-        core = stored(core.join(sizes, "main").where("2 * times > of_main").select("main", "member", F.lit(1).alias("core")), "cores")
-        self.placed = stored(members.join(of, "node").join(core, ["main", "member"], "left"), "placed")
-        counted = self.placed.groupBy("main", "node", "n").agg(F.count("core").alias("within"))
-        self.counts = stored(counted.join(core.groupBy("main").agg(F.count("*").alias("core_size")), "main"), "core-counts")
+        families = components(large.select(F.col("node").alias("a"), F.col("first.node").alias("b")))
+        of = large.select("node").distinct().join(families, "node", "left").select("node", F.coalesce("least", "node").alias("family"))
+        own = stored(sets.join(of, "node"), "family-sets")
+        sizes = own.groupBy("family").agg(F.count("*").alias("nodes"))
+        times = own.mapInArrow(tidy(_spread), "family long, member long").groupBy("family", "member").agg(F.count("*").alias("times"))
+        core = times.where(F.col("times") * 2 > SMALL).join(sizes, "family").where("2 * times > nodes")
+        cores = sizes.join(core.groupBy("family").agg(F.collect_list("member").alias("core")), "family", "left")
+        apart = own.join(cores, "family").mapInArrow(tidy(_outside), "family long, node long, n long, within long, core_size long, outside array<long>")
+        self.nodes = stored(apart.repartition("node"), "family-nodes")
 
     def with_central(self) -> DataFrame:
         """Pairs of each node with the node that differs least from the core."""
         off = F.col("n") + F.col("core_size") - 2 * F.col("within")
-        central = self.counts.groupBy("main").agg(F.min_by(F.struct("node", "n"), F.struct(off, "node")).alias("central"))
-        near = self.counts.join(central, "main").select("node", "n", F.col("central.node").alias("c"), F.col("central.n").alias("m"))
+        central = self.nodes.groupBy("family").agg(F.min_by(F.struct("node", "n"), F.struct(off, "node")).alias("central"))
+        near = self.nodes.join(central, "family").select("node", "n", F.col("central.node").alias("c"), F.col("central.n").alias("m"))
         return _pairs(near.where(_fit("n", "m")), "node", "c")
 
-    def across(self, large: DataFrame) -> DataFrame:
-        """Pairs of nodes of different components that may still be linked."""
-        known = large.join(self.counts.select("main", "node", "within"), ["main", "node"])
-        common = F.least("within_a", "within_b")
-        direct = _across(known, ["bucket"], "within").where(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * 80)
-        of_node = known.select("main", "node", "n", "least", "within").distinct()
-        outside = self.placed.where("core is null").select("main", "node", "member")
-        times = outside.groupBy("main", "member").agg(F.count("*").alias("times")).where("times > 1")
-        ranked = outside.join(times, ["main", "member"]).join(of_node, ["main", "node"])
-        # Members outside the core that no other set has stand first, and are already gone.
-        alone = F.col("n") - F.col("within") - F.count("*").over(Window.partitionBy("main", "node"))
-        rank = F.row_number().over(Window.partitionBy("main", "node").orderBy("times", "member")) + alone
+    def across(self, joined: DataFrame) -> DataFrame:
+        """Pairs of nodes of families that still are in different components and may be linked."""
+        nodes = _labelled(self.nodes, joined)
+        sizes = nodes.groupBy("family", "least").agg(F.count("*").alias("nodes"))
+        main = sizes.groupBy("family").agg(F.max_by("least", F.struct("nodes", -F.col("least"))).alias("main"), F.count("*").alias("kinds"))
+        nodes = stored(nodes.join(main.where("kinds > 1").drop("kinds"), "family"), "family-labels")
+        common, both = F.least("within_a", "within_b"), F.col("n_a") + F.col("n_b")
+        # By family and not by bucket: a pair may share many buckets.
+        direct = _across(nodes, nodes, ["family"], "within").where(common * 100 >= (both - common) * 80)
+
+        member = ["family", "member"]
+        own = nodes.where("least <> main").withColumn("member", F.explode("outside")).drop("outside")
+        each = nodes.select("family", "node", F.explode("outside").alias("member"))
+        times = each.groupBy(*member).agg(F.count("*").alias("times")).where("times > 1")
+        ranked = own.join(times, member)
+        # Members that no other set of the family holds come first, and are already gone.
+        alone = F.col("n") - F.col("within") - F.count("*").over(Window.partitionBy("node"))
+        rank = F.row_number().over(Window.partitionBy("node").orderBy("times", "member")) + alone
         needed = F.greatest(F.lit(1), F.ceil(F.col("n") * 0.8 - F.col("within")))
         rare = ranked.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.col("within") - needed + 1)
+        others = each.join(rare.select(*member).distinct(), member, "left_semi").join(nodes.drop("outside", "family"), "node")
         # Those that sizes alone allow are direct pairs already; others need enough members outside the core.
         most = common + F.least(F.col("n_a") - F.col("within_a"), F.col("n_b") - F.col("within_b"))
-        both = F.col("n_a") + F.col("n_b")
-        shared = _across(rare, ["main", "member"], "within").where((common * 100 < (both - common) * 80) & (most * 100 >= (both - most) * 80))
+        shared = _across(rare, others, member, "within").where((common * 100 < (both - common) * 80) & (most * 100 >= (both - most) * 80))
         return _pairs(direct.select("node_a", "node_b").union(shared.select("node_a", "node_b")), "node_a", "node_b")
 
 
@@ -262,8 +268,32 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 100)
             sets = [_members(raw) for raw in part.column("members").to_pylist()]
             take = pa.array(np.repeat(np.arange(len(sets)), [len(own) for own in sets]))
-            flat = np.concatenate(sets).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("node").take(take), part.column("n").take(take), pa.array(flat)], names=["node", "n", "member"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("family").take(take), pa.array(np.concatenate(sets).view(np.int64))], names=["family", "member"]
+            )
+
+
+def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many members of each set the core holds, and the other members."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 100):
+            part, rest = batch.slice(at, 100), []
+            cores = [np.array(core or [], np.int64) for core in part.column("core").to_pylist()]
+            for raw, core in zip(part.column("members").to_pylist(), cores, strict=True):
+                rest.append(np.setdiff1d(_members(raw).view(np.int64), core))
+            n = part.column("n").to_numpy()
+            within = n - np.array([len(own) for own in rest], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("family"),
+                    part.column("node"),
+                    part.column("n"),
+                    pa.array(within),
+                    pa.array([len(core) for core in cores], pa.int64()),
+                    pa.array(rest, pa.list_(pa.int64())),
+                ],
+                names=["family", "node", "n", "within", "core_size", "outside"],
+            )
 
 
 def near_duplicates(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
@@ -290,13 +320,14 @@ def near_duplicates(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     joined = components(links)
 
     mixed_rows = _mixed(buckets, joined)
-    pairs = _across(mixed_rows.where(F.col("nodes") <= SMALL), ["bucket"]).select("node_a", "node_b")
+    small = mixed_rows.where(F.col("nodes") <= SMALL)
+    pairs = _across(small, small, ["bucket"]).select("node_a", "node_b")
     large = mixed_rows.where(F.col("nodes") > SMALL)
     if not large.isEmpty():
         cores = _Cores(sets, large)
         links = links.union(_similar(cores.with_central(), sets))
         joined = components(links)
-        pairs = pairs.union(cores.across(_labelled(large.drop("least"), joined)))
+        pairs = pairs.union(cores.across(joined))
     joined = components(links.union(_similar(_pairs(pairs, "node_a", "node_b"), sets)))
 
     of_row = full.select("row", *same).join(nodes, same).select("row", "node").join(joined, "node", "left")
