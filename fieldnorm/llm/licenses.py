@@ -2,7 +2,7 @@
 
 Texts are read as words (letters, digits and non-ASCII characters, A-Z lower-cased) joined by
 one blank; rules are regular expressions over that, at word borders. A rule runs only on
-texts that hold its keyword. Of two detections, one that lies inside the other's words goes
+texts that hold its keyword, which is part of whatever the rule matches. Of two detections, one that lies inside the other's words goes
 if it has the lower priority, or the same priority and fewer words, or else a later rule.
 What is left names the labels. The three base phrases are counted apart and always stay.
 
@@ -57,7 +57,7 @@ FAMILIES = [
     ("qpl", "q public", "q public license", "opensource org licenses qpl", ["1 0"]),
     ("lppl", "latex project", "latex project public license", "latex project org lppl", ["1 0", "1 1", "1 2", "1 3", "1 3c"]),
     ("ipl", "ibm public", "ibm public license", "opensource org licenses ipl", ["1 0"]),
-    ("cc-by-nc-nd", "noncommercial noderiv", "attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?", "creativecommons org licenses by nc nd", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
+    ("cc-by-nc-nd", "deriv", "attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?", "creativecommons org licenses by nc nd", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
     ("cc-by-nc-sa", "share", "attribution non ?commercial share ?alike", "creativecommons org licenses by nc sa", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
     ("cc-by-nc", "commercial", "attribution non ?commercial", "creativecommons org licenses by nc", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
     ("cc-by-nd", "deriv", "attribution no ?deriv(?:ative)?s?(?: works)?", "creativecommons org licenses by nd", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
@@ -87,7 +87,7 @@ SIGNATURES = [
     ("isc", "permission to use copy modify", "permission to use copy modify and or distribute this software for any purpose with or without fee", 95, 0.97),
     ("isc", "isc license", "(?:the )?isc license", 70, 0.8),
     ("zlib", "altered source versions", "altered source versions must be plainly marked as such", 93, 0.95),
-    ("zlib", "zlib license", "zlib(?: libpng)? license", 70, 0.8),
+    ("zlib", "zlib", "zlib(?: libpng)? license", 70, 0.8),
     ("unlicense", "unencumbered software", "this is free and unencumbered software released into the public domain", 95, 0.98),
     ("unlicense", "the unlicense", "the unlicense", 70, 0.8),
     ("wtfpl", "what the fuck", "do what the fuck you want to public license", 90, 0.97),
@@ -112,7 +112,7 @@ SIGNATURES = [
     ("proprietary", "unauthorized", "unauthorized (?:copying|reproduction|distribution|use) .{0,80}?(?:strictly )?prohibited", 62, 0.8),
     ("proprietary", "end user", "end user license agreement", 60, 0.7),
     ("proprietary", "not be reproduced", "(?:may|must|shall) not be reproduced .{0,80}?without .{0,40}?permission", 62, 0.8),
-    ("no-commercial", "non commercial use", "for non ?commercial use only", 55, 0.6),
+    ("no-commercial", "commercial use", "for non ?commercial use only", 55, 0.6),
     ("copyright", "copyright", "copyright (?:c )?(?:by )?(?:19|20)[0-9]{2}", 20, 0.3),
     ("copyright", "copyrighted", "copyrighted (?:material|work|by)", 20, 0.3),
 ]
