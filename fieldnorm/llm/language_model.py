@@ -7,9 +7,14 @@ states are contexts of up to two tokens (or the beginning of a text), and each s
 failure arc to its shorter context, weighted so that probabilities sum to one. A text is read
 once from left to right; the state is carried and log10 probabilities are added up.
 
-A pair or triple is an arc if it holds at least 1 / ``ARCS`` of all training tokens and occurs
-twice. As no pair is more frequent than its words, nor a triple than its pairs, counting them
-only for frequent parts misses none.
+Which pairs and triples the model has is said by ``least``: all that occur that often, at any
+input size, or where it is None only those that hold at least 1 / ``ARCS`` of all training
+tokens and occur twice. With ``least`` the automaton's arcs are still the frequent ones, with
+the weights of the whole model. The others are a stored table of gains: a word's failure
+weight; what a pair adds to its word's and its context's weight, with its own failure weight;
+what a triple adds to its pair's. A score is the sum of what the automaton gives and of the
+gains of the text's other words, pairs and triples, which meet them in a join. No pair is more
+frequent than its words, nor a triple than its pairs, so the parts of an arc are arcs.
 
 Defined cases: a null text is empty (one end token); rows with a null id are learned from;
 with nothing to learn from every token is unknown; repeated rows count and are scored each.
@@ -17,28 +22,32 @@ with nothing to learn from every token is unknown; repeated rows count and are s
 Scale: all counts cover all training texts and are map-side sums. At most ``ARCS`` words,
 pairs and triples each and ``WORDS`` base counts pass the relative thresholds, so what is
 broadcast has a bound that no input can exceed. The other, rare words meet their counts in a
-join on the word (one row for each rare word of a document), not in memory. Scored documents
+join on the word (one row for each rare word of a document), not in memory, and so do the other
+pairs and triples; those that a bitmap of fixed size rules out aren't moved. Scored documents
 are stored before that join, so their row numbers are what was written.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldnorm.llm.bitmap import bitmap_of, may_hold
 from fieldnorm.llm.storage import stored
 from fieldnorm.llm.words import mixed, slices, tidy, words_of
 
 WORDS = 1 << 20
 ARCS = 1 << 18  # at most WORDS
 DISCOUNT = 0.5
+_BEGIN = int(mixed(np.array([0x626567], np.uint64)).view(np.int64)[0])
 _END = int(mixed(np.array([0x656E64], np.uint64)).view(np.int64)[0])
 
 
@@ -62,6 +71,29 @@ def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each pair of keys; a triple's is that of its pairs' keys."""
+    return mixed(mixed(a.view(np.uint64)) * np.uint64(0xD1342543DE82EF95) + b.view(np.uint64)).view(np.int64)
+
+
+def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens, a beginning in front of each text, where each text begins, and the keys of the pair and
+    the triple that start at each token (those that leave a text are marked by ``_within``)."""
+    hashes, first = _with_ends(texts)
+    tokens = np.insert(hashes, first[:-1], _BEGIN)
+    pairs = _joint(tokens[:-1], tokens[1:])
+    return tokens, first + np.arange(len(first)), pairs, _joint(pairs[:-1], pairs[1:])
+
+
+def _within(first: np.ndarray, size: int) -> np.ndarray:
+    """Which runs of ``size`` tokens lie in one text."""
+    whole = np.ones(max(first[-1] - size + 1, 0), bool)
+    for k in range(1, size):
+        own = first[1:-1] - k
+        whole[own[(own >= 0) & (own < len(whole))]] = False
+    return whole
+
+
 @dataclass
 class Model:
     """Base counts of frequent words and the automaton's arcs, as arrays.
@@ -80,6 +112,12 @@ class Model:
     pair_counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     triples: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     triple_counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    #: log10 failure weights of the whole model: of the grams and the beginning, and of the pairs (nan: no arcs).
+    gram_back: np.ndarray | None = None
+    pair_back: np.ndarray | None = None
+    #: Which gains there may be, and sorted keys of what the automaton accounts for.
+    gains: np.ndarray | None = None
+    own_keys: np.ndarray | None = None
 
     @property
     def whole(self) -> float:
@@ -127,6 +165,10 @@ class Automaton:
         np.add.at(below, n + 2 + of_pair, lower)
         has_arcs = kept > 0
         back = np.log10(np.maximum(1 - kept, 1e-12) / np.maximum(1 - below, 1e-12))
+        if model.gram_back is not None:
+            back = np.concatenate([[0.0], model.gram_back, model.pair_back])
+            has_arcs = ~np.isnan(back)
+            has_arcs[0] = False
         fail = np.concatenate([np.zeros(n + 2, np.int64), np.where(has_arcs[1 + second], 1 + second, 0)])
         # A state without arcs is never entered: its failure state stands for it.
         entry = np.where(has_arcs, np.arange(states), fail)
@@ -199,6 +241,132 @@ def learn(training: DataFrame) -> tuple[Model, DataFrame]:
     return model, counts
 
 
+def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarray) -> DataFrame:
+    """Pairs of tokens (size 2) or of pairs' keys (size 3) that occur ``least`` times: a, b, n.
+
+    Those with a part that is not in the bitmap ``parts_seen`` occur less often and aren't moved.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(parts_seen)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                tokens, first, pairs, triples = _grams(part.column("text"))
+                parts, keys = (tokens, pairs) if size == 2 else (pairs, triples)
+                seen = may_hold(shared.value, parts)
+                at = np.flatnonzero(_within(first, size) & seen[:-1] & seen[1:])
+                _, one, n = np.unique(keys[at], return_index=True, return_counts=True)
+                at = at[one]
+                yield pa.RecordBatch.from_arrays([pa.array(parts[at]), pa.array(parts[at + 1]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+
+    counted = docs.select("text").mapInArrow(tidy(scan), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least)
+
+
+def _with_keys(grams: DataFrame) -> DataFrame:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = _joint(*(batch.column(name).to_numpy() for name in ("a", "b")))
+            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *batch.schema.names])
+
+    return grams.mapInArrow(tidy(scan), T.StructType([T.StructField("key", T.LongType()), *grams.schema.fields]))
+
+
+def _free_shuffles(spark: SparkSession) -> None:
+    """Have Spark drop the files of shuffles that no plan needs any more; it waits for a garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _failures(arcs: DataFrame, context: str) -> DataFrame:
+    """log10 failure weights of the contexts of arcs with their probability ``p`` and a ``lower`` one."""
+    sums = arcs.groupBy(F.col(context).alias("of")).agg(F.sum("p").alias("kept"), F.sum("lower").alias("below"))
+    rest = [F.greatest(1 - F.col(name), F.lit(1e-12)) for name in ("kept", "below")]
+    return sums.select("of", F.log10(rest[0] / rest[1]).alias("back"))
+
+
+def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, all base counts, and the gains (key, gain) of what is not in the automaton."""
+    counts = stored(_counted(training, lambda texts: _with_ends(texts)[0]), "words")
+    tokens, kinds, texts = counts.agg(F.sum("n"), F.count("*"), F.max(F.when(F.col("key") == _END, F.col("n")))).first()
+    tokens, texts = tokens or 0, texts or 0
+    words, n = _arrays(counts.where(F.col("n") * WORDS >= tokens))
+    model = Model(tokens, kinds, texts, words, n, np.flatnonzero(n * ARCS >= tokens))
+    frequent = F.col("n") * ARCS >= tokens
+
+    spark = training.sparkSession
+    context = counts.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
+    context = context.union(spark.range(1).select(F.lit(_BEGIN).alias("a"), F.lit(texts).cast("long").alias("n_a")))
+    second = counts.select(F.col("key").alias("b"), ((F.col("n") + 0.5) / F.lit(model.whole)).alias("lower"))
+    seen = bitmap_of(context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)), F.col("a"))
+    pairs = stored(_with_keys(_counted_grams(training, 2, least, seen)), "pair-counts")
+    _free_shuffles(spark)
+    pairs = pairs.join(context, "a").join(second, "b")
+    pairs = stored(pairs.select("key", "a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"), "pairs")
+    _free_shuffles(spark)
+    of_words = stored(_failures(pairs, "a").join(context.withColumnRenamed("a", "of"), "of"), "word-failures")
+
+    before = pairs.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
+    after = pairs.select(F.col("key").alias("b"), F.col("p").alias("lower"))
+    seen = bitmap_of(pairs, F.col("key"))
+    triples = stored(_with_keys(_counted_grams(training, 3, least, seen)), "triple-counts")
+    _free_shuffles(spark)
+    triples = triples.join(before, "a").join(after, "b")
+    triples = stored(triples.select("key", "a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"), "triples")
+    _free_shuffles(spark)
+    of_pairs = stored(_failures(triples, "a"), "pair-failures")
+    _free_shuffles(spark)
+
+    added = F.log10("p") - F.log10("lower") - F.col("back")
+    rare_pairs = pairs.where(~frequent).join(of_words.select(F.col("of").alias("a"), "back"), "a").select("key", added.alias("gain"))
+    rare_pairs = rare_pairs.join(of_pairs.withColumnRenamed("of", "key"), "key", "left")
+    rare_triples = triples.where(~frequent).join(of_pairs.withColumnRenamed("of", "a"), "a")
+    gains = of_words.where((F.col("n_a") * ARCS < tokens) & (F.col("of") != _BEGIN)).select(F.col("of").alias("key"), F.col("back").alias("gain"))
+    gains = gains.union(rare_pairs.select("key", F.col("gain") + F.coalesce("back", F.lit(0.0))))
+    gains = stored(gains.union(rare_triples.select("key", added)), "gains")
+    _free_shuffles(spark)
+
+    def arrays(df: DataFrame) -> list[np.ndarray]:
+        return [column.to_numpy(zero_copy_only=False) for column in df.toArrow().combine_chunks().columns]
+
+    grams, size = model.words[model.grams], len(model.grams)
+    of, back = arrays(of_words.where((F.col("n_a") * ARCS >= tokens) | (F.col("of") == _BEGIN)).select("of", "back"))
+    model.gram_back = np.full(size + 1, np.nan)
+    model.gram_back[np.where(of == _BEGIN, size, _place(grams, of))] = back
+    key, a, b, n, back = arrays(pairs.where(frequent).join(of_pairs.withColumnRenamed("of", "key"), "key", "left").select("key", "a", "b", "n", "back"))
+    numbers = np.where(a == _BEGIN, size, _place(grams, a)) * (size + 1) + _place(grams, b)
+    order = np.argsort(numbers)
+    model.pairs, model.pair_counts, model.pair_back = numbers[order], n[order], back[order].astype(np.float64)
+    by_key = np.argsort(key[order])
+    key3, a, b, n = arrays(triples.where(frequent).select("key", "a", "b", "n"))
+    place = [by_key[_place(key[order][by_key], x)] if len(x) else np.zeros(0, np.int64) for x in (a, b)]
+    numbers = place[0] * size + model.pairs[place[1]] % (size + 1)
+    order = np.argsort(numbers)
+    model.triples, model.triple_counts = numbers[order], n[order]
+    model.own_keys = np.sort(np.concatenate([grams, key, key3, [_BEGIN, _END]]))
+    model.gains = bitmap_of(gains, F.col("key"))
+    return model, counts, gains
+
+
+def _other_grams(model: Model, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each text, keys of words, pairs and triples that may have a gain, and how often they occur."""
+    tokens, first, pairs, triples = _grams(texts)
+    row = np.repeat(np.arange(len(texts)), np.diff(first))
+    keys, rows = [], []
+    for size, own in enumerate((tokens, pairs, triples), 1):
+        at = np.flatnonzero(_within(first, size) & may_hold(model.gains, own))
+        at = at[_place(model.own_keys, own[at]) < 0]
+        keys.append(own[at])
+        rows.append(row[at])
+    keys, rows = np.concatenate(keys), np.concatenate(rows)
+    order = np.lexsort((keys, rows))
+    keys, rows = keys[order], rows[order]
+    starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    times = np.diff(np.append(starts, len(keys)))
+    cuts = np.searchsorted(rows[starts], np.arange(1, len(texts)))
+    return np.split(keys[starts], cuts), np.split(times, cuts)
+
+
 _automata: dict[int, Automaton] = {}
 
 
@@ -215,6 +383,8 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
             T.StructField("score_frequent", T.DoubleType()),
             T.StructField("rare", T.ArrayType(T.LongType())),
             T.StructField("rare_n", T.ArrayType(T.LongType())),
+            T.StructField("grams", T.ArrayType(T.LongType())),
+            T.StructField("grams_n", T.ArrayType(T.LongType())),
         ]
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -232,6 +402,8 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                 known = at >= 0
                 base = np.where(known, automaton.root[at] if len(automaton.root) else 0.0, 0.0)
                 score, rare, rare_n = [], [], []
+                none = [np.zeros(0, np.int64)] * part.num_rows
+                grams, grams_n = (none, none) if shared.value.gains is None else _other_grams(shared.value, part.column("text"))
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                     score.append(automaton.score(at[a:b].tolist()))
                     keys, n = np.unique(hashes[a:b][~known[a:b]], return_counts=True)
@@ -248,6 +420,8 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                         pa.array(score, pa.float64()),
                         pa.array(rare, pa.list_(pa.int64())),
                         pa.array(rare_n, pa.list_(pa.int64())),
+                        pa.array(grams, pa.list_(pa.int64())),
+                        pa.array(grams_n, pa.list_(pa.int64())),
                     ],
                     names=schema.names,
                 )
@@ -256,13 +430,16 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
     return docs.select("doc_id", held_out, "text").mapInArrow(tidy(scan), schema)
 
 
-def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, *, least: int | None = None) -> DataFrame:
     """Learn from the rows that aren't held out and score all of them.
 
+    With ``least`` (two or more) the model has all pairs and triples that occur so often.
+
     Gives doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     """
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
-    model, counts = learn(docs.where(~F.col("held_out")))
+    training = docs.where(~F.col("held_out"))
+    model, counts, *gains = learn(training) if least is None else learn_whole(training, least)
     scored = stored(_scored(docs, model, "held_out"), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select(
         "row", F.col("x.rare").alias("key"), F.col("x.rare_n").alias("times")
@@ -272,10 +449,17 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
         F.sum(F.col("times") * F.log10((F.col("n") + 0.5) / F.lit(model.whole))).alias("rare_score"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
     )
+    of_grams = scored.limit(0).select("row", F.lit(0.0).alias("gained"))
+    for table in gains:
+        own = scored.select("row", F.explode(F.arrays_zip("grams", "grams_n")).alias("x")).select(
+            "row", F.col("x.grams").alias("key"), F.col("x.grams_n").alias("times")
+        )
+        of_grams = own.join(table, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("gained"))
     more = F.coalesce("rare_score", F.lit(0.0))
     return (
-        scored.drop("rare", "rare_n")
+        scored.drop("rare", "rare_n", "grams", "grams_n")
         .join(of_rare, "row", "left")
+        .join(of_grams, "row", "left")
         .select(
             "doc_id",
             "held_out",
@@ -283,6 +467,6 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
             (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(model.tokens).cast("long").alias("train_tokens"),
             (F.col("base_frequent") + more).alias("base_score"),
-            (F.col("score_frequent") + more).alias("score"),
+            (F.col("score_frequent") + more + F.coalesce("gained", F.lit(0.0))).alias("score"),
         )
     )

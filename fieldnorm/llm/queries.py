@@ -48,7 +48,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
-    return score_texts(table(spark, sf_dir, "documents"), held_out)
+    return score_texts(table(spark, sf_dir, "documents"), held_out, least=2)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
