@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldnorm.llm.decontaminate import decontaminate
 from fieldnorm.llm.lines import dedup_lines
-from fieldnorm.llm.near_dedup import near_dedup
+from fieldnorm.llm.near_dedup import one_of_each_group
 from fieldnorm.llm.packing import pack_documents
 from fieldnorm.llm.quality import apply_quality_rules
 from fieldnorm.llm.storage import stored
@@ -26,7 +26,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup(docs)
+    return one_of_each_group(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

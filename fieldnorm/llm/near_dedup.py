@@ -349,3 +349,18 @@ def near_dedup(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     kept = near_duplicates(docs, size=size).where("kept").select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
     return docs.join(kept, same, "left_semi").select(*docs.columns)
+
+
+def one_of_each_group(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
+    """One row of each component, the first of those with its least doc_id; null ids come last. All columns stay.
+
+    Rows are told apart by numbers of their own, so rows that repeat an id or have none are
+    compared like others. Rows without words stay.
+    """
+    row = free_name(docs, "row_number")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), size=size).select(F.col("doc_id").alias("row"), "component_id")
+    ids = numbered.select(F.col(row).alias("row"), F.col("doc_id").alias("id"))
+    first = groups.join(ids, "row").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    kept = first.select(F.col("first.row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
