@@ -128,10 +128,89 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
+_SHARDS = rf"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
+),
+doc AS (SELECT doc_id, regexp_extract_all(hex(encode({_TEXT})), '..') AS bytes FROM documents),
+sized AS (
+  SELECT doc_id, (len(bytes) + 1)::BIGINT AS size, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(bytes, lambda b: ('0x' || b)::BIGINT)),
+    lambda c, b: xor(c >> 8, step[xor(c, b) % 256 + 1])))::BIGINT AS text_crc32
+  FROM doc, steps
+),
+summed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total FROM sized
+),
+cut AS (SELECT *, (8 * (2 * upto - size) // (2 * total))::INT AS shard FROM summed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
+FROM cut"""
+
+
+def _rounds(count: int) -> str:
+    """``count`` rounds of assignment and means, as steps on ``part`` (rows, part, ints) and a codebook."""
+    steps = []
+    for k in range(count):
+        steps.append(rf"""
+near_{k} AS ({_nearest(k)}),
+sums_{k} AS (
+  SELECT part, entry, j, sum(ints[j])::HUGEINT AS total, count(*) AS n FROM near_{k}, unnest(range(1, len(ints) + 1)) AS t(j) GROUP BY ALL
+),
+means_{k} AS (
+  SELECT part, entry, list(CASE WHEN total < 0 THEN -((-total + n - 1) // n) ELSE total // n END ORDER BY j) AS c FROM sums_{k} GROUP BY ALL
+),
+book_{k + 1} AS (SELECT part, entry, coalesce(means_{k}.c, book_{k}.c) AS c FROM book_{k} LEFT JOIN means_{k} USING (part, entry)),""")
+    return "".join(steps)
+
+
+def _nearest(k: int) -> str:
+    distance = "list_sum(list_transform(list_zip(ints, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""SELECT r, part, any_value(ints) AS ints, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT r, part, ints, entry, {distance}::BIGINT AS d FROM part JOIN book_{k} USING (part)) GROUP BY r, part"""
+
+
+_CODES = rf"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r, list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS ints
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+part AS (
+  SELECT r, p AS part, ints[p * len(ints) // 8 + 1:(p + 1) * len(ints) // 8] AS ints FROM kept, unnest(range(8)) AS t(p)
+),
+book_0 AS (SELECT part, r - 1 AS entry, ints AS c FROM part WHERE r <= 16),{_rounds(6)}
+last AS ({_nearest(6)}),
+codes AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM last GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book_6)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (r), digest"""
+
+_MIDDLE = rf"""
+WITH doc AS (SELECT doc_id, {_TEXT} AS t, length({_TEXT})::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, n, {", ".join(f"('0x' || substr(h, {8 * k + 1}, 8))::BIGINT AS h{k + 1}" for k in range(4))} FROM doc
+),
+formed AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+    ELSE '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM formed"""
+
 EXPECTED: dict[str, str] = {
     "op1_decontamination": _CONTAMINATION,
     "op3_minhash_near_dedup": _NEAR,
     "op5_quality_rules": _QUALITY,
     "op7_substring_dedup": _SUBSTRINGS,
     "op8_line_dedup": _LINES,
+    "op11_sharding": _SHARDS,
+    "op12_vector_codes": _CODES,
+    "op13_fill_in_middle": _MIDDLE,
 }

@@ -15,10 +15,13 @@ from fieldnorm.llm.licenses import license_scan
 from fieldnorm.llm.lines import line_report
 from fieldnorm.llm.main_text import extract
 from fieldnorm.llm.main_text import learn as learn_pages
+from fieldnorm.llm.middle import fill_in_middle, restored
 from fieldnorm.llm.near_dedup import near_duplicates
 from fieldnorm.llm.packing import pack_documents
 from fieldnorm.llm.quality import quality_rules
+from fieldnorm.llm.shards import shard_places
 from fieldnorm.llm.substrings import without_repeats
+from fieldnorm.llm.vector_codes import vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +81,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = shard_places(table(spark, sf_dir, "documents"), 8)
+    return places.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
@@ -89,4 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_packing": op10_packing,
+    "op11_sharding": op11_sharding,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
