@@ -2,6 +2,8 @@
 
 from fieldnorm.operators import (
     QualityError,
+    compare,
+    fingerprint,
     normalize,
     output_quality,
     preview,
@@ -10,7 +12,7 @@ from fieldnorm.operators import (
     require_clean,
     source_quality,
 )
-from fieldnorm.plans import PublishError, publish_swap, refresh_backup, run_job, stage_verified
+from fieldnorm.plans import PublishError, Recovery, publish_swap, recover, refresh_backup, run_job, stage_verified
 from fieldnorm.session import tune
 from fieldnorm.spec import ATM_SPECS, POS_SPECS, SENTINELS, FieldSpec, output_widths
 
@@ -21,6 +23,9 @@ __all__ = [
     "FieldSpec",
     "PublishError",
     "QualityError",
+    "Recovery",
+    "compare",
+    "fingerprint",
     "normalize",
     "output_quality",
     "output_widths",
@@ -28,6 +33,7 @@ __all__ = [
     "publish_swap",
     "quality_pass",
     "reconcile",
+    "recover",
     "refresh_backup",
     "require_clean",
     "run_job",

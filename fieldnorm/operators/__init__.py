@@ -1,3 +1,4 @@
+from fieldnorm.operators.fingerprint import Fingerprint, compare, fingerprint, fingerprint_of
 from fieldnorm.operators.normalize import normalize, preview
 from fieldnorm.operators.quality import (
     QualityError,
@@ -11,9 +12,13 @@ from fieldnorm.operators.quality import (
 from fieldnorm.operators.reconcile import reconcile
 
 __all__ = [
+    "Fingerprint",
     "QualityError",
+    "compare",
     "counted_output_quality",
     "filled",
+    "fingerprint",
+    "fingerprint_of",
     "normalize",
     "output_quality",
     "preview",

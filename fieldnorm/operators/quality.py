@@ -53,13 +53,13 @@ def output_quality(df: DataFrame, specs: Sequence[FieldSpec]) -> DataFrame:
     return df.agg(*_counted(_stored_faults(df, specs)))
 
 
-def counted_output_quality(df: DataFrame, specs: Sequence[FieldSpec]) -> DataFrame:
-    """``output_quality``, the row count (``ROWS``) and the values that are there
-    (``FILLED_c``) from the same scan."""
+def counted_output_quality(df: DataFrame, specs: Sequence[FieldSpec], *more: Column) -> DataFrame:
+    """``output_quality``, the row count (``ROWS``), the values that are there
+    (``FILLED_c``) and ``more`` aggregates from the same scan."""
     spelling = resolve(df.columns, specs)
     present = {spec.column: column(spelling[spec.column]) != "" for spec in specs}
     return df.agg(
-        F.count("*").alias(ROWS), *_counted(_stored_faults(df, specs)), *_counted(present, FILLED_PREFIX)
+        F.count("*").alias(ROWS), *_counted(_stored_faults(df, specs)), *_counted(present, FILLED_PREFIX), *more
     )
 
 

@@ -1,4 +1,5 @@
 from fieldnorm.plans.job import run_job
 from fieldnorm.plans.publish import PublishError, publish_swap, refresh_backup, stage_verified
+from fieldnorm.plans.recovery import Recovery, recover
 
-__all__ = ["PublishError", "publish_swap", "refresh_backup", "run_job", "stage_verified"]
+__all__ = ["PublishError", "Recovery", "publish_swap", "recover", "refresh_backup", "run_job", "stage_verified"]

@@ -8,10 +8,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldnorm.operators.fingerprint import observed
 from fieldnorm.operators.normalize import normalize, preview
 from fieldnorm.operators.quality import OUTPUT_PREFIX, ROWS, filled, quality_pass, require_clean
 from fieldnorm.plans import names
-from fieldnorm.plans.publish import publish_swap, refresh_backup, stage_verified
+from fieldnorm.plans.publish import PublishError, fingerprinted_backup, publish_swap, stage_verified
 from fieldnorm.session import tuned
 from fieldnorm.sources.catalog import (
     WorkTableError,
@@ -34,6 +35,7 @@ def run_job(
     preview_key: str | None = None,
     sentinels: Iterable[str] = SENTINELS,
     run_date: date | None = None,
+    own_folders: bool = False,
 ) -> DataFrame:
     """Normalise ``source`` and return a preview (dry run, the default) or the new table.
 
@@ -44,15 +46,22 @@ def run_job(
     backup of the target exists.
 
     The rows are scanned once for all checks (only the mapped columns), once for the backup
-    and once for the stage. Nobody else should write to the source meanwhile: if the number
-    of rows, or of values in a mapped column, changes between the scans, the run stops before
+    and once for the stage; both copies are read back. Nobody else should write to the source
+    meanwhile: if the number of rows, or of values in a mapped column, changes between the
+    scans, or any value of a table that is replaced by its own rows, the run stops before
     the target is replaced. Partition columns that are not mapped are left as they are.
 
+    With ``own_folders`` backup and new table are external tables in new folders beside the
+    old one, so that renames move no files and look up no partitions. Dropping such a table
+    by other means leaves its files behind.
+
+    A run that was killed leaves work tables; ``recover`` finishes or undoes it.
+
     The session's limit for compiled methods is lowered while the run scans and writes, and
     put back afterwards; a preview is computed later, by whoever asks for its rows.
     """
     with tuned(spark):
-        return _run(spark, source, specs, target, dry_run, preview_key, tuple(sentinels), run_date)
+        return _run(spark, source, specs, target, dry_run, preview_key, tuple(sentinels), run_date, own_folders)
 
 
 def _run(
@@ -64,6 +73,7 @@ def _run(
     preview_key: str | None,
     sentinels: tuple[str, ...],
     run_date: date | None,
+    own_folders: bool,
 ) -> DataFrame:
     target = source if target is None and isinstance(source, str) else target
     in_place = target is not None and target == source
@@ -82,16 +92,23 @@ def _run(
         log.info("dry run complete, nothing was changed")
         return preview(raw, specs, preview_key, sentinels=sentinels)
 
-    backup = refresh_backup(
+    backup, copied = fingerprinted_backup(
         spark,
         target,
         run_date or date.today(),
         source=raw if in_place else None,
         expected_rows=rows if in_place else None,
+        own_folder=own_folders,
     )
     log.info("verified backup %s", backup)
-    converted = normalize(raw, specs, sentinels, untrimmed=partition_columns(spark, target))
-    stage = stage_verified(spark, converted, target, specs, rows, filled(report))
+    notes = {"replaces": copied.digest(), "in_place": in_place}
+    seen, content = observed(raw) if in_place else (raw, lambda: copied)
+    converted = normalize(seen, specs, sentinels, untrimmed=partition_columns(spark, target))
+    stage = stage_verified(spark, converted, target, specs, rows, filled(report), own_folders, notes)
+    if changed := content().differences(copied):
+        raise PublishError(
+            f"{target} changed between backup and conversion, in {', '.join(changed)}. {target} is untouched, drop {stage}."
+        )
     publish_swap(spark, target, stage, specs, rows, in_place)
     log.info("%s published with %s rows, backup %s", target, rows, backup)
     return spark.table(target)
@@ -104,7 +121,7 @@ def _require_ready(spark: SparkSession, target: str) -> None:
     if not exists(spark, target):
         if exists(spark, swap_old):
             raise WorkTableError(
-                f"target table {target} does not exist: an earlier run stopped between its renames. "
+                f"target table {target} does not exist: an earlier run stopped between its renames, recover() ends it. "
                 f"The old rows are in {swap_old}" + (f", the new ones in {stage}" if exists(spark, stage) else "")
             )
         raise ValueError(f"target table {target} does not exist")

@@ -184,6 +184,9 @@ ATM_FAULTS = {
     **_bad_amount("AMT_3"),
 }
 
+_RAW_ORDER = ("TRN_BGN_DATE", "TRN_BGN_TIME", "POST_DATE", "AINT_SETL_DATE", "IINT_SETL_DATE", "AMT_1", "AMT_2")
+#: The output widths of dates, timestamps and amounts.
+_WIDTHS = {"dd": 10, "time": 19, "amount": 21}
 _DATE_SHAPE = "[0-9]{2}_[0-9]{2}-[0-9]{4}"
 
 
@@ -235,6 +238,23 @@ _PROFILES = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, column_name, row_number() OVER () AS ordinal, column_type FROM (DESCRIBE {table})"
     for table in ("customer", "lineitem", "orders", "part", "supplier")
 )
+#: Columns of the staged raw rows with the widths of their operations.
+_STAGE_PROFILE = f"""SELECT unnest({["k", *_RAW_ORDER, "NOTE"]}) AS column_name, unnest(range(1, 10))::INTEGER AS ordinal,
+  unnest({["bigint", *(f"varchar({_WIDTHS[_kind(name)]})" for name in _RAW_ORDER), "string"]}) AS data_type"""
+_PARTITIONED = POS_NORMALIZED.replace(
+    "trim(NOTE) AS NOTE",
+    "trim(NOTE) AS NOTE, CASE k % 4 WHEN 0 THEN 'a b' WHEN 1 THEN '10:00' WHEN 2 THEN ' x ' END AS PLACE",
+)
+_SAME = ["k", *_RAW_ORDER, "NOTE"]
+_COMPARED = f"""WITH {POS_RAW},
+  changed AS (SELECT * REPLACE (CASE WHEN k % 5000 = 77 THEN '0' ELSE AMT_2 END AS AMT_2,
+    CASE k WHEN 1 THEN '  5-LOW ' WHEN 2 THEN '  1-URGENT ' ELSE NOTE END AS NOTE) FROM raw),
+  bags AS ({" UNION ALL ".join(f"SELECT '{name.upper()}' AS column_name, list_sort(list(coalesce(r.{name}::VARCHAR, chr(0)))) = "
+    f"list_sort(list(coalesce(c.{name}::VARCHAR, chr(0)))) AS same FROM raw r JOIN changed c USING (k)" for name in _SAME)}
+    UNION ALL SELECT 'ROW', NOT EXISTS (SELECT * FROM raw EXCEPT SELECT * FROM changed)),
+  sized AS (SELECT count(*) AS n FROM raw)
+  SELECT 'backup' AS "copy", column_name, n AS source_rows, n AS target_rows, true AS matched FROM bags, sized
+  UNION ALL SELECT 'changed', column_name, n, n, same FROM bags, sized"""
 
 EXPECTED = {
     "parse_date": f"""WITH {POS_DIRTY}
@@ -275,8 +295,10 @@ EXPECTED = {
         CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
           ELSE lower(column_type) END AS data_type,
         NULL::INTEGER AS length, NULL::INTEGER AS "precision", NULL::INTEGER AS scale
-      FROM ({_PROFILES})""",
+      FROM ({_PROFILES}) UNION ALL SELECT 'stage', column_name, ordinal, data_type,
+        TRY_CAST(regexp_extract(data_type, '\\d+') AS INTEGER), NULL, NULL FROM ({_STAGE_PROFILE})""",
     "row_count_reconcile": "SELECT count(*) AS source_rows, count(*) AS target_rows, true AS matched FROM orders",
+    "copy_compare": _COMPARED,
     "backup_refresh": f"WITH {POS_RAW} SELECT * FROM raw",
     "stage_verified": POS_NORMALIZED,
     "publish_swap": POS_NORMALIZED,
@@ -284,8 +306,7 @@ EXPECTED = {
     "run_job_publish": POS_NORMALIZED,
     "run_job_dry_atm": _PREVIEW_ATM,
     "run_job_publish_atm": _ATM_NORMALIZED,
-    "publish_partitioned": POS_NORMALIZED.replace(
-        "trim(NOTE) AS NOTE",
-        "trim(NOTE) AS NOTE, CASE k % 4 WHEN 0 THEN 'a b' WHEN 1 THEN '10:00' WHEN 2 THEN ' x ' END AS PLACE",
-    ),
+    "publish_partitioned": _PARTITIONED,
+    "publish_own_folders": _PARTITIONED,
+    "recover_killed_run": POS_NORMALIZED,
 }

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from fieldnorm.functions import amount_text, date_text, field_text, parse_date, timestamp_text, trim_strings
 from fieldnorm.functions import truncate_last_2 as drop_last_2
-from fieldnorm.operators import normalize, output_quality, preview, quality_pass, reconcile, source_quality
-from fieldnorm.plans import publish_swap, refresh_backup, run_job, stage_verified
+from fieldnorm.operators import compare, normalize, output_quality, preview, quality_pass, reconcile, source_quality
+from fieldnorm.plans import publish_swap, recover, refresh_backup, run_job, stage_verified
+from fieldnorm.plans.names import swap_name
 from fieldnorm.registered.raw_views import (
     raw_atm,
     raw_atm_dirty,
@@ -24,7 +25,7 @@ from fieldnorm.registered.raw_views import (
     read_table,
 )
 from fieldnorm.session import tune
-from fieldnorm.sources import create_empty_like, text_literal
+from fieldnorm.sources import create_empty_like, rename, text_literal
 from fieldnorm.sources import schema_profile as profile_of
 from fieldnorm.spec import ATM_SPECS, POS_SPECS, TRUNCATE_LAST_2, FieldSpec
 
@@ -111,13 +112,14 @@ def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
 
 
 def schema_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of empty tables cloned from empty tables with the given ones' columns."""
-    database, profiles = _scratch_database(spark), None
+    """Profiles of clones with the given tables' columns, and of the verified stage of the raw rows."""
+    database = _scratch_database(spark)
+    stage = _staged(spark, sf_dir)[1]
+    profiles = profile_of(spark, stage).select(F.lit("stage").alias("table_name"), "*")
     for name in PROFILED:
         spark.catalog.createTable(f"{database}.{name}", source="parquet", schema=read_table(spark, sf_dir, name).schema)
         create_empty_like(spark, f"{database}.{name}", f"{database}.{name}_empty")
-        profile = profile_of(spark, f"{database}.{name}_empty").select(F.lit(name).alias("table_name"), "*")
-        profiles = profile if profiles is None else profiles.union(profile)
+        profiles = profiles.union(profile_of(spark, f"{database}.{name}_empty").select(F.lit(name).alias("table_name"), "*"))
     return profiles
 
 
@@ -126,6 +128,31 @@ def row_count_reconcile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(spark.table(table), spark.table(stage))
 
 
+def copy_compare_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows against their backup, and against a copy with equal counts and other values."""
+    table = _scratch_table(spark, raw_pos(spark, sf_dir))
+    backup = spark.table(refresh_backup(spark, table, RUN_DATE))
+    amount = F.when(F.col("k") % 5000 == 77, "0").otherwise(F.col("AMT_2"))
+    # Notes of two keys trade places, so that the column holds the same values.
+    note = F.when(F.col("k") == 1, "  5-LOW ").when(F.col("k") == 2, "  1-URGENT ").otherwise(F.col("NOTE"))
+    changed = backup.withColumns({"AMT_2": amount, "NOTE": note})
+    reports = [compare(spark.table(table), copy).select(F.lit(name).alias("copy"), "*") for name, copy in (("backup", backup), ("changed", changed))]
+    return reports[0].union(reports[1])
+
+
+def recover_killed_run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that was killed between its two renames, ended by ``recover``."""
+    table, _, _ = _staged(spark, sf_dir)
+    rename(spark, table, swap_name(table))
+    recover(spark, table, POS_SPECS)
+    return spark.table(table)
+
+
+def publish_own_folders_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _scratch_table(spark, raw_pos_partitioned(spark, sf_dir), "PLACE")
+    return run_job(spark, table, POS_SPECS, dry_run=False, run_date=RUN_DATE, own_folders=True)
+
+
 def backup_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two refreshes on one date, so the second replaces the first."""
     table = _scratch_table(spark, raw_pos(spark, sf_dir))
@@ -183,6 +210,7 @@ QUERIES: dict[str, Query] = {
     "preview_mapped": lambda spark, sf_dir: preview(raw_pos(spark, sf_dir), POS_SPECS, key="k"),
     "schema_profile": schema_profile_query,
     "row_count_reconcile": row_count_reconcile_query,
+    "copy_compare": copy_compare_query,
     "backup_refresh": backup_refresh_query,
     "stage_verified": stage_verified_query,
     "publish_swap": publish_swap_query,
@@ -191,6 +219,8 @@ QUERIES: dict[str, Query] = {
     "run_job_dry_atm": lambda spark, sf_dir: run_job(spark, raw_atm(spark, sf_dir), ATM_SPECS, preview_key="k"),
     "run_job_publish_atm": run_job_publish_atm_query,
     "publish_partitioned": publish_partitioned_query,
+    "publish_own_folders": publish_own_folders_query,
+    "recover_killed_run": recover_killed_run_query,
 }
 
 

@@ -2,6 +2,7 @@ from fieldnorm.sources.catalog import (
     WorkTableError,
     columns_of,
     create_empty_like,
+    rename,
     require_absent,
     require_text_columns,
     same_schema,
@@ -16,6 +17,7 @@ __all__ = [
     "create_empty_like",
     "jdbc_count",
     "read_jdbc",
+    "rename",
     "require_absent",
     "require_text_columns",
     "same_schema",

@@ -9,10 +9,15 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fieldnorm.functions.text import column
+from fieldnorm.operators.fingerprint import Fingerprint, observed
 
 SESSION_CATALOG = "spark_catalog"
 _NAME = re.compile(r"\w+(\.\w+){0,2}")
@@ -58,20 +63,52 @@ def require_session_catalog(spark: SparkSession, table: str) -> None:
 def rename(spark: SparkSession, table: str, new_name: str) -> None:
     """Rename within the same database. Spark refuses a name that is already taken.
 
-    After the rename of a managed table, a catalog may no longer find partitions whose values
-    are written escaped in paths (a blank, a colon), so partitions are looked up anew.
+    The rename of a managed table moves its files, and a catalog may then no longer find
+    partitions whose values are written escaped in paths (a blank, a colon), so they are looked
+    up anew. A table with a folder of its own only changes its name: its files and the
+    partitions that its write has registered stay as they are, and no folder is listed.
     """
     within = new_name.split(".")[-2:]  # the new name is one of the same catalog
+    details = _details(spark, table)
     spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted('.'.join(within))}")
-    if partition_columns(spark, new_name):
+    if details.get("partition_columns") and details.get("type") != "EXTERNAL":
         spark.sql(f"ALTER TABLE {quoted(new_name)} RECOVER PARTITIONS")
         spark.catalog.refreshTable(new_name)
 
 
 def drop(spark: SparkSession, table: str) -> None:
+    """Drop a table, with its files if it is managed or has a folder that ``create_empty_like`` gave it.
+
+    Such a folder is emptied first (Spark overwrites it with no rows), so that the table is
+    still there to be dropped if that is interrupted.
+    """
+    if folder := marks(spark, table).get(FOLDER):
+        nothing = spark.createDataFrame([], spark.table(table).schema)
+        nothing.coalesce(1).write.mode("overwrite").parquet(folder)
     spark.sql(f"DROP TABLE {quoted(table)}")
 
 
+#: Prefix of the table properties in which a run says how far it came; clones do not get them.
+MARK = "fieldnorm."
+FOLDER = "folder"
+
+
+def marks(spark: SparkSession, table: str) -> dict[str, str]:
+    """What a run has noted about a work table, without the prefix."""
+    properties = _details(spark, table).get("table_properties") or {}
+    return {key[len(MARK) :]: value for key, value in properties.items() if key.startswith(MARK)}
+
+
+def mark(spark: SparkSession, table: str, **notes: object) -> None:
+    """Note something in a table's properties."""
+    pairs = ", ".join(f"{text_literal(MARK + key)} = {text_literal(str(value))}" for key, value in notes.items())
+    spark.sql(f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ({pairs})")
+
+
+def unmark(spark: SparkSession, table: str, *keys: str) -> None:
+    spark.sql(f"ALTER TABLE {quoted(table)} UNSET TBLPROPERTIES IF EXISTS ({', '.join(text_literal(MARK + key) for key in keys)})")
+
+
 @dataclass(frozen=True)
 class ColumnProfile:
     """Declared metadata of one column. ``length`` is set for (var)char, ``precision`` and
@@ -178,15 +215,29 @@ def text_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _own_folder(spark: SparkSession, table: str) -> str:
+    """A new folder for a table, in the folder of its database; no other table has or gets it."""
+    parts = table.split(".")
+    database = parts[-2] if len(parts) > 1 else spark.catalog.currentDatabase()
+    home = spark.catalog.getDatabase(database).locationUri
+    return f"{home.rstrip('/')}/{parts[-1].lower()}-{uuid.uuid4().hex}"
+
+
 def create_empty_like(
-    spark: SparkSession, table: str, new_table: str, widths: Mapping[str, int] | None = None
+    spark: SparkSession,
+    table: str,
+    new_table: str,
+    widths: Mapping[str, int] | None = None,
+    own_folder: bool = False,
+    notes: Mapping[str, object] | None = None,
 ) -> None:
     """Create ``new_table`` with the structure of ``table`` and no rows.
 
     Format, options, partitioning, buckets, properties, comments and column defaults are
     kept. Columns in ``widths`` become VARCHAR of that width with no default, since a
     default for raw values does not fit normalised ones. The new table is managed even if
-    the old one is external.
+    the old one is external, or with ``own_folder`` external in a new folder, which ``drop``
+    empties; then renaming it moves no files. ``notes`` are its first marks.
     """
     details = _details(spark, table)
     if details.get("type") not in ("MANAGED", "EXTERNAL"):
@@ -210,15 +261,20 @@ def create_empty_like(
     def names(key: str) -> str:
         return ", ".join(map(_quoted_column, details[key]))
 
-    def pairs(key: str) -> str:
-        return ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in details[key].items())
+    def pairs(values: Mapping[str, str]) -> str:
+        return ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in values.items())
 
     clauses = [
         f"CREATE TABLE {quoted(new_table)} ({', '.join(map(declared, columns_of(spark, table)))})",
         f"USING {details['provider']}",
     ]
-    if details.get("storage_properties"):
-        clauses.append(f"OPTIONS ({pairs('storage_properties')})")
+    properties = {k: v for k, v in (details.get("table_properties") or {}).items() if not k.startswith(MARK)}
+    properties |= {MARK + k: str(v) for k, v in (notes or {}).items()}
+    if own_folder:
+        properties[MARK + FOLDER] = _own_folder(spark, new_table)
+    options = {k: v for k, v in (details.get("storage_properties") or {}).items() if k.lower() != "path"}
+    if options:
+        clauses.append(f"OPTIONS ({pairs(options)})")
     if details.get("partition_columns"):
         clauses.append(f"PARTITIONED BY ({names('partition_columns')})")
     if details.get("bucket_columns"):
@@ -226,21 +282,34 @@ def create_empty_like(
         clauses.append(f"CLUSTERED BY ({names('bucket_columns')}){ordered} INTO {details['num_buckets']} BUCKETS")
     if details.get("comment"):
         clauses.append(f"COMMENT {text_literal(details['comment'])}")
-    if details.get("table_properties"):
-        clauses.append(f"TBLPROPERTIES ({pairs('table_properties')})")
+    if own_folder:
+        clauses.append(f"LOCATION {text_literal(properties[MARK + FOLDER])}")
+    if properties:
+        clauses.append(f"TBLPROPERTIES ({pairs(properties)})")
     spark.sql("\n".join(clauses))
 
 
-def append_rows(df: DataFrame, table: str) -> None:
+def append_rows(df: DataFrame, table: str) -> Fingerprint:
     """Append rows to a table, matching columns by name without regard to case.
 
     A narrow write: each task writes what it reads, nothing is shuffled. Types and text
-    widths are enforced by Spark's store assignment.
+    widths are enforced by Spark's store assignment. Returns the fingerprint of the rows as
+    they were handed over, in the types of the table, taken by the write itself.
     """
     spark = df.sparkSession
     by_name = {name.upper(): name for name in df.columns}
-    wanted = [profile.column_name for profile in columns_of(spark, table)]
+    profiles = columns_of(spark, table)
+    wanted = [profile.column_name for profile in profiles]
     if sorted(by_name) != sorted(name.upper() for name in wanted):
         raise ValueError(f"{table} has columns {wanted}, the rows have {df.columns}")
     ordered = df.select(*(_quoted_column(by_name[name.upper()]) for name in wanted))
-    ordered.write.insertInto(quoted(table))
+    kinds = spark.table(table).schema
+    values = {}
+    for profile, field in zip(profiles, kinds, strict=True):
+        value = column(by_name[field.name.upper()]).cast(field.dataType)
+        # Spark fills values of a CHAR column up with blanks.
+        value = F.rpad(value, profile.length, " ") if profile.data_type.startswith("char(") else value
+        values[field.name] = (value, field.dataType)
+    seen, written = observed(ordered, values)
+    seen.write.insertInto(quoted(table))
+    return written()
