@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -36,6 +37,8 @@ OPEN = 512
 PER_TASK = 100_000
 #: Pattern of byte-level BPE with ``use_regex``, a fixed value of the file format.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space as the pattern has it (the Unicode property), a fixed value, in runs the pattern is spared.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -64,25 +67,48 @@ def encoder(path: str) -> Callable[[str], list[int]]:
 
     A byte-level BPE file whose ids are the order of its merges is run by ``tiktoken``, which
     gives the same ids four times as fast; any other file by ``tokenizers`` itself.
+
+    The pattern steps back through white space, on a stack that a million blanks overflow. Long
+    runs are therefore taken out first: what stands in front of a run ends there by the pattern
+    as well, the run is one piece but for its last character, which belongs to what follows,
+    and at the end of the text it is one piece. Texts with long runs and names of special
+    tokens, at which pieces end too, are left to ``tokenizers``.
     """
     file = json.loads(Path(path).read_text(encoding="utf-8"))
-    if not _merged_by_rank(file):
+
+    @functools.cache
+    def tokenizer():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        return Tokenizer.from_file(path)
+
+    def plainly(text: str) -> list[int]:
+        return tokenizer().encode(text, add_special_tokens=False).ids
+
+    if not _merged_by_rank(file):
+        return plainly
     import tiktoken
 
     letters = _byte_letters()
     ranks = {bytes(letters[c] for c in token): n for token, n in file["model"]["vocab"].items()}
     special = {token["content"]: token["id"] for token in file["added_tokens"]}
     coder = tiktoken.Encoding(Path(path).name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    one_piece = tiktoken.Encoding(f"{Path(path).name} unsplit", pat_str=r"(?s:.)+", mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
-        if any(name in text for name in special):
+        named, ids, at = any(name in text for name in special), [], 0
+        for run in BLANKS.finditer(text):
+            if named:
+                return plainly(text)
+            a, b = run.span()
+            b -= b < len(text)
+            ids += coder.encode_ordinary(text[at:a])
+            ids += one_piece.encode_ordinary(text[a:b])
+            at = b
+        if named:
             return coder.encode(text, allowed_special="all")
-        return coder.encode_ordinary(text)
+        return ids + coder.encode_ordinary(text[at:]) if at else coder.encode_ordinary(text)
 
     return encode
 

@@ -1,0 +1,88 @@
+"""Token ids of texts with very long runs, and best-fit placing replayed plainly."""
+
+import os
+import random
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from fieldnorm.llm.packing import BestFit, encoder, pack_documents
+
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+RUNS = {"blanks": " ", "newlines": "\n", "tabs": "\t", "signs": "!?", "letters": "ab", "wide blanks": "　"}
+
+
+@pytest.fixture(scope="module")
+def plain():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(FILE)
+
+
+@pytest.mark.parametrize("name", sorted(RUNS))
+def test_ids_of_a_million_and_more(plain, name):
+    unit = RUNS[name]
+    text = f"x{unit * (1_200_000 // len(unit))}y"
+    assert encoder(FILE)(text) == plain.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["blanks", "newlines", "letters"])
+def test_ten_million_are_encoded(name):
+    unit = RUNS[name]
+    text = unit * (10_000_000 // len(unit))
+    ids = encoder(FILE)(text)
+    assert len(ids) >= 100_000 and (name != "blanks" or len(set(ids)) == 1)
+
+
+def test_ids_around_long_runs(plain):
+    r, bad = random.Random(5), []
+    parts = ["a", "Zé", "1", "!?", " ", "\n", "'s", "\x1c" * 3, "\x85", "<|endoftext|>"]
+    for k in range(300):
+        own = parts if k % 3 == 0 else parts[:-1]
+        runs = [" " * r.randint(990, 1010), "　\t" * r.randint(495, 520), "\n" * 1001]
+        text = "".join(r.choice(own + runs) for _ in range(12))
+        if encoder(FILE)(text) != plain.encode(text, add_special_tokens=False).ids:
+            bad.append(text)
+    assert bad == []
+
+
+def test_long_runs_are_packed(spark):
+    rows = [(1, "x" + " " * 1_200_000 + "y"), (2, "\n" * 1_100_000), (3, "short"), (4, None), (None, " \t" * 600_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lengths = {i: len(encoder(FILE)(text or "")) + 1 for i, text in rows}
+    for out in (pack_documents(docs, FILE), corpus_pipeline.packing_stage(spark, docs, "")):
+        assert {x.doc_id: x.n for x in out.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == lengths
+        fill = out.groupBy("sequence_id").agg(F.sum("length").alias("used"), F.max(F.col("offset") + F.col("length")).alias("end"))
+        assert fill.where("used > 1024 or used != end").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [1, 3, 512])
+def test_placing_is_best_fit(limit):
+    r, best, open_now, made = random.Random(limit), BestFit(100, limit), {}, 0
+    for _ in range(5000):
+        length = r.randint(1, 100)
+        sequence, offset = best.place(length)
+        fitting = [s for s, free in open_now.items() if free >= length]
+        if fitting:
+            # The least free space that holds it; which of several such sequences is left open.
+            assert open_now[sequence] == min(open_now[s] for s in fitting)
+            free = open_now.pop(sequence)
+        else:
+            assert sequence == made
+            free, made = 100, made + 1
+        assert offset == 100 - free
+        if free > length:
+            if len(open_now) == limit:
+                fullest = min(open_now.values())
+                closed = next(s for s in best_closed(open_now, best, fullest))
+                del open_now[closed]
+            open_now[sequence] = free - length
+
+
+def best_closed(open_now, best, fullest):
+    """The sequences of the least free space that the bitset no longer holds."""
+    still = {s for own in best.by_free for s in own}
+    return [s for s, free in open_now.items() if free == fullest and s not in still]
