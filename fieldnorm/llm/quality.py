@@ -1,22 +1,26 @@
 """Quality rules in DataFrame functions: text measures and cross-document line frequency.
 
-A line's key is a 60-bit hash of its words, lower-cased, joined by one space. For each host
-(column ``source``) two numbers are counted for every key: the documents that have the line,
-and its contexts, that is, how many different least other lines these documents have. Near
-copies of one text share their lines and mostly their least line, so a family of copies has
-many documents but few contexts, while a menu or notice has about as many contexts as
-documents. A line is above the limit when its contexts exceed both ``min_docs`` and
-``max_share`` of the host's documents, and are at least half of its documents. Such lines are
-removed. A document is depleted, and rejected, when fewer than ``min_words`` of its words are
-left and at least half of them were removed.
+A line's key is a 64-bit hash of its words, lower-cased, joined by one space. For each host
+(column ``source``) the distinct documents that hold a key are counted; documents with equal
+texts are one. A line is above the limit when more than ``max_docs`` hold it, a fixed number at
+every size of host. Such lines are removed from all documents of the host. A document is
+depleted, and rejected, when fewer than ``min_words`` of its words are left and at least half
+of them were removed.
 
-Defined cases: a null text is empty, has no words and fails; null hosts form one host; lines
-without words are neither counted nor removed; repeated rows are documents of their own for
-the counts and get the same verdict; an empty table gives an empty result.
+Exact copies are never taken for boilerplate, whatever their number. Near copies are: of a
+family of more than ``max_docs`` different versions of one text on one host the common lines
+go, as menus do, since the two cannot be told apart by the frequency of lines.
 
-Scale: a scan of the lines counts with map-side partial sums (a hot line becomes a row for
-each task), the lines above the limit come back by an ordinary join on (host, key), which
-Spark turns into a broadcast only below its own size threshold and splits when skewed.
+Defined cases: a null text is empty, has no words and fails; null hosts form one host; lines
+without words are neither counted nor removed; repeated rows (same id, text and host) get the
+same verdict and count once; rows of one id and text on several hosts are judged on each by
+its own; an empty table gives an empty result; columns may have any names.
+
+Scale: one scan takes measures and line keys and stores them without the text. From that
+table distinct (host, key, text) are made by a map-side combined grouping, so that a hot line
+is spread by its texts, and then counted. Lines above the limit come back by an ordinary join
+on (host, key), which Spark turns into a broadcast only below its own size threshold and
+splits when skewed. Only ``apply_quality_rules``, which returns texts, scans them once more.
 Windows of one document stay in that document's row: nothing is exploded by words.
 """
 
@@ -25,8 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldnorm.llm.decontaminate import free_name
+from fieldnorm.llm.storage import stored
 
+MAX_DOCS = 30
 SPACES = "\t\n\x0b\f\r "
 _SPACE_RUN = r"[\x20\x09-\x0D]+"
 _SPACE_RUN_IN_LINE = r"[\x20\x09\x0B-\x0D]+"
@@ -93,80 +98,74 @@ def _line_keys(text: Column) -> Column:
         ),
         lambda x: F.struct(
             x["at"].alias("at"),
-            F.conv(F.substring(F.md5(x["words"]), 1, 15), 16, 10).cast("long").alias("key"),
+            F.xxhash64(x["words"]).alias("key"),
             (F.length(x["words"]) - F.length(F.replace(x["words"], F.lit(" "), F.lit(""))) + 1).alias("n"),
         ),
     )
 
 
-def lines_above_limits(docs: DataFrame, *, min_docs: int = 10, max_share: float = 0.01) -> DataFrame:
-    """One row per host and line above the limit: host, key, n_docs, n_contexts."""
+def pages(docs: DataFrame, *more: Column) -> DataFrame:
+    """Without the texts: doc_id, text_hash, host, lines (place, key and words of each) and ``more``."""
     host = F.coalesce(F.col("source"), F.lit("")).alias("host")
-    sizes = docs.groupBy(host).agg(F.count("*").alias("host_docs"))
-    lines = docs.select(host, F.array_distinct(F.transform(_line_keys(F.col("text")), lambda x: x["key"])).alias("keys"))
-    lines = lines.withColumn("least", F.slice(F.sort_array("keys"), 1, 2)).select("host", "least", F.explode("keys").alias("key"))
-    other = F.when(F.get("least", F.lit(0)) == F.col("key"), F.get("least", F.lit(1))).otherwise(F.get("least", F.lit(0)))
-    contexts = lines.groupBy("host", "key", other.alias("other")).agg(F.count("*").alias("n"))
-    counts = contexts.groupBy("host", "key").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_contexts"))
-    counts = counts.where((F.col("n_contexts") > min_docs) & (F.col("n_contexts") * 2 >= F.col("n_docs")))
-    return counts.join(sizes, "host").where(F.col("n_contexts") > F.col("host_docs") * max_share).drop("host_docs")
-
-
-def removed_lines(docs: DataFrame, **limits) -> DataFrame:
-    """Documents with lines above the limits: doc_id, text_hash, removed (places and words of these lines)."""
-    above = lines_above_limits(docs, **limits).select("host", "key")
-    lines = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_hash"),
-        F.coalesce(F.col("source"), F.lit("")).alias("host"),
-        F.explode(_line_keys(F.col("text"))).alias("line"),
-    ).select("doc_id", "text_hash", "host", "line.*")
-    return (
-        lines.join(above, ["host", "key"])
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(F.struct("at", "n")).alias("removed"))
-    )
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), host, _line_keys(F.col("text")).alias("lines"), *more)
+
+
+def lines_above_limit(pages: DataFrame, *, max_docs: int = MAX_DOCS) -> DataFrame:
+    """One row per host and line above the limit: host, key, n_docs."""
+    held = pages.select("host", "text_hash", F.explode("lines.key").alias("key")).groupBy("host", "key", "text_hash").agg(F.lit(1).alias("one"))
+    return held.groupBy("host", "key").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > max_docs)
+
 
+def removed_lines(pages: DataFrame, *, max_docs: int = MAX_DOCS) -> DataFrame:
+    """Documents with lines above the limit: of, of_hash, of_host, removed (places and words of these lines)."""
+    above = lines_above_limit(pages, max_docs=max_docs).select("host", "key")
+    lines = pages.select("doc_id", "text_hash", "host", F.explode("lines").alias("line")).select("doc_id", "text_hash", "host", "line.*")
+    # A set, since rows that repeat bring the same lines again.
+    found = lines.join(above, ["host", "key"]).groupBy("doc_id", "text_hash", "host").agg(F.collect_set(F.struct("at", "n")).alias("removed"))
+    return found.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"), F.col("host").alias("of_host"), "removed")
 
-def quality_rules(docs: DataFrame, *, min_words: int = 50, min_docs: int = 10, max_share: float = 0.01) -> DataFrame:
+
+def _removed_words(removed: Column) -> Column:
+    return F.coalesce(F.aggregate(removed, F.lit(0).cast("long"), lambda total, x: total + x["n"]), F.lit(0).cast("long"))
+
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def quality_rules(docs: DataFrame, *, min_words: int = 50, max_docs: int = MAX_DOCS) -> DataFrame:
     """One row per document: doc_id, the measures, n_removed_words, base_failed, kept."""
-    measured = with_measures(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")).drop("text")
-    removed = removed_lines(docs.select("doc_id", "text", "source"), min_docs=min_docs, max_share=max_share)
-    removed = removed.select(
-        F.col("doc_id").alias("of"),
-        F.col("text_hash").alias("of_hash"),
-        F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["n"]).alias("n_removed_words"),
-    )
-    joined = measured.join(removed, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left")
-    gone = F.coalesce("n_removed_words", F.lit(0).cast("long"))
-    return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", gone.alias("n_removed_words"),
-        "base_failed", (~F.col("base_failed") & ~depleted(F.col("n_words"), gone, min_words)).alias("kept"),
-    )
+    measured = with_measures(docs.select("doc_id", "text", "source"))
+    found = stored(pages(measured, *map(F.col, MEASURES)), "quality-pages")
+    removed = removed_lines(found, max_docs=max_docs)
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")) & (F.col("host") == F.col("of_host"))
+    joined = found.drop("lines").join(removed, same, "left").withColumn("n_removed_words", _removed_words(F.col("removed")))
+    kept = ~F.col("base_failed") & ~depleted(F.col("n_words"), F.col("n_removed_words"), min_words)
+    return joined.select("doc_id", *MEASURES[:-1], "n_removed_words", "base_failed", kept.alias("kept"))
 
 
 def depleted(n_words: Column, n_removed: Column, min_words: int) -> Column:
     return (n_words - n_removed < min_words) & (n_removed * 2 >= n_words)
 
 
-def apply_quality_rules(docs: DataFrame, *, min_words: int = 50, min_docs: int = 10, max_share: float = 0.01) -> DataFrame:
-    """The documents that are kept, without the lines above the limits; all columns stay."""
-    names = {x: free_name(docs, x) for x in ("of", "of_hash", "removed", "measured", "gone")}
-    of, of_hash, removed, measured, gone = names.values()
-    lines = removed_lines(docs.select("doc_id", "text", "source"), min_docs=min_docs, max_share=max_share).select(
-        F.col("doc_id").alias(of), F.col("text_hash").alias(of_hash), F.col("removed").alias(removed)
+def apply_quality_rules(docs: DataFrame, *, min_words: int = 50, max_docs: int = MAX_DOCS) -> DataFrame:
+    """The documents that are kept, without the lines above the limit; all columns stay."""
+    found = stored(pages(with_measures(docs.select("doc_id", "text", "source")), F.col("n_words"), F.col("base_failed")), "quality-pages")
+    lines = removed_lines(found, max_docs=max_docs).withColumn("gone", _removed_words(F.col("removed")))
+    # One row for each (id, text, host), whose verdict all rows that repeat it share.
+    judged = found.groupBy("doc_id", "text_hash", "host").agg(F.max("n_words").alias("n_words"), F.max("base_failed").alias("base_failed"))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")) & (F.col("host") == F.col("of_host"))
+    judged = judged.join(lines, same, "left").where(~F.col("base_failed"))
+    judged = judged.where(~depleted(F.col("n_words"), F.coalesce("gone", F.lit(0)), min_words)).select(
+        F.struct(F.col("doc_id").alias("id"), "text_hash", "host").alias("verdict_of"), "removed"
     )
-    # The measures are taken in a struct of their own, so that no column of the input can clash.
-    inner = with_measures(docs.select(F.struct("*").alias("row"), F.col("text").alias("text")))
-    # As a generator, since a filter would be pushed into the measures and take them apart again.
-    passing = F.explode(F.when(~F.col("base_failed"), F.array(F.lit(True))))
-    kept = inner.select("row", "n_words", passing.alias("passing")).drop("passing")
-    joined = kept.join(lines, kept["row.doc_id"].eqNullSafe(F.col(of)) & (F.xxhash64("row.text") == F.col(of_hash)), "left")
-    total = F.aggregate(removed, F.lit(0).cast("long"), lambda s, x: s + x["n"])
-    out = joined.withColumn(gone, F.coalesce(total, F.lit(0).cast("long"))).where(~depleted(F.col("n_words"), F.col(gone), min_words))
+    # The rows are kept in a struct of their own, so that no column of the input can clash.
+    rows = docs.select(F.struct("*").alias("row"))
+    host = F.coalesce("row.source", F.lit(""))
+    same = F.col("row.doc_id").eqNullSafe(F.col("verdict_of.id")) & (F.xxhash64("row.text") == F.col("verdict_of.text_hash")) & (host == F.col("verdict_of.host"))
+    out = rows.join(judged, same)
     lines_of = F.split("row.text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines_of) - 1), F.transform(removed, lambda x: x["at"]))
-    text = F.when(F.col(removed).isNull(), F.col("row.text")).otherwise(
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines_of) - 1), F.transform("removed", lambda x: x["at"]))
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(
         F.array_join(F.transform(stay, lambda at: F.get(lines_of, at)), "\n")
     )
     return out.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
