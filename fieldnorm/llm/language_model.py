@@ -13,7 +13,8 @@ tokens and occur twice. With ``least`` the automaton's arcs are still the freque
 the weights of the whole model. The others are a stored table of gains: a word's failure
 weight; what a pair adds to its word's and its context's weight, with its own failure weight;
 what a triple adds to its pair's. A score is the sum of what the automaton gives and of the
-gains of the text's other words, pairs and triples, which meet them in a join. No pair is more
+gains of the text's other words, pairs and triples: the next frequent ones (at most ``GAINS`` of
+each) are broadcast beside the automaton, all others meet the text's in a join. No pair is more
 frequent than its words, nor a triple than its pairs, so the parts of an arc are arcs.
 
 Defined cases: a null text is empty (one end token); rows with a null id are learned from;
@@ -29,23 +30,24 @@ are stored before that join, so their row numbers are what was written.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnorm.llm.bitmap import bitmap_of, may_hold
-from fieldnorm.llm.storage import stored
+from fieldnorm.llm.storage import discard, stored
 from fieldnorm.llm.words import mixed, slices, tidy, words_of
 
 WORDS = 1 << 20
 ARCS = 1 << 18  # at most WORDS
+GAINS = 1 << 21  # pairs, and triples, whose gains are broadcast
+COMBINED = 1 << 21  # grams counted in a task before they move
 DISCOUNT = 0.5
 _BEGIN = int(mixed(np.array([0x626567], np.uint64)).view(np.int64)[0])
 _END = int(mixed(np.array([0x656E64], np.uint64)).view(np.int64)[0])
@@ -115,9 +117,12 @@ class Model:
     #: log10 failure weights of the whole model: of the grams and the beginning, and of the pairs (nan: no arcs).
     gram_back: np.ndarray | None = None
     pair_back: np.ndarray | None = None
-    #: Which gains there may be, and sorted keys of what the automaton accounts for.
+    #: Which other gains there may be, and sorted keys of what the automaton accounts for.
     gains: np.ndarray | None = None
     own_keys: np.ndarray | None = None
+    #: Sorted keys of the next frequent words, pairs and triples, and their gains.
+    gain_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    gain_values: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     @property
     def whole(self) -> float:
@@ -207,11 +212,20 @@ class Automaton:
 def _counted(docs: DataFrame, tokens) -> DataFrame:
     """How often each of the long values occurs that ``tokens`` gives for a slice of texts."""
 
+    def combined(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
             for part in slices(batch, "text"):
-                keys, n = np.unique(tokens(part.column("text")), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+                held.append(tokens(part.column("text")))
+                if sum(map(len, held)) >= COMBINED:
+                    yield combined(held)
+                    held = []
+        if held:
+            yield combined(held)
 
     return docs.select("text").mapInArrow(tidy(scan), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -248,16 +262,25 @@ def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarra
     """
     shared = docs.sparkSession.sparkContext.broadcast(parts_seen)
 
+    def combined(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        keys, a, b = map(np.concatenate, zip(*held, strict=True))
+        _, one, n = np.unique(keys, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(a[one]), pa.array(b[one]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, first, pairs, triples = _grams(part.column("text"))
                 parts, keys = (tokens, pairs) if size == 2 else (pairs, triples)
                 seen = may_hold(shared.value, parts)
                 at = np.flatnonzero(_within(first, size) & seen[:-1] & seen[1:])
-                _, one, n = np.unique(keys[at], return_index=True, return_counts=True)
-                at = at[one]
-                yield pa.RecordBatch.from_arrays([pa.array(parts[at]), pa.array(parts[at + 1]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+                held.append((keys[at], parts[at], parts[at + 1]))
+                if sum(len(x[0]) for x in held) >= COMBINED:
+                    yield combined(held)
+                    held = []
+        if held:
+            yield combined(held)
 
     counted = docs.select("text").mapInArrow(tidy(scan), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= least)
@@ -272,12 +295,6 @@ def _with_keys(grams: DataFrame) -> DataFrame:
     return grams.mapInArrow(tidy(scan), T.StructType([T.StructField("key", T.LongType()), *grams.schema.fields]))
 
 
-def _free_shuffles(spark: SparkSession) -> None:
-    """Have Spark drop the files of shuffles that no plan needs any more; it waits for a garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _failures(arcs: DataFrame, context: str) -> DataFrame:
     """log10 failure weights of the contexts of arcs with their probability ``p`` and a ``lower`` one."""
     sums = arcs.groupBy(F.col(context).alias("of")).agg(F.sum("p").alias("kept"), F.sum("lower").alias("below"))
@@ -299,32 +316,26 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     context = context.union(spark.range(1).select(F.lit(_BEGIN).alias("a"), F.lit(texts).cast("long").alias("n_a")))
     second = counts.select(F.col("key").alias("b"), ((F.col("n") + 0.5) / F.lit(model.whole)).alias("lower"))
     seen = bitmap_of(context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)), F.col("a"))
-    pairs = stored(_with_keys(_counted_grams(training, 2, least, seen)), "pair-counts")
-    _free_shuffles(spark)
-    pairs = pairs.join(context, "a").join(second, "b")
-    pairs = stored(pairs.select("key", "a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"), "pairs")
-    _free_shuffles(spark)
+    # The second word or pair is read again only for what becomes an arc.
+    slim = ["key", "a", F.when(frequent, F.col("b")).alias("b"), "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"]
+    pairs = stored(_with_keys(_counted_grams(training, 2, least, seen)).join(context, "a").join(second, "b").select(slim), "pairs")
     of_words = stored(_failures(pairs, "a").join(context.withColumnRenamed("a", "of"), "of"), "word-failures")
 
     before = pairs.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
     after = pairs.select(F.col("key").alias("b"), F.col("p").alias("lower"))
     seen = bitmap_of(pairs, F.col("key"))
-    triples = stored(_with_keys(_counted_grams(training, 3, least, seen)), "triple-counts")
-    _free_shuffles(spark)
-    triples = triples.join(before, "a").join(after, "b")
-    triples = stored(triples.select("key", "a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"), "triples")
-    _free_shuffles(spark)
+    counted = stored(_with_keys(_counted_grams(training, 3, least, seen)), "triple-counts")
+    triples = stored(counted.join(before, "a").join(after, "b").select(slim), "triples")
+    discard(counted)
     of_pairs = stored(_failures(triples, "a"), "pair-failures")
-    _free_shuffles(spark)
 
     added = F.log10("p") - F.log10("lower") - F.col("back")
-    rare_pairs = pairs.where(~frequent).join(of_words.select(F.col("of").alias("a"), "back"), "a").select("key", added.alias("gain"))
+    rare_pairs = pairs.where(~frequent).join(of_words.select(F.col("of").alias("a"), "back"), "a").select("key", "n", added.alias("gain"))
     rare_pairs = rare_pairs.join(of_pairs.withColumnRenamed("of", "key"), "key", "left")
     rare_triples = triples.where(~frequent).join(of_pairs.withColumnRenamed("of", "a"), "a")
-    gains = of_words.where((F.col("n_a") * ARCS < tokens) & (F.col("of") != _BEGIN)).select(F.col("of").alias("key"), F.col("back").alias("gain"))
-    gains = gains.union(rare_pairs.select("key", F.col("gain") + F.coalesce("back", F.lit(0.0))))
-    gains = stored(gains.union(rare_triples.select("key", added)), "gains")
-    _free_shuffles(spark)
+    gains = of_words.where((F.col("n_a") * ARCS < tokens) & (F.col("of") != _BEGIN)).select(F.col("of").alias("key"), F.col("n_a").alias("n"), F.col("back").alias("gain"))
+    gains = gains.union(rare_pairs.select("key", "n", F.col("gain") + F.coalesce("back", F.lit(0.0))))
+    gains = stored(gains.union(rare_triples.select("key", "n", added)), "gains")
 
     def arrays(df: DataFrame) -> list[np.ndarray]:
         return [column.to_numpy(zero_copy_only=False) for column in df.toArrow().combine_chunks().columns]
@@ -344,17 +355,30 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     order = np.argsort(numbers)
     model.triples, model.triple_counts = numbers[order], n[order]
     model.own_keys = np.sort(np.concatenate([grams, key, key3, [_BEGIN, _END]]))
+    discard(pairs, triples, of_words, of_pairs)
+    # At most GAINS of words, of pairs and of triples are as frequent as that.
+    near = F.col("n") * GAINS >= tokens
+    key, gain = arrays(gains.where(near).select("key", "gain"))
+    order = np.argsort(key)
+    model.gain_keys, model.gain_values = key[order], gain[order].astype(np.float64)
+    gains = gains.where(~near).drop("n")
     model.gains = bitmap_of(gains, F.col("key"))
     return model, counts, gains
 
 
-def _other_grams(model: Model, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each text, keys of words, pairs and triples that may have a gain, and how often they occur."""
+def _other_grams(model: Model, texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """For each text, the sum of the broadcast gains, and keys of words, pairs and triples that may have
+    another gain, with how often they occur."""
     tokens, first, pairs, triples = _grams(texts)
     row = np.repeat(np.arange(len(texts)), np.diff(first))
-    keys, rows = [], []
+    total, keys, rows = np.zeros(len(texts)), [], []
     for size, own in enumerate((tokens, pairs, triples), 1):
-        at = np.flatnonzero(_within(first, size) & may_hold(model.gains, own))
+        at = np.flatnonzero(_within(first, size))
+        near = _place(model.gain_keys, own[at])
+        found = near >= 0
+        total += np.bincount(row[at[found]], weights=model.gain_values[near[found]], minlength=len(texts))
+        at = at[~found]
+        at = at[may_hold(model.gains, own[at])]
         at = at[_place(model.own_keys, own[at]) < 0]
         keys.append(own[at])
         rows.append(row[at])
@@ -364,7 +388,7 @@ def _other_grams(model: Model, texts: pa.Array) -> tuple[list[np.ndarray], list[
     starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1]))) if len(keys) else np.zeros(0, np.int64)
     times = np.diff(np.append(starts, len(keys)))
     cuts = np.searchsorted(rows[starts], np.arange(1, len(texts)))
-    return np.split(keys[starts], cuts), np.split(times, cuts)
+    return total, np.split(keys[starts], cuts), np.split(times, cuts)
 
 
 _automata: dict[int, Automaton] = {}
@@ -403,7 +427,9 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                 base = np.where(known, automaton.root[at] if len(automaton.root) else 0.0, 0.0)
                 score, rare, rare_n = [], [], []
                 none = [np.zeros(0, np.int64)] * part.num_rows
-                grams, grams_n = (none, none) if shared.value.gains is None else _other_grams(shared.value, part.column("text"))
+                gained, grams, grams_n = 0.0, none, none
+                if shared.value.gains is not None:
+                    gained, grams, grams_n = _other_grams(shared.value, part.column("text"))
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                     score.append(automaton.score(at[a:b].tolist()))
                     keys, n = np.unique(hashes[a:b][~known[a:b]], return_counts=True)
@@ -417,7 +443,7 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                         pa.array(np.diff(first), pa.int64()),
                         pa.array(np.add.reduceat(known.astype(np.int64), first[:-1])),
                         pa.array(np.add.reduceat(base, first[:-1])),
-                        pa.array(score, pa.float64()),
+                        pa.array(np.array(score, np.float64) + gained),
                         pa.array(rare, pa.list_(pa.int64())),
                         pa.array(rare_n, pa.list_(pa.int64())),
                         pa.array(grams, pa.list_(pa.int64())),
@@ -449,12 +475,14 @@ def score_texts(docs: DataFrame, held_out: Column, *, least: int | None = None)
         F.sum(F.col("times") * F.log10((F.col("n") + 0.5) / F.lit(model.whole))).alias("rare_score"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
     )
+    of_rare = stored(of_rare, "rare-scores")
     of_grams = scored.limit(0).select("row", F.lit(0.0).alias("gained"))
     for table in gains:
         own = scored.select("row", F.explode(F.arrays_zip("grams", "grams_n")).alias("x")).select(
             "row", F.col("x.grams").alias("key"), F.col("x.grams_n").alias("times")
         )
         of_grams = own.join(table, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("gained"))
+        of_grams = stored(of_grams, "gained")
     more = F.coalesce("rare_score", F.lit(0.0))
     return (
         scored.drop("rare", "rare_n", "grams", "grams_n")

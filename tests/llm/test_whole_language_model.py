@@ -17,11 +17,13 @@ from fieldnorm.llm.language import fold  # noqa: E402
 DATA = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("words, arcs", [(1 << 20, 1 << 18), (3000, 2000), (50, 1)])
-def test_no_pair_is_lost_to_the_size_of_the_input(spark, monkeypatch, words, arcs):
+@pytest.mark.parametrize("words, arcs, gains", [(1 << 20, 1 << 18, 1 << 21), (3000, 2000, 9000), (50, 1, 1)])
+def test_no_pair_is_lost_to_the_size_of_the_input(spark, monkeypatch, words, arcs, gains):
     """A small ARCS is to the given texts what the real one is to a large input."""
     monkeypatch.setattr(lm, "WORDS", words)
     monkeypatch.setattr(lm, "ARCS", arcs)
+    monkeypatch.setattr(lm, "GAINS", gains)
+    monkeypatch.setattr(lm, "COMBINED", 5000)
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = [tuple(row) for row in docs.select("doc_id", "text", fold(F.col("doc_id"), 5) == 1).collect()]
     found = {row.doc_id: row for row in queries.op4_lm_scoring(spark, DATA).collect()}
