@@ -10,7 +10,7 @@ Defined cases: a null text or one without a letter is ``und`` with score 0; so i
 if nothing can be learned from. Rows without ``lang`` are predicted, not learned from. Ties
 go to the language first in order. Repeated rows are predicted each.
 
-Scale: learning reads all labelled rows and keeps, by a hash of doc_id, about ``SAMPLE`` texts
+Scale: learning reads all labelled rows and keeps, by a hash of id and text, at most ``SAMPLE`` texts
 of each language (a documented bound; whole texts), so the model's size depends on the number
 of languages only. Prediction is one narrow pass.
 """
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,7 +120,12 @@ def learn(labelled: DataFrame) -> LanguageModel:
     if not sizes:
         return LanguageModel([], np.zeros((0, FEATURES)), np.zeros(0), np.zeros(FEATURES))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, SAMPLE / n))])
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(1 << 20) * share[F.col("lang")])
+    # By a hash of id and text, so that rows of one id, or of none, aren't chosen together; rows that
+    # repeat count once. Twice the share first, then a rank: no language has more than SAMPLE.
+    drawn = labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    drawn = drawn.where(F.pmod("h", F.lit(1 << 20)) < F.lit(2 << 20) * share[F.col("lang")]).dropDuplicates(["lang", "h"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = drawn.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).drop("rank", "h")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ exact log-likelihood (forward-backward) of labelled pages, and a page is decoded
 
 Labelled pages are of two kinds. ``sample_pages`` composes pages from parts whose label is
 known: menus, notices, adverts, forms, comments and so on around and inside an article. And
-of the given pages, at most about ``SAMPLE`` chosen by a hash (the documented bound) that mark
+of the given pages, at most ``SAMPLE`` chosen by a hash (the documented bound) that mark
 their article themselves. In a part of the pages the telling marks are hidden while training,
 so that the text features count as well.
 
@@ -262,8 +262,12 @@ def learn(pages: DataFrame) -> Field:
     """Train on composed pages and on a bounded sample of the given ones (columns page_id, html)."""
     total = pages.count()
     share = min(1.0, SAMPLE / max(total, 1))
-    chosen = pages.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * share)))
-    given = [own for (page,) in sorted(chosen.select(F.coalesce("html", F.lit(""))).collect()) if (own := _self_labelled(page))]
+    # By a hash of id and page, so that pages of one id, or of none, aren't chosen together; rows that
+    # repeat count once. Twice the share first, then the least hashes: never more than SAMPLE.
+    drawn = pages.select(F.coalesce("html", F.lit("")).alias("page"), F.xxhash64("page_id", "html").alias("h"))
+    drawn = drawn.where(F.pmod("h", F.lit(1 << 20)) < F.lit(int((2 << 20) * share))).dropDuplicates(["h"])
+    chosen = drawn.orderBy("h").limit(SAMPLE).select("page").collect()
+    given = [own for (page,) in sorted(chosen) if (own := _self_labelled(page))]
     hide, labelled = random.Random(2), []
     for blocks, labels in [*sample_pages(COMPOSED), *given]:
         features = features_of(blocks)
