@@ -3,14 +3,17 @@
 A line's key is the line with white space stripped at both ends and A-Z lower-cased. Keys of
 at least ``min_chars`` code points found in at least ``min_docs`` documents lose all their
 lines except in the largest doc_id that holds them (there they all stay). Keys are compared
-by 128 bits of hash: 64 find the place, 64 are the fingerprint kept there.
+by 128 bits of hash: 64 find the place, 64 are the fingerprint kept there. A grouping by key
+takes the threshold first, so the index holds the keys that pass it, not all distinct lines, and
+the probe decides by fingerprint and last holder alone.
 
 Defined cases: a null or empty text is one empty line and loses nothing; a null doc_id counts
 as one document below all others; rows that share a doc_id are one document; an empty table
 gives an empty result.
 
 Scale: lines are written once as narrow rows (hashes and places). They are counted with
-map-side sums. Shards of the index hold about ``SHARD`` lines' probes each, so their number
+map-side sums. Shards of the index hold about ``SHARD`` lines' probes each, if no key of a shard
+is held by many more lines (but see below), so their number
 grows with the input and each is built and probed in one small task. Lines that are more than
 a thousandth of all lines (fewer than 1000 keys, whatever the input) would make a shard hot;
 their arrays are broadcast instead. Texts are shuffled once, to meet the places to drop.

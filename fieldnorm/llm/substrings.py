@@ -1,14 +1,16 @@
-"""Substring deduplication over a compacted De Bruijn graph of words.
+"""Substring deduplication by edges of a De Bruijn graph of words, grouped by anchors.
 
 Each run of ``size`` consecutive words of a document is an edge. Neighbouring edges that
 share their least inner run of ``ANCHOR`` words (their anchor) form a path, so a document is a
-chain of paths, and equal text gives equal paths but for its two ends. Paths are compacted by
-joins on their anchor: where all paths of an anchor are equal, nothing branches there, and the
-path stays one row for all its edges. Only where different paths share an anchor are single
+chain of paths, and equal text gives equal paths but for its two ends. Paths stand in place of
+compacted ones: they are cut inside a row, no nodes are made and no join extends a path over its
+end. Joins attach counts by anchor: where all paths of an anchor are equal, nothing branches
+there, and the path stays one row for all its edges. Only where different paths share an anchor are single
 edges counted: those of paths that occur once, and one copy of those that occur more often.
 A repeated edge covers its words in the document at the place it came from.
 
 Edges and paths are compared by 128 bits of hash: 64 of the anchor's words, 64 of all words.
+Repeats are not compared word by word at their places.
 
 Defined cases: a null text has no words; texts of fewer words than ``size`` have no edge and
 stay whole; rows that repeat a text are repeats of each other; rows that share a doc_id count
