@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Set
 from dataclasses import dataclass
 
 #: Kinds of HTML elements.
@@ -18,25 +22,25 @@ BLOCK = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
-_TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']*+(?:\"[^\"]*\"|'[^']*'))*+[^>\"']*+>|[^>]*>)",
-    re.S,
-)
+_OPENING = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_UNENDED = re.compile(r"<(?:!--|!\[CDATA\[)")  # what needs no ">" to end
+_COMMENT_END = re.compile(r"--!?>")
+_TAG_END = re.compile(r"(?:[^>\"']*+(?:\"[^\"]*\"|'[^']*'))*+[^>\"']*+>")
+_SIGN = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|style|aria-hidden|aria-label)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
     tag: str  # nearest block-level element
-    context: tuple[str, ...]  # features of all ancestors
+    context: frozenset[str]  # features of all ancestors; blocks may share one set
     linked: float  # share of the characters inside links
 
 
-def _marks(name: str, attributes: str) -> tuple[str, ...]:
+def _marks(name: str, attributes: str) -> list[str]:
     """Features of an element: its name and what its class, id and role say."""
     out = [f"in:{name}"]
     if "=" in attributes or "hidden" in attributes:
@@ -48,20 +52,98 @@ def _marks(name: str, attributes: str) -> tuple[str, ...]:
                 out += ["hidden"] if value.lower() != "false" else []
             else:
                 out += [f"is:{token.lower()}" for token in _TOKEN.findall(value)]
-    return tuple(out)
+    return out
+
+
+class _TagEnds:
+    """Ends of a page's tags: the first ``>`` outside quotes, or the first of all where quotes never close.
+
+    Looking for it reads on to the end of the page where quotes don't close. After that has
+    happened once, the answers for all places behind are laid down in one pass from the end.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.places: array | None = None
+
+    def after(self, at: int) -> int:
+        """Where the tag ends whose name ends at ``at``; -1 if it does not."""
+        if self.places is None:
+            if found := _TAG_END.match(self.page, at):
+                return found.end()
+            self._lay_down(at)
+        k = bisect_left(self.places, at)
+        if k < len(self.places) and self.ends[k]:
+            return self.ends[k]
+        return self.page.find(">", at) + 1 or -1
+
+    def _lay_down(self, at: int) -> None:
+        self.places = array("q", (found.start() for found in _SIGN.finditer(self.page, at)))
+        self.ends = array("q", bytes(8 * len(self.places)))
+        plain = double = single = 0  # the end as seen outside quotes, inside double and inside single ones
+        for k in range(len(self.places) - 1, -1, -1):
+            sign = self.page[self.places[k]]
+            if sign == ">":
+                plain = self.places[k] + 1
+            elif sign == '"':
+                plain, double = double, plain
+            else:
+                plain, single = single, plain
+            self.ends[k] = plain
+
+
+class _Open:
+    """The open elements of a page, with the places of each name, so that no search walks through them."""
+
+    def __init__(self, known: Set[str] | None):
+        self.known = known
+        self.names: list[str] = []
+        self.contexts: list[frozenset[str]] = [frozenset()]
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def start(self, name: str, attributes: str) -> None:
+        self.places[name].append(len(self.names))
+        if name in BLOCK:
+            self.blocks.append(len(self.names))
+        self.names.append(name)
+        context = self.contexts[-1]
+        new = {mark for mark in _marks(name, attributes) if mark not in context and (self.known is None or mark in self.known)}
+        self.contexts.append(context | new if new else context)
 
+    def nearest(self, names: Set[str]) -> int:
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=-1)
 
-def blocks_of(page: str) -> list[Block]:
+    def nearest_block(self) -> int:
+        return self.blocks[-1] if self.blocks else -1
+
+    def end(self, at: int, stop: int = -1) -> None:
+        """End the element at this place and all inside it, unless the one at ``stop`` is nearer."""
+        if at < 0 or stop > at:
+            return
+        for name in self.names[at:]:
+            self.places[name].pop()
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+        del self.names[at:], self.contexts[at + 1 :]
+
+
+def blocks_of(page: str, known: Set[str] | None = None, deepest: int | None = None) -> list[Block]:
     """The leaf blocks with text, in page order.
 
     Character references are decoded and white space becomes one space. Contents of scripts,
     styles and the like are no text. Missing end tags are put in as browsers do.
+
+    ``known`` names the features that contexts may hold, by default all; a page that has more than
+    ``deepest`` elements open at once gives no blocks. Time and memory grow with the page's
+    length, whatever is left open in it: contexts are shared by all blocks that have the same, and
+    each holds a feature once (with ``known`` no more of them than that has).
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    opened, ends = _Open(known), _TagEnds(page)
     pieces: list[str] = []
-    context: tuple[str, ...] = ()
-    tag, linked, links = "", 0, 0
+    context: frozenset[str] = frozenset()
+    tag, linked = "", 0
 
     def flush() -> None:
         nonlocal linked
@@ -80,54 +162,56 @@ def blocks_of(page: str) -> list[Block]:
         if not pieces:
             if text.isspace():
                 return
-            context = tuple(mark for _, marks in stack for mark in marks)
-            tag = next((name for name, _ in reversed(stack) if name in BLOCK), "")
+            context = opened.contexts[-1]
+            tag = opened.names[opened.nearest_block()] if opened.blocks else ""
         pieces.append(text)
-        if links:
+        if opened.places.get("a"):
             linked += len(text.strip())
 
-    def pop(at: int) -> None:
-        nonlocal links
-        links -= sum(name == "a" for name, _ in stack[at:])
-        del stack[at:]
-
-    def end(names, stops) -> None:
-        """End the nearest open element of these names, unless one that stops the search is nearer."""
-        for at in range(len(stack) - 1, -1, -1):
-            if stack[at][0] in names:
-                pop(at)
-                return
-            if stack[at][0] in stops:
-                return
-
-    at = 0
-    while found := _TAG.search(page, at):
-        put(page[at : found.start()])
-        at = found.end()
-        if found[2] is None:
-            if found[0].startswith("<![CDATA["):
-                put(found[0][9:].removesuffix("]]>"))
+    at, opening = 0, _OPENING
+    while found := opening.search(page, at):
+        start, after = found.span()
+        if found[0] == "<!--":
+            put(page[at:start])
+            close = _COMMENT_END.search(page, after)
+            at = close.end() if close else len(page)
+            continue
+        if found[0] == "<![CDATA[":
+            put(page[at:start])
+            close = page.find("]]>", after)
+            put(page[after : close if close >= 0 else len(page)])
+            at = close + 3 if close >= 0 else len(page)
+            continue
+        stop = ends.after(after) if found[2] else page.find(">", after) + 1 or -1
+        if stop < 0:
+            opening = _UNENDED
+            continue
+        put(page[at:start])
+        at = stop
+        if not found[2]:
             continue
         name = found[2].lower()
         if name in BLOCK:
             flush()
         if found[1]:
             if name not in VOID:
-                end({name}, set() if name in BLOCK else BLOCK)
+                opened.end(opened.nearest({name}), -1 if name in BLOCK else opened.nearest_block())
         elif name in SKIPPED:
-            if not found[3].endswith("/>") or name not in ("svg", "math"):
-                close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                at = close.end() if close else len(page)
+            if page[stop - 2] != "/" or name not in ("svg", "math"):
+                close = re.compile(rf"</{name}\b", re.I).search(page, at)
+                at = (page.find(">", close.end()) + 1 or len(page)) if close else len(page)
         elif name in VOID:
             if name == "br":
                 put("\n")
         else:
             if name in BLOCK:
-                end({"p"}, BLOCK - {"p"})
+                if (near := opened.nearest_block()) >= 0 and opened.names[near] == "p":
+                    opened.end(near)
                 if name in ENDS:
-                    end(ENDS[name], STOPS[name])
-            stack.append((name, _marks(name, found[3])))
-            links += name == "a"
+                    opened.end(opened.nearest(ENDS[name]), opened.nearest(STOPS[name]))
+            opened.start(name, page[after:stop])
+            if deepest is not None and len(opened.names) > deepest:
+                return []
     put(page[at:])
     flush()
     return out

@@ -8,12 +8,15 @@ exact log-likelihood (forward-backward) of labelled pages, and a page is decoded
 Labelled pages are of two kinds. ``sample_pages`` composes pages from parts whose label is
 known: menus, notices, adverts, forms, comments and so on around and inside an article. And
 of the given pages, at most ``SAMPLE`` chosen by a hash (the documented bound) that mark
-their article themselves. In a part of the pages the telling marks are hidden while training,
+their article themselves, have at most ``LONGEST`` characters and at most ``DEEPEST`` elements
+open at once (that bounds what the driver holds; they are extracted like all others). In a part of the pages the telling marks are hidden while training,
 so that the text features count as well.
 
 Defined cases: a null or empty page, or one without main text, gives an empty text; rows that
 repeat are extracted each; an empty table gives an empty result (the model then rests on the
-composed pages). Text is never cut.
+composed pages). Text is never cut. Of equally probable labellings a last
+block is left out and a block before it is kept. Very long pages, also of tags that are never closed or
+have no end, take time and memory in proportion to their length.
 
 Scale: pages are labelled where they are read, one narrow pass; learning looks at a bounded
 number of pages.
@@ -21,9 +24,10 @@ number of pages.
 
 from __future__ import annotations
 
+import math
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,7 @@ from fieldnorm.llm.dom import Block, blocks_of
 from fieldnorm.llm.words import slices, tidy
 
 SAMPLE = 150
+LONGEST, DEEPEST = 200_000, 200
 COMPOSED = 260
 STEPS = 150
 _RATE, _PULL = 0.15, 0.002
@@ -56,13 +61,13 @@ _MARKED = ("in:article", "in:main")
 _NOT_MAIN = frozenset("in:nav in:aside in:footer in:form is:comment is:comments is:ad is:ads is:advert is:share is:related hidden".split())
 
 
-def features_of(blocks: list[Block]) -> list[list[str]]:
-    """Names of the features that hold for each block."""
-    out, seen_h1 = [], False
+def own_features(blocks: list[Block]) -> Iterator[set[str]]:
+    """Names of the features that each block has beside those of its ancestors."""
+    seen_h1 = False
     for k, block in enumerate(blocks):
         text, n = block.text, block.text.count(" ") + 1
         seen_h1 |= block.tag == "h1"
-        own = {*block.context, f"tag:{block.tag}"}
+        own = {f"tag:{block.tag}"}
         own.add(f"words:{min(n.bit_length(), 7)}")
         own.add(f"linked:{int(block.linked * 3.999)}")
         own.add(f"ends:{text[-1] if text[-1] in '.!?:,;…»”)' else 'other'}")
@@ -70,11 +75,15 @@ def features_of(blocks: list[Block]) -> list[list[str]]:
         own.add(f"commas:{min(2, text.count(','))}")
         own.add("after-h1" if seen_h1 else "before-h1")
         own.add("first" if k == 0 else "last" if k == len(blocks) - 1 else "between")
-        if n <= 60:
+        if n <= 60 and len(text) <= 2000:
             own.update(f"says:{name}" for name, pattern in _TELLING.items() if pattern.search(text))
         own.add(f"{block.tag}/words:{min(n.bit_length(), 7)}")
-        out.append(sorted(own))
-    return out
+        yield own
+
+
+def features_of(blocks: list[Block]) -> list[list[str]]:
+    """Names of all features that hold for each block."""
+    return [sorted(own | block.context) for block, own in zip(blocks, own_features(blocks), strict=True)]
 
 
 class Field:
@@ -83,23 +92,34 @@ class Field:
     def __init__(self, weights: dict[str, float], link: np.ndarray, start: np.ndarray):
         self.weights, self.link, self.start = weights, link, start
 
-    def decode(self, features: list[list[str]]) -> list[bool]:
-        """The most probable labels."""
+    def score(self, names: Iterable[str]) -> float:
+        """What these features say for "main text"."""
         weight = self.weights.get
+        return math.fsum([weight(name, 0.0) for name in names])
+
+    def decode(self, features: list[list[str]]) -> list[bool]:
+        """The most probable labels of blocks with these features."""
+        return self.best_path(map(self.score, features))
+
+    def best_path(self, scores: Iterable[float]) -> list[bool]:
+        """The most probable labels of blocks with these scores (Viterbi). In a tie the last is not main text, one before it is."""
         (l00, l01), (l10, l11) = self.link.tolist()
         a, b = self.start.tolist()
         back: list[tuple[bool, bool]] = []
-        for k, own in enumerate(features):
-            score = sum([weight(name, 0.0) for name in own])
+        some = False
+        for k, score in enumerate(scores):
             if k:
                 from_a, from_b = a + l01 > b + l11, a + l00 > b + l10
                 a, b = (a + l00 if from_b else b + l10), (a + l01 if from_a else b + l11)
                 back.append((not from_b, not from_a))
             b += score
+            some = True
+        if not some:
+            return []
         labels = [b > a]
         for to_a, to_b in reversed(back):
             labels.append(to_b if labels[-1] else to_a)
-        return labels[::-1] if features else []
+        return labels[::-1]
 
 
 def train(pages: list[tuple[list[list[str]], list[bool]]]) -> Field:
@@ -253,13 +273,14 @@ def sample_pages(count: int, seed: int = 1) -> list[tuple[list[Block], list[bool
 
 def _self_labelled(page: str) -> tuple[list[Block], list[bool]] | None:
     """Blocks and labels of a page that marks its article."""
-    blocks = blocks_of(page)
-    labels = [any(mark in block.context for mark in _MARKED) and not _NOT_MAIN & {*block.context} for block in blocks]
+    blocks = blocks_of(page, deepest=DEEPEST)
+    labels = [any(mark in block.context for mark in _MARKED) and not _NOT_MAIN & block.context for block in blocks]
     return (blocks, labels) if any(labels) else None
 
 
 def learn(pages: DataFrame) -> Field:
     """Train on composed pages and on a bounded sample of the given ones (columns page_id, html)."""
+    pages = pages.where(F.length(F.coalesce("html", F.lit(""))) <= LONGEST)
     total = pages.count()
     share = min(1.0, SAMPLE / max(total, 1))
     # By a hash of id and page, so that pages of one id, or of none, aren't chosen together; rows that
@@ -278,8 +299,16 @@ def learn(pages: DataFrame) -> Field:
 
 
 def main_text(page: str | None, field: Field) -> str:
-    blocks = blocks_of(page or "")
-    return " ".join(block.text for block, main in zip(blocks, field.decode(features_of(blocks)), strict=True) if main)
+    blocks = blocks_of(page or "", known=field.weights.keys())
+
+    def scores() -> Iterator[float]:
+        last, said = None, 0.0
+        for block, own in zip(blocks, own_features(blocks), strict=True):
+            if block.context is not last:
+                last, said = block.context, field.score(block.context)
+            yield said + field.score(own)
+
+    return " ".join(block.text for block, main in zip(blocks, field.best_path(scores()), strict=True) if main)
 
 
 def extract(pages: DataFrame, field: Field) -> DataFrame:
