@@ -9,6 +9,7 @@ from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Set
 from dataclasses import dataclass
+from functools import lru_cache
 
 #: Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,8 +41,13 @@ class Block:
     linked: float  # share of the characters inside links
 
 
-def _marks(name: str, attributes: str) -> list[str]:
+def _marks(name: str, attributes: str) -> tuple[str, ...]:
     """Features of an element: its name and what its class, id and role say."""
+    return _usual_marks(name, attributes) if len(attributes) <= 200 else _usual_marks.__wrapped__(name, attributes)
+
+
+@lru_cache(maxsize=4096)
+def _usual_marks(name: str, attributes: str) -> tuple[str, ...]:
     out = [f"in:{name}"]
     if "=" in attributes or "hidden" in attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
@@ -52,7 +58,7 @@ def _marks(name: str, attributes: str) -> list[str]:
                 out += ["hidden"] if value.lower() != "false" else []
             else:
                 out += [f"is:{token.lower()}" for token in _TOKEN.findall(value)]
-    return out
+    return tuple(dict.fromkeys(out))
 
 
 class _TagEnds:
@@ -107,9 +113,9 @@ class _Open:
         if name in BLOCK:
             self.blocks.append(len(self.names))
         self.names.append(name)
-        context = self.contexts[-1]
-        new = {mark for mark in _marks(name, attributes) if mark not in context and (self.known is None or mark in self.known)}
-        self.contexts.append(context | new if new else context)
+        context, known = self.contexts[-1], self.known
+        new = [mark for mark in _marks(name, attributes) if mark not in context and (known is None or mark in known)]
+        self.contexts.append(context.union(new) if new else context)
 
     def nearest(self, names: Set[str]) -> int:
         return max((self.places[name][-1] for name in names if self.places.get(name)), default=-1)

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -104,3 +105,17 @@ def test_training_climbs_to_where_the_likelihood_is_flat():
             moved = field.link.copy()
             moved[at] += step
             assert value(field.weights, moved, field.start) < here
+
+
+def test_every_match_of_a_telling_pattern_passes_its_gate():
+    """Of each alternative, with and without its optional parts, and of random texts of the gates' words."""
+    r = random.Random(7)
+    words = [word for gate in main_text.GATES.values() for word in gate] + ["s", "ement", "re", "aire", "comment", "log", "in", "up", "sign", "reads"]
+    for name, pattern in main_text.TELLING.items():
+        alone = 0
+        for _ in range(4000):
+            text = "".join(r.choice(words) + r.choice(["", " ", "."]) for _ in range(r.randint(1, 3)))
+            matched = re.search(pattern, text) is not None
+            alone += matched
+            assert (f"says:{name}" in main_text.telling(text)) == matched, (name, text)
+        assert alone
