@@ -1,4 +1,4 @@
-from fieldnorm.operators.fingerprint import Fingerprint, compare, fingerprint, fingerprint_of
+from fieldnorm.operators.fingerprint import Fingerprint, compare, compare_groups, fingerprint, fingerprint_of
 from fieldnorm.operators.normalize import normalize, preview
 from fieldnorm.operators.quality import (
     QualityError,
@@ -15,6 +15,7 @@ __all__ = [
     "Fingerprint",
     "QualityError",
     "compare",
+    "compare_groups",
     "counted_output_quality",
     "filled",
     "fingerprint",

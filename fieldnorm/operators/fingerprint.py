@@ -14,7 +14,7 @@ rows on their way to somewhere else, so that the source of a copy is not scanned
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row
@@ -115,3 +115,27 @@ def compare(source: DataFrame, target: DataFrame) -> DataFrame:
     ]
     both = sides[0].join(sides[1], "column_name", "full")
     return both.select("column_name", "source_rows", "target_rows", F.coalesce(F.col("source") == F.col("target"), F.lit(False)).alias("matched"))
+
+
+def compare_groups(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each value of the keys on either side: keys, source_rows, target_rows, matched.
+
+    ``matched`` says that both sides hold the same rows there, in whatever order; rows are null
+    where a side has none. Null is a key like others. Tasks fold their rows into one partial row
+    for each group they meet, so a group may be of any size; only one row a group is joined.
+    Columns are matched by name without regard to case and must be the same on both sides.
+    """
+    if sorted(map(str.upper, source.columns)) != sorted(map(str.upper, target.columns)):
+        raise ValueError(f"columns differ: {source.columns} and {target.columns}")
+    aliases = [f"key_{k}" for k in range(len(keys))]
+    sides = []
+    for side, df in (("source", source), ("target", target.select(*map(column, source.columns)))):
+        aggregates = fingerprint_aggregates(df)
+        groups = df.groupBy(*(column(key).alias(alias) for key, alias in zip(keys, aliases, strict=True))).agg(*aggregates)
+        lanes = [name for name in groups.columns if name not in aliases]
+        own = [F.col(alias).alias(f"{side}_{alias}") for alias in aliases]
+        sides.append(groups.select(*own, F.col("ROWS").alias(f"{side}_rows"), F.struct(*lanes).alias(side)))
+    same = [F.col(f"source_{alias}").eqNullSafe(F.col(f"target_{alias}")) for alias in aliases]
+    both = sides[0].join(sides[1], same, "full")
+    out = [F.when(F.col("source").isNotNull(), F.col(f"source_{alias}")).otherwise(F.col(f"target_{alias}")).alias(key) for key, alias in zip(keys, aliases, strict=True)]
+    return both.select(*out, "source_rows", "target_rows", F.coalesce(F.col("source") == F.col("target"), F.lit(False)).alias("matched"))

@@ -44,7 +44,7 @@ def row_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 
 
-def _mismatch(spark: SparkSession, copy: str, original: str, expected_rows: int, content: Fingerprint | None = None) -> str | None:
+def copy_mismatch(spark: SparkSession, copy: str, original: str, expected_rows: int, content: Fingerprint | None = None) -> str | None:
     """What is wrong with a copy, or None. The cheaper checks come first: columns, rows, content."""
     if not catalog.same_schema(spark, copy, original):
         return f"the columns of {copy} differ from those of {original}"
@@ -92,7 +92,7 @@ def fingerprinted_backup(
     catalog.create_empty_like(spark, table, tmp, own_folder=own_folder, notes={"day": f"{run_date:%Y%m%d}"})
     content = catalog.append_rows(snapshot, tmp)
     expected = content.rows if expected_rows is None else expected_rows
-    if problem := _mismatch(spark, tmp, table, expected, content):
+    if problem := copy_mismatch(spark, tmp, table, expected, content):
         raise PublishError(f"backup of {table} failed: {problem}. The table is untouched, inspect {tmp}.")
     catalog.mark(spark, tmp, rows=content.rows, content=content.digest())
 
@@ -106,7 +106,7 @@ def fingerprinted_backup(
             catalog.rename(spark, old, dated)
         raise
     try:
-        problem = _mismatch(spark, dated, table, expected)
+        problem = copy_mismatch(spark, dated, table, expected)
     except Exception as error:
         problem = f"{dated} could not be verified ({error})"
     if problem:

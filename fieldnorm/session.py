@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 HUGE_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 JIT_LIMIT = 8000
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -24,6 +25,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[SparkSession]:
+    """Overwrites of a block replace only the partitions they write; afterwards the session is as it was.
+
+    ``insertInto`` goes by the session's setting, not by an option of the write.
+    """
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield spark
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 @contextmanager
 def tuned(spark: SparkSession) -> Iterator[SparkSession]:
     """``tune`` for the actions of a block; afterwards the session is as it was."""
