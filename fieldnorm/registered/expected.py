@@ -256,6 +256,11 @@ _COMPARED = f"""WITH {POS_RAW},
   SELECT 'backup' AS "copy", column_name, n AS source_rows, n AS target_rows, true AS matched FROM bags, sized
   UNION ALL SELECT 'changed', column_name, n, n, same FROM bags, sized"""
 
+_GROUPS = f"""WITH {POS_RAW}
+SELECT CASE k % 4 WHEN 0 THEN 'a b' WHEN 1 THEN '10:00' WHEN 2 THEN ' x ' END AS PLACE, count(*) AS source_rows,
+  CASE WHEN k % 4 <> 2 THEN count(*) END AS target_rows, k % 4 <> 2 AND count(*) FILTER (k % 8 = 1) = 0 AS matched
+FROM raw GROUP BY k % 4"""
+
 EXPECTED = {
     "parse_date": f"""WITH {POS_DIRTY}
       SELECT k, {_date('TRN_BGN_DATE')} AS begin_date, {_date('POST_DATE')} AS post_date FROM raw""",
@@ -299,6 +304,7 @@ EXPECTED = {
         TRY_CAST(regexp_extract(data_type, '\\d+') AS INTEGER), NULL, NULL FROM ({_STAGE_PROFILE})""",
     "row_count_reconcile": "SELECT count(*) AS source_rows, count(*) AS target_rows, true AS matched FROM orders",
     "copy_compare": _COMPARED,
+    "compare_groups": _GROUPS,
     "backup_refresh": f"WITH {POS_RAW} SELECT * FROM raw",
     "stage_verified": POS_NORMALIZED,
     "publish_swap": POS_NORMALIZED,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldnorm.functions import amount_text, date_text, field_text, parse_date, timestamp_text, trim_strings
 from fieldnorm.functions import truncate_last_2 as drop_last_2
-from fieldnorm.operators import compare, normalize, output_quality, preview, quality_pass, reconcile, source_quality
+from fieldnorm.operators import compare, compare_groups, normalize, output_quality, preview, quality_pass, reconcile, source_quality
 from fieldnorm.plans import publish_swap, recover, refresh_backup, run_job, stage_verified
 from fieldnorm.plans.names import swap_name
 from fieldnorm.registered.raw_views import (
@@ -140,6 +140,13 @@ def copy_compare_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports[0].union(reports[1])
 
 
+def compare_groups_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows by place against rows of which one place is gone and one has other notes."""
+    raw = raw_pos_partitioned(spark, sf_dir)
+    note = F.when(F.col("k") % 8 == 1, "other").otherwise(F.col("NOTE"))
+    return compare_groups(raw, raw.where(F.col("k") % 4 != 2).withColumn("NOTE", note), ["PLACE"])
+
+
 def recover_killed_run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that was killed between its two renames, ended by ``recover``."""
     table, _, _ = _staged(spark, sf_dir)
@@ -211,6 +218,7 @@ QUERIES: dict[str, Query] = {
     "schema_profile": schema_profile_query,
     "row_count_reconcile": row_count_reconcile_query,
     "copy_compare": copy_compare_query,
+    "compare_groups": compare_groups_query,
     "backup_refresh": backup_refresh_query,
     "stage_verified": stage_verified_query,
     "publish_swap": publish_swap_query,
