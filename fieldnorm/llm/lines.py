@@ -1,22 +1,24 @@
-"""Line deduplication: documents probe a sharded minimal perfect hash of repeated lines.
+"""Line deduplication: documents probe a sharded minimal perfect hash of all distinct lines.
 
 A line's key is the line with white space stripped at both ends and A-Z lower-cased. Keys of
 at least ``min_chars`` code points found in at least ``min_docs`` documents lose all their
 lines except in the largest doc_id that holds them (there they all stay). Keys are compared
-by 128 bits of hash: 64 find the place, 64 are the fingerprint kept there. A grouping by key
-takes the threshold first, so the index holds the keys that pass it, not all distinct lines, and
-the probe decides by fingerprint and last holder alone.
+by 128 bits of hash: a perfect hash of both halves finds the place, the second half is the
+fingerprint kept there. Beside it stand the number of documents and the last holder; the
+probe decides by these arrays.
 
 Defined cases: a null or empty text is one empty line and loses nothing; a null doc_id counts
 as one document below all others; rows that share a doc_id are one document; an empty table
 gives an empty result.
 
 Scale: lines are written once as narrow rows (hashes and places). They are counted with
-map-side sums. Shards of the index hold about ``SHARD`` lines' probes each, if no key of a shard
-is held by many more lines (but see below), so their number
-grows with the input and each is built and probed in one small task. Lines that are more than
-a thousandth of all lines (fewer than 1000 keys, whatever the input) would make a shard hot;
-their arrays are broadcast instead. Texts are shuffled once, to meet the places to drop.
+map-side sums, so the index sees each distinct line once: a shard of it holds about ``SHARD``
+lines at most, whatever their frequencies, and is built in one small task. Lines are dealt to
+shards and probe the arrays there. Where a frequent line makes a shard wide, its probes are
+dealt over pieces of about ``PIECE`` lines by a number stored with them, and each piece gets
+the arrays. Which shards are wide is a table of its own, which Spark broadcasts if it is
+small (one row for every ``PIECE`` lines at most) and joins otherwise. Texts are shuffled
+once, to meet the places to drop.
 """
 
 from __future__ import annotations
@@ -34,14 +36,17 @@ from fieldnorm.llm.perfect_hash import PerfectHash
 from fieldnorm.llm.storage import stored
 from fieldnorm.llm.words import LOWER, is_space, slices, span_hashes, text_bytes, tidy
 
-SHARD = 100_000
-HOT_PART = 1000
+SHARD = 50_000
+PIECE = 100_000
 NO_ID = -(1 << 63)
 
 _LINES = T.StructType(
-    [T.StructField(name, T.LongType()) for name in ("key", "check", "doc_id", "text_hash")] + [T.StructField("at", T.IntegerType())]
+    [T.StructField(name, T.LongType()) for name in ("key", "check", "doc_id", "text_hash")]
+    + [T.StructField(name, T.IntegerType()) for name in ("at", "turn")]
 )
-_INDEX = "shard int, levels binary, checks binary, counts binary, lasts binary"
+_ARRAYS = ["turned", "levels", "checks", "counts", "lasts"]
+_INDEX = "shard int, n_lines long, turned int, levels binary, checks binary, counts binary, lasts binary"
+MOST = (1 << 32) - 1  # counts are kept in 32 bits; a larger one stays there
 
 
 def _line_rows(min_chars: int):
@@ -72,6 +77,7 @@ def _line_rows(min_chars: int):
                         part.column("doc_id").take(take),
                         part.column("text_hash").take(take),
                         pa.array(at[keep], pa.int32()),
+                        pa.array(np.arange(len(keep)), pa.int32()),
                     ],
                     names=_LINES.names,
                 )
@@ -79,78 +85,80 @@ def _line_rows(min_chars: int):
     return scan
 
 
-def _index(shard: int, table: pa.Table) -> dict:
+def _whole(key: np.ndarray, check: np.ndarray, turned: int) -> np.ndarray:
+    """Both halves of a key in 64 bits, for the perfect hash."""
+    check = check.view(np.uint64)
+    return key.view(np.uint64) ^ ((check << np.uint64(turned)) | (check >> np.uint64(64 - turned)))
+
+
+def _build(table: pa.Table) -> pa.Table:
     """The arrays of one shard, in the order of its perfect hash."""
-    key, check, count, last = (table.column(name).to_numpy() for name in ("key", "check", "n_docs", "last"))
-    index = PerfectHash.build(key.view(np.uint64) ^ _turned(check))
-    place = index.find(key.view(np.uint64) ^ _turned(check))
-    order = np.argsort(place)
-    return {
-        "shard": shard, "levels": index.dump(), "checks": check[order].tobytes(),
-        "counts": count[order].astype(np.int64).tobytes(), "lasts": last[order].tobytes(),
+    key, check, count, last, lines = (table.column(name).to_numpy() for name in ("key", "check", "n_docs", "last", "n_lines"))
+    # Should two keys look the same in 64 bits, another turn tells them apart.
+    turned = next(k for k in range(1, 64) if len(np.unique(_whole(key, check, k))) == len(key))
+    whole = _whole(key, check, turned)
+    index = PerfectHash.build(whole)
+    order = np.argsort(index.find(whole))
+    row = {
+        "shard": table.column("shard")[0].as_py(), "n_lines": int(lines.sum()), "turned": turned, "levels": index.dump(),
+        "checks": check[order].tobytes(), "counts": np.minimum(count, MOST)[order].astype(np.uint32).tobytes(),
+        "lasts": last[order].tobytes(),
     }
+    kinds = [("shard", pa.int32()), ("n_lines", pa.int64()), ("turned", pa.int32()), *[(name, pa.binary()) for name in _ARRAYS[1:]]]
+    return pa.Table.from_pylist([row], schema=pa.schema(kinds))
 
 
-def _turned(check: np.ndarray) -> np.ndarray:
-    check = check.view(np.uint64)
-    return (check << np.uint64(32)) | (check >> np.uint64(32))
+def _probe(arrays: dict, key: np.ndarray, check: np.ndarray, doc_id: np.ndarray, min_docs: int) -> np.ndarray:
+    """Which lines are to be dropped."""
+    checks, lasts = (np.frombuffer(arrays[name], np.int64) for name in ("checks", "lasts"))
+    counts = np.frombuffer(arrays["counts"], np.uint32)
+    place = PerfectHash.load(arrays["levels"]).find(_whole(key, check, arrays["turned"]))
+    return (place >= 0) & (checks[place] == check) & (counts[place] >= min_docs) & (doc_id < lasts[place])
 
 
-def _build(table: pa.Table) -> pa.Table:
-    shard = table.column("shard")[0].as_py()
-    return pa.Table.from_pylist([_index(shard, table)], schema=pa.schema(
-        [("shard", pa.int32()), *[(name, pa.binary()) for name in ("levels", "checks", "counts", "lasts")]]
-    ))
+def _probe_piece(min_docs: int):
+    def probe(lines: pa.Table, index: pa.Table) -> pa.Table:
+        found = lines.select(_GONE)
+        if not lines.num_rows:
+            return found
+        columns = [lines.column(name).to_numpy() for name in ("key", "check", "doc_id")]
+        return found.filter(pa.array(_probe(index.select(_ARRAYS).to_pylist()[0], *columns, min_docs)))
 
+    return probe
 
-def _probe(arrays: dict, key: np.ndarray, check: np.ndarray, doc_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each line is in the index, and whether it is one to drop."""
-    checks, lasts = (np.frombuffer(arrays[name], np.int64) for name in ("checks", "lasts"))
-    if not len(checks):
-        return np.zeros(len(key), bool), np.zeros(len(key), bool)
-    place = PerfectHash.load(arrays["levels"]).find(key.view(np.uint64) ^ _turned(check))
-    known = (place >= 0) & (checks[place] == check)
-    return known, known & (doc_id < lasts[place])
 
+_GONE = ["doc_id", "text_hash", "at"]
 
-def _columns(table) -> list[np.ndarray]:
-    return [table.column(name).to_numpy(**({"zero_copy_only": False} if isinstance(table, pa.RecordBatch) else {})) for name in ("key", "check", "doc_id")]
 
+def line_index(lines: DataFrame) -> DataFrame:
+    """One row for each shard of the distinct lines: the perfect hash and the arrays in its order.
+
+    ``lines`` are rows of key, check and doc_id. Shards are dealt by ``_shard``.
+    """
+    shard = _shard(lines.count())
+    counts = lines.groupBy("key", "check").agg(
+        F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last"), F.count("*").alias("n_lines")
+    )
+    return counts.withColumn("shard", shard).groupBy("shard").applyInArrow(_build, _INDEX)
 
-def _probe_shard(lines: pa.Table, index: pa.Table) -> pa.Table:
-    lines = lines.select(_LINES.names)
-    if not lines.num_rows or not index.num_rows:
-        return lines.slice(0, 0)
-    return lines.filter(pa.array(_probe(index.to_pylist()[0], *_columns(lines))[1]))
+
+def _shard(n_lines: int) -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(max(1, -(-n_lines // SHARD)))).cast("int")
 
 
 def dropped_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Documents that lose lines: holder (doc_id, or the lowest long for null), text_hash, dropped (places from 0)."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     lines = stored(keyed.mapInArrow(tidy(_line_rows(min_chars)), _LINES), "lines")
-    total = lines.count()
-    shards = max(1, -(-total // SHARD))
-    counts = lines.groupBy("key", "check").agg(
-        F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last"), F.count("*").alias("n_lines")
-    )
-    shard = F.pmod(F.hash("key"), F.lit(shards)).alias("shard")
-    repeated = stored(counts.where(F.col("n_docs") >= min_docs).select("key", "check", "n_docs", "last", "n_lines", shard), "repeated-lines")
-    is_hot = F.col("n_lines") * HOT_PART > total
-    hot = _index(0, pa.Table.from_pandas(repeated.where(is_hot).drop("shard").toPandas()))
-    index = repeated.where(~is_hot).groupBy("shard").applyInArrow(_build, _INDEX)
-
-    def probe_hot(dropped: bool):
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                known, drop = _probe(hot, *_columns(batch))
-                yield batch.filter(pa.array(drop if dropped else ~known))
-
-        return scan
-
-    of_hot = lines.mapInArrow(tidy(probe_hot(True)), _LINES)
-    others = lines.mapInArrow(tidy(probe_hot(False)), _LINES).withColumn("shard", shard)
-    of_shards = others.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe_shard, _LINES)
-    gone = of_hot.unionByName(of_shards)
+    index = stored(line_index(lines), "line-index")
+    pieces = F.ceil(F.col("n_lines") / PIECE).cast("int")
+    wide = stored(index.where(F.col("n_lines") > PIECE).select("shard", pieces.alias("pieces")), "wide-shards")
+    dealt = lines.withColumn("shard", _shard(lines.count())).join(wide, "shard", "left")
+    probes = dealt.withColumn("piece", F.pmod(F.xxhash64("turn", "text_hash"), F.coalesce("pieces", F.lit(1))).cast("int")).drop("pieces")
+    arrays = index.select("shard", F.explode(F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)).alias("piece"), *_ARRAYS)
+    gone = probes.groupBy("shard", "piece").cogroup(arrays.groupBy("shard", "piece")).applyInArrow(
+        _probe_piece(min_docs), "doc_id long, text_hash long, at int"
+    )
     return gone.groupBy(F.col("doc_id").alias("holder"), "text_hash").agg(F.collect_set("at").alias("dropped"))
 
 

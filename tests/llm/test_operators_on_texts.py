@@ -101,7 +101,7 @@ def test_hot_lines_and_ties(spark, monkeypatch):
     assert ordered(line_report(df).collect()) == expected
     import fieldnorm.llm.lines as lines
 
-    monkeypatch.setattr(lines, "HOT_PART", 0)  # no line is hot: all go through shards
+    monkeypatch.setattr(lines, "PIECE", 5)  # the frequent line's probes are dealt over pieces
     monkeypatch.setattr(lines, "SHARD", 7)
     assert ordered(line_report(df).collect()) == expected
 
