@@ -2,8 +2,9 @@
 
 Texts are read as words (letters, digits and non-ASCII characters, A-Z lower-cased) joined by
 one blank; rules are regular expressions over that, at word borders. A rule runs only on
-texts that hold its keyword, which is part of whatever the rule matches. Of two detections, one that lies inside the other's words goes
-if it has the lower priority, or the same priority and fewer words, or else a later rule.
+texts that hold its keyword, which is part of whatever the rule matches. Of two detections,
+one that lies inside the other's words goes if it has the lower priority, or the same priority
+and fewer characters, or else a later rule.
 What is left names the labels. The three base phrases are counted apart and always stay.
 
 Defined cases: a null or text without words has no labels and scores 0; repeated rows are
@@ -65,6 +66,32 @@ FAMILIES = [
     ("cc-by", "attribution", "creative commons attribution", "creativecommons org licenses by", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
 ]
 
+#: Short names that stand with a version, as (label, short name, versions).
+SHORT_NAMES = [
+    ("agpl", "agpl", ["1 0", "3 0", "3"]),
+    ("lgpl", "lgpl", ["2 0", "2 1", "3 0", "2", "3"]),
+    ("gpl", "gpl", ["1 0", "2 0", "3 0", "1", "2", "3"]),
+    ("gfdl", "gfdl", ["1 1", "1 2", "1 3"]),
+    ("mpl", "mpl", ["1 0", "1 1", "2 0", "2"]),
+    ("epl", "epl", ["1 0", "2 0"]),
+    ("cddl", "cddl", ["1 0", "1 1"]),
+    ("eupl", "eupl", ["1 0", "1 1", "1 2"]),
+    ("bsl", "bsl", ["1 0"]),
+    ("afl", "afl", ["1 1", "1 2", "2 0", "2 1", "3 0"]),
+    ("osl", "osl", ["1 0", "1 1", "2 0", "2 1", "3 0"]),
+    ("ofl", "ofl", ["1 0", "1 1"]),
+    ("lppl", "lppl", ["1 0", "1 1", "1 2", "1 3", "1 3c"]),
+    ("zpl", "zpl", ["1 1", "2 0", "2 1"]),
+    ("odbl", "odbl", ["1 0"]),
+    ("sspl", "sspl", ["1"]),
+]
+
+#: Families whose version is often followed by "or later".
+OR_LATER = ("agpl", "lgpl", "gpl")
+
+#: Families whose bare name is an everyday word, told by other rules.
+EVERYDAY = ("apache",)
+
 #: Short forms of the Creative Commons family, after "cc ".
 CC_SHORT = ["by nc nd", "by nc sa", "by nc", "by nd", "by sa", "by", "zero", "0"]
 
@@ -104,7 +131,51 @@ SIGNATURES = [
     ("lgpl", "lgplv", "lgplv(?:2|2 1|3)", 73, 0.85),
     ("agpl", "agplv", "agplv3", 74, 0.85),
     ("free-software", "free software", "this (?:program|library) is free software", 50, 0.6),
-    ("apache", "apache license", "apache license", 55, 0.7),
+    ("apache", "apache", "apache (?:software |public )?licen[cs]e", 60, 0.8),
+    ("apache", "agreements", "licensed to the apache software foundation asf under one or more contributor license agreements", 92, 0.97),
+    ("apache", "applicable law or agreed", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", 91, 0.95),
+    ("mit", "this permission notice", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 90, 0.9),
+    ("mit-0", "mit no attribution", "mit no attribution(?: license)?", 85, 0.9),
+    ("bsd", "redistribution and use", "redistribution and use in source and binary forms(?: with or without modification are permitted)?", 88, 0.9),
+    ("bsd-3-clause-clear", "clear bsd", "(?:the )?clear bsd license", 85, 0.9),
+    ("bsl", "any person or organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", 95, 0.97),
+    ("gpl-family", "in the hope that it will be useful", "is distributed in the hope that it will be useful but without any warranty", 60, 0.7),
+    ("gpl-family", "redistribute it and or modify", "you can redistribute it and or modify it under the terms of the gnu", 65, 0.8),
+    ("perl", "same terms as perl", "under the same terms as perl(?: itself)?", 85, 0.9),
+    ("mpl", "source code form", "this source code form is subject to the terms of the mozilla public license", 88, 0.95),
+    ("mpl", "contents of this file are subject", "the contents of this file are subject to the mozilla public license", 88, 0.95),
+    ("epl", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse", 85, 0.95),
+    ("unlicense", "anyone is free to copy", "anyone is free to copy modify publish use compile sell or distribute this software", 94, 0.95),
+    ("ofl", "font software", "this font software is licensed under the sil open font license", 88, 0.95),
+    ("cc0", "waived all copyright", "has waived all copyright and related or neighboring rights", 88, 0.95),
+    ("creative-commons", "creative commons", "this work is licensed under a creative commons", 50, 0.8),
+    ("postgresql", "without a written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement", 94, 0.95),
+    ("postgresql", "postgresql license", "(?:the )?postgresql license", 70, 0.8),
+    ("ncsa", "ncsa open source", "(?:university of illinois )?ncsa open source license", 85, 0.9),
+    ("openssl", "openssl", "this product includes software developed by the openssl project", 88, 0.9),
+    ("json", "good not evil", "the software shall be used for good not evil", 94, 0.95),
+    ("w3c", "w3c software", "w3c software (?:and document )?(?:notice and )?license", 80, 0.9),
+    ("unicode", "unicode license", "unicode license(?: agreement)?", 75, 0.8),
+    ("upl", "universal permissive", "universal permissive license", 80, 0.9),
+    ("blueoak", "blue oak", "blue oak model license", 85, 0.9),
+    ("mulan", "mulan", "mulan (?:permissive software license|psl)", 80, 0.9),
+    ("vim", "vim license", "(?:the )?vim license", 75, 0.8),
+    ("ruby", "ruby license", "(?:the )?ruby license", 70, 0.7),
+    ("openldap", "openldap public", "openldap public license", 80, 0.9),
+    ("cpal", "common public attribution", "common public attribution license", 82, 0.9),
+    ("rpl", "reciprocal public", "reciprocal public license", 80, 0.9),
+    ("ms-rl", "microsoft reciprocal", "microsoft reciprocal license", 80, 0.9),
+    ("sspl", "server side public", "server side public license", 82, 0.95),
+    ("busl", "business source", "business source license(?: 1 1)?", 82, 0.95),
+    ("elastic", "elastic license", "elastic license(?: 2 0)?", 78, 0.85),
+    ("commons-clause", "commons clause", "commons clause(?: license condition)?", 80, 0.9),
+    ("polyform", "polyform", "polyform (?:noncommercial|shield|strict|small business|perimeter)(?: license)?", 82, 0.95),
+    ("openrail", "openrail", "(?:creativeml |bigscience |bigcode )?openrail(?: ?m)?(?: license)?", 75, 0.85),
+    ("hippocratic", "hippocratic", "hippocratic license", 80, 0.9),
+    ("pddl", "public domain dedication", "public domain dedication and license", 82, 0.9),
+    ("cc0", "public domain dedication", "cc0 public domain dedication", 84, 0.95),
+    ("reserved-some", "some rights reserved", "some rights reserved", 45, 0.6),
+    ("reserved-none", "no rights reserved", "no rights reserved", 45, 0.6),
     ("apache", "you may not use this file", "you may not use this file except in compliance with the license", 90, 0.95),
     ("warranty-disclaimer", "as is", "provided (?:by .{1,60}? )?as is(?: and)?(?: without| any)", 30, 0.3),
     ("creative-commons", "creative commons", "creative commons(?: license)?", 45, 0.6),
@@ -140,7 +211,7 @@ def _rule(label: str, keyword: str, pattern: str, priority: int, weight: float)
 
 @functools.cache
 def rules() -> tuple[Rule, ...]:
-    """All rules in order: each family's forms with and without version, short forms, single signatures."""
+    """All rules in order: each family's forms with and without version, short names and forms, single signatures."""
     out = []
     for label, keyword, name, address, versions in FAMILIES:
         for form, priority, weight in FORMS:
@@ -148,8 +219,15 @@ def rules() -> tuple[Rule, ...]:
             for version in versions:
                 full = f"{label}-{version.replace(' ', '.')}"
                 out.append(_rule(full, needed, form.format(n=f"(?:{name})", v=version, a=address), priority, weight))
-        out.append(_rule(label, keyword, name, 60, 0.8))
+        if label not in EVERYDAY:
+            out.append(_rule(label, keyword, name, 60, 0.8))
         out.append(_rule(label, "spdx license", f"spdx license identifier {label.replace('-', ' ')}(?: [0-9]+)*(?: only| or later)?", 99, 0.99))
+    for label, short, versions in SHORT_NAMES:
+        for version in versions:
+            full, name = f"{label}-{version.replace(' ', '.')}", rf"(?:gnu )?{short}(?: licen[cs]e)?(?: version)? ?v?{version}"
+            out.append(_rule(full, short, name, 80, 0.9))
+            if label in OR_LATER:
+                out.append(_rule(f"{full}-or-later", short, f"{name} or (?:any )?later(?: version)?", 82, 0.95))
     for short in CC_SHORT:
         label = "cc0" if short in ("zero", "0") else f"cc-{short.replace(' ', '-')}"
         out.append(_rule(label, f"cc {short}", f"cc {short}", 70 + len(short), 0.9))
