@@ -36,6 +36,7 @@ def run_job(
     sentinels: Iterable[str] = SENTINELS,
     run_date: date | None = None,
     own_folders: bool = False,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Normalise ``source`` and return a preview (dry run, the default) or the new table.
 
@@ -55,13 +56,17 @@ def run_job(
     old one, so that renames move no files and look up no partitions. Dropping such a table
     by other means leaves its files behind.
 
+    With ``rebalance`` the rows of backup and stage are shuffled by the target's partition
+    columns before they are written. That is worth a shuffle where the source's tasks each
+    hold rows of many partitions; by default nothing is shuffled.
+
     A run that was killed leaves work tables; ``recover`` finishes or undoes it.
 
     The session's limit for compiled methods is lowered while the run scans and writes, and
     put back afterwards; a preview is computed later, by whoever asks for its rows.
     """
     with tuned(spark):
-        return _run(spark, source, specs, target, dry_run, preview_key, tuple(sentinels), run_date, own_folders)
+        return _run(spark, source, specs, target, dry_run, preview_key, tuple(sentinels), run_date, own_folders, rebalance)
 
 
 def _run(
@@ -74,6 +79,7 @@ def _run(
     sentinels: tuple[str, ...],
     run_date: date | None,
     own_folders: bool,
+    rebalance: bool,
 ) -> DataFrame:
     target = source if target is None and isinstance(source, str) else target
     in_place = target is not None and target == source
@@ -99,12 +105,13 @@ def _run(
         source=raw if in_place else None,
         expected_rows=rows if in_place else None,
         own_folder=own_folders,
+        rebalance=rebalance,
     )
     log.info("verified backup %s", backup)
     notes = {"replaces": copied.digest(), "in_place": in_place}
     seen, content = observed(raw) if in_place else (raw, lambda: copied)
     converted = normalize(seen, specs, sentinels, untrimmed=partition_columns(spark, target))
-    stage = stage_verified(spark, converted, target, specs, rows, filled(report), own_folders, notes)
+    stage = stage_verified(spark, converted, target, specs, rows, filled(report), own_folders, notes, rebalance)
     if changed := content().differences(copied):
         raise PublishError(
             f"{target} changed between backup and conversion, in {', '.join(changed)}. {target} is untouched, drop {stage}."

@@ -63,15 +63,16 @@ def refresh_backup(
     source: DataFrame | None = None,
     expected_rows: int | None = None,
     own_folder: bool = False,
+    rebalance: bool = False,
 ) -> str:
     """Make or replace the backup of ``table`` for ``run_date``; returns its name.
 
     A copy is written and verified by content under a temporary name, then takes the dated name
     and is counted again. An earlier backup of the same date is dropped only after that, and put
     back if anything fails; a copy that failed is kept. ``source`` is the snapshot of the
-    table to copy, by default its present rows.
+    table to copy, by default its present rows. ``rebalance`` is that of ``append_rows``.
     """
-    return fingerprinted_backup(spark, table, run_date, source, expected_rows, own_folder)[0]
+    return fingerprinted_backup(spark, table, run_date, source, expected_rows, own_folder, rebalance)[0]
 
 
 def fingerprinted_backup(
@@ -81,6 +82,7 @@ def fingerprinted_backup(
     source: DataFrame | None = None,
     expected_rows: int | None = None,
     own_folder: bool = False,
+    rebalance: bool = False,
 ) -> tuple[str, Fingerprint]:
     """``refresh_backup``, which also returns the fingerprint of the rows that were copied."""
     catalog.require_session_catalog(spark, table)
@@ -90,7 +92,7 @@ def fingerprinted_backup(
     snapshot = spark.table(table) if source is None else source
 
     catalog.create_empty_like(spark, table, tmp, own_folder=own_folder, notes={"day": f"{run_date:%Y%m%d}"})
-    content = catalog.append_rows(snapshot, tmp)
+    content = catalog.append_rows(snapshot, tmp, rebalance)
     expected = content.rows if expected_rows is None else expected_rows
     if problem := copy_mismatch(spark, tmp, table, expected, content):
         raise PublishError(f"backup of {table} failed: {problem}. The table is untouched, inspect {tmp}.")
@@ -138,6 +140,7 @@ def stage_verified(
     expected_filled: Mapping[str, int] | None = None,
     own_folder: bool = False,
     notes: Mapping[str, object] | None = None,
+    rebalance: bool = False,
 ) -> str:
     """Write normalised rows to the staging table of ``table`` and verify them there.
 
@@ -145,7 +148,8 @@ def stage_verified(
     What was written is read back once for row count, value shapes, content (it must be what
     the write was given) and, where the counters of ``quality_pass`` are given as
     ``expected_filled``, values lost to null. A staging table that fails is kept. One that
-    passes is marked as verified, with ``notes``. Returns its name.
+    passes is marked as verified, with ``notes``. ``rebalance`` is that of ``append_rows``.
+    Returns its name.
     """
     catalog.require_session_catalog(spark, table)
     stage = names.stage_name(table)
@@ -153,7 +157,7 @@ def stage_verified(
     catalog.require_absent(spark, [stage])
     catalog.create_empty_like(spark, table, stage, widths, own_folder)
     catalog.require_text_columns(spark, stage, widths)
-    given = catalog.append_rows(converted, stage)
+    given = catalog.append_rows(converted, stage, rebalance)
 
     found = spark.table(stage)
     written = counted_output_quality(found, specs, *fingerprint_aggregates(found)[1:]).first()

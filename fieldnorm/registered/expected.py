@@ -314,5 +314,6 @@ EXPECTED = {
     "run_job_publish_atm": _ATM_NORMALIZED,
     "publish_partitioned": _PARTITIONED,
     "publish_own_folders": _PARTITIONED,
+    "publish_rebalanced": _PARTITIONED,
     "recover_killed_run": POS_NORMALIZED,
 }

@@ -160,6 +160,13 @@ def publish_own_folders_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_job(spark, table, POS_SPECS, dry_run=False, run_date=RUN_DATE, own_folders=True)
 
 
+def publish_rebalanced_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are no table's, dealt over all tasks without regard to place, replace those of a partitioned table."""
+    raw = raw_pos_partitioned(spark, sf_dir)
+    table = _scratch_table(spark, raw.where("k % 2 = 0"), "PLACE")
+    return run_job(spark, raw, POS_SPECS, target=table, dry_run=False, run_date=RUN_DATE, rebalance=True)
+
+
 def backup_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two refreshes on one date, so the second replaces the first."""
     table = _scratch_table(spark, raw_pos(spark, sf_dir))
@@ -228,6 +235,7 @@ QUERIES: dict[str, Query] = {
     "run_job_publish_atm": run_job_publish_atm_query,
     "publish_partitioned": publish_partitioned_query,
     "publish_own_folders": publish_own_folders_query,
+    "publish_rebalanced": publish_rebalanced_query,
     "recover_killed_run": recover_killed_run_query,
 }
 
