@@ -70,7 +70,8 @@ def refresh_backup(
     A copy is written and verified by content under a temporary name, then takes the dated name
     and is counted again. An earlier backup of the same date is dropped only after that, and put
     back if anything fails; a copy that failed is kept. ``source`` is the snapshot of the
-    table to copy, by default its present rows. ``rebalance`` is that of ``append_rows``.
+    table to copy, by default its present rows. With ``rebalance`` the rows
+    are dealt by ``catalog.rebalanced`` first.
     """
     return fingerprinted_backup(spark, table, run_date, source, expected_rows, own_folder, rebalance)[0]
 
@@ -92,7 +93,7 @@ def fingerprinted_backup(
     snapshot = spark.table(table) if source is None else source
 
     catalog.create_empty_like(spark, table, tmp, own_folder=own_folder, notes={"day": f"{run_date:%Y%m%d}"})
-    content = catalog.append_rows(snapshot, tmp, rebalance)
+    content = catalog.append_rows(catalog.rebalanced(snapshot, table) if rebalance else snapshot, tmp)
     expected = content.rows if expected_rows is None else expected_rows
     if problem := copy_mismatch(spark, tmp, table, expected, content):
         raise PublishError(f"backup of {table} failed: {problem}. The table is untouched, inspect {tmp}.")
@@ -148,8 +149,8 @@ def stage_verified(
     What was written is read back once for row count, value shapes, content (it must be what
     the write was given) and, where the counters of ``quality_pass`` are given as
     ``expected_filled``, values lost to null. A staging table that fails is kept. One that
-    passes is marked as verified, with ``notes``. ``rebalance`` is that of ``append_rows``.
-    Returns its name.
+    passes is marked as verified, with ``notes``. With ``rebalance`` the rows are dealt by
+    ``catalog.rebalanced`` first. Returns its name.
     """
     catalog.require_session_catalog(spark, table)
     stage = names.stage_name(table)
@@ -157,7 +158,7 @@ def stage_verified(
     catalog.require_absent(spark, [stage])
     catalog.create_empty_like(spark, table, stage, widths, own_folder)
     catalog.require_text_columns(spark, stage, widths)
-    given = catalog.append_rows(converted, stage, rebalance)
+    given = catalog.append_rows(catalog.rebalanced(converted, table) if rebalance else converted, stage)
 
     found = spark.table(stage)
     written = counted_output_quality(found, specs, *fingerprint_aggregates(found)[1:]).first()

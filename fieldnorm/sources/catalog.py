@@ -289,18 +289,23 @@ def create_empty_like(
     spark.sql("\n".join(clauses))
 
 
-def append_rows(df: DataFrame, table: str, rebalance: bool = False) -> Fingerprint:
+def rebalanced(df: DataFrame, table: str) -> DataFrame:
+    """The rows shuffled by the table's partition columns, to be written to it.
+
+    Each partition is then written by as few tasks as its size asks for: Spark merges small
+    partitions into one task and splits one that holds most rows, by the advisory partition
+    size (with it what its hash puts beside it, so don't set too few shuffle partitions). For
+    sources whose tasks each hold rows of many partitions, which would write a file for each.
+    """
+    return df.hint("rebalance", *map(column, partition_columns(df.sparkSession, table)))
+
+
+def append_rows(df: DataFrame, table: str) -> Fingerprint:
     """Append rows to a table, matching columns by name without regard to case.
 
     A narrow write: each task writes what it reads, nothing is shuffled. Types and text
     widths are enforced by Spark's store assignment. Returns the fingerprint of the rows as
     they were handed over, in the types of the table, taken by the write itself.
-
-    With ``rebalance`` rows are shuffled by the table's partition columns first, so that each
-    partition is written by as few tasks as its size asks for: Spark merges small partitions
-    into one task and splits one that holds most rows, by the advisory partition size (with it
-    what its hash puts beside it, so don't set too few shuffle partitions). For
-    sources whose tasks each hold rows of many partitions, which would write a file for each.
     """
     spark = df.sparkSession
     by_name = {name.upper(): name for name in df.columns}
@@ -316,8 +321,6 @@ def append_rows(df: DataFrame, table: str, rebalance: bool = False) -> Fingerpri
         # Spark fills values of a CHAR column up with blanks.
         value = F.rpad(value, profile.length, " ") if profile.data_type.startswith("char(") else value
         values[field.name] = (value, field.dataType)
-    if rebalance:
-        ordered = ordered.hint("rebalance", *map(column, partition_columns(spark, table)))
     seen, written = observed(ordered, values)
     seen.write.insertInto(quoted(table))
     return written()
