@@ -76,7 +76,7 @@ lines AS (
   FROM doc, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i)
 ),
 keyed AS (SELECT doc_id, host, th, i, line AS key, len(line) - len(replace(line, ' ', '')) + 1 AS n FROM lines WHERE line <> ''),
-above AS (SELECT host, key FROM keyed GROUP BY host, key HAVING count(DISTINCT th) > 30),
+above AS (SELECT host, key FROM keyed GROUP BY host, key HAVING count(DISTINCT th) > 10),
 gone AS (SELECT doc_id, sum(n)::BIGINT AS n FROM keyed JOIN above USING (host, key) GROUP BY doc_id),
 measured AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,

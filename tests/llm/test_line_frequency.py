@@ -98,6 +98,17 @@ def test_the_limit_is_a_number_of_texts(spark):
     assert quality_rules(df, max_docs=MAX_DOCS - 1).where("n_removed_words = 12").count() == len(rows)
 
 
+def test_a_menu_of_eleven_pages_goes(spark):
+    """A host of few pages has menus too: the limit is the ten documents it was, not thirty."""
+    r = random.Random(4)
+    menu, rows = [words(r, 12) for _ in range(8)], []
+    for n, host in ((10, "ten"), (11, "eleven")):
+        rows += [(len(rows) + k, "\n".join([*menu, words(r, 20)]), host) for k in range(n)]
+    found = quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert Counter((x.n_removed_words, x.base_failed, x.kept) for x in found) == {(0, False, True): 10, (96, False, False): 11}
+    assert Counter(x.source for x in apply_quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()) == {"ten": 10}
+
+
 def test_two_scans_of_the_texts_at_most(spark, tmp_path):
     spark.createDataFrame([(1, "a b", "h")], SCHEMA).write.parquet(str(tmp_path / "docs"))
     docs = spark.read.parquet(str(tmp_path / "docs"))
