@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldnorm.functions import amount_text, date_text, field_text, parse_date, timestamp_text, trim_strings
@@ -76,11 +76,9 @@ def _scratch_database(spark: SparkSession) -> str:
     """A new database in the shared folder the cluster names, or where none is named in the
     session's warehouse. ``drop_scratch`` drops it.
 
-    One machine's own disk won't do on a cluster, so there a ``file:`` folder is refused.
+    Both are taken as they are named: a ``file:`` folder may be a mount that all machines share.
+    ``_scratch_table`` counts what has arrived there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    if not spark.sparkContext.master.startswith("local") and (folder.startswith("file:") or ":" not in folder):
-        raise ValueError(f"{folder} is one machine's own folder; set spark.checkpoint.dir to one that all share")
     database = f"fieldnorm_{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     location = f" LOCATION {text_literal(shared.rstrip('/') + '/' + database)}" if shared else ""
@@ -90,10 +88,21 @@ def _scratch_database(spark: SparkSession) -> str:
 
 
 def _scratch_table(spark: SparkSession, rows: DataFrame, *partitions: str) -> str:
-    """Store raw rows as a table in a database of its own."""
+    """Store raw rows as a table in a database of its own.
+
+    Raises ``ValueError`` if not all of them can be read back: executors that don't share the
+    folder leave their rows on their own disks.
+    """
     table = f"{_scratch_database(spark)}.card_rows"
-    writer = rows.write.partitionBy(*partitions) if partitions else rows.write
+    written = Observation()
+    seen = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = seen.write.partitionBy(*partitions) if partitions else seen.write
     writer.saveAsTable(table)
+    found = spark.table(table).count()
+    if found != written.get["rows"]:
+        raise ValueError(
+            f"{table} has {found} of {written.get['rows']} rows; set spark.checkpoint.dir to a folder that all machines share"
+        )
     return table
 
 

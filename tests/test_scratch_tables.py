@@ -1,0 +1,96 @@
+"""The registered queries' own tables: on a cluster too they go to the folder that is named, and are counted."""
+
+import datetime
+
+import pytest
+from pyspark.sql import DataFrameWriter
+
+import __spark_entry__ as contract
+from fieldnorm.registered import queries
+from fieldnorm.registered.queries import _scratch_table, drop_scratch
+
+DAY = datetime.datetime(2024, 5, 17, 8, 30, 15, 120000)
+STORING = [
+    "backup_refresh",
+    "copy_compare",
+    "publish_own_folders",
+    "publish_partitioned",
+    "publish_rebalanced",
+    "publish_swap",
+    "recover_killed_run",
+    "row_count_reconcile",
+    "run_job_publish",
+    "run_job_publish_atm",
+    "schema_profile",
+    "stage_verified",
+]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("tables")
+
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(folder / f"{name}.parquet"))
+
+    orders = [(k, k % 7, "O", 100.25 + k, DAY, "1-URGENT") for k in range(60)]
+    put("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    events = [(k, DAY, 5.5 + k, "purchase" if k % 2 else "view") for k in range(60)]
+    put("events", events, "event_id long, ts timestamp_ntz, value double, event_type string")
+    for name in ("customer", "lineitem", "part", "supplier"):
+        put(name, [(1, "a")], f"{name}_key long, {name}_name string")
+    return str(folder)
+
+
+@pytest.fixture(params=["file", "path", "warehouse"])
+def cluster(request, spark, tmp_path, monkeypatch):
+    """A session whose master is no local one, and the folder it names (None: the warehouse alone)."""
+    folder = {"file": f"file://{tmp_path}/shared/", "path": f"{tmp_path}/shared", "warehouse": None}[request.param]
+    get = type(spark.conf).get
+    # Spark sets this one with the session only.
+    monkeypatch.setattr(type(spark.conf), "get", lambda conf, key, *more: folder if key == "spark.checkpoint.dir" else get(conf, key, *more))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    yield folder and str(tmp_path / "shared")
+    drop_scratch(spark)
+
+
+def test_tables_go_to_the_folder_that_is_named(spark, cluster):
+    table = _scratch_table(spark, spark.range(20, numPartitions=4).selectExpr("id", "id % 3 as part"), "part")
+    assert spark.table(table).count() == 20
+    home = spark.catalog.getDatabase(table.split(".")[0]).locationUri
+    assert home.startswith(f"file:{cluster}/" if cluster else spark.conf.get("spark.sql.warehouse.dir"))
+
+
+@pytest.mark.parametrize("cluster", ["file"], indirect=True)
+@pytest.mark.parametrize("name", STORING)
+def test_queries_run_on_a_cluster_with_a_mounted_folder(spark, tables, cluster, name):
+    rows = contract.queries()[name](spark, tables).collect()
+    assert len(rows) == {"copy_compare": 20, "row_count_reconcile": 1, "schema_profile": 9 + 6 + 4 * 2}.get(name, 60)
+
+
+def test_these_are_the_queries_that_store_tables(spark, tables, monkeypatch):
+    def refused(spark):
+        raise LookupError
+
+    monkeypatch.setattr(queries, "_scratch_database", refused)
+    storing = []
+    for name, query in queries.QUERIES.items():
+        try:
+            query(spark, tables)
+        except LookupError:
+            storing.append(name)
+    assert sorted(storing) == STORING
+
+
+def test_rows_that_stay_on_other_machines_are_an_error(spark, monkeypatch):
+    """As where executors write to disks of their own: the write ends, its rows are not in the table."""
+    save = DataFrameWriter.saveAsTable
+
+    def lost(writer, table):
+        writer.format("noop").mode("overwrite").save()
+        save(spark.range(0).write, table)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lost)
+    with pytest.raises(ValueError, match="0 of 20 rows; set spark.checkpoint.dir"):
+        _scratch_table(spark, spark.range(20))
+    drop_scratch(spark)
