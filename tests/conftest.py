@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")  # plans name whole paths, however long the temporary folder is
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
     )
     session = builder.getOrCreate()
