@@ -6,15 +6,18 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldnorm.llm.storage import dropping_shuffles
+
 BITS = 25  # 4 MB, whatever the number of values
 
 
-def bitmap_of(df: DataFrame, value: Column) -> np.ndarray:
-    """Built from at most ``2 ** BITS / 64`` rows of 64 bits each, or-ed by Spark."""
-    at = F.shiftrightunsigned(F.xxhash64(value), 64 - BITS)
+def bitmap_of(df: DataFrame, value: Column, bits: int = BITS) -> np.ndarray:
+    """Built from at most ``2 ** bits / 64`` rows of 64 bits each, or-ed by Spark."""
+    at = F.shiftrightunsigned(F.xxhash64(value), 64 - bits)
     words = df.select(F.shiftright(at, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int")).alias("bit"))
-    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << BITS - 6, np.int64)
+    with dropping_shuffles(df.sparkSession):
+        rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << bits - 6, np.int64)
     out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
     return out.view(np.uint64)
 
@@ -38,5 +41,5 @@ def xxhash64(values: np.ndarray) -> np.ndarray:
 
 
 def may_hold(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = xxhash64(values) >> np.uint64(64 - BITS)
+    at = xxhash64(values) >> np.uint64(64 - 6 - (len(bitmap).bit_length() - 1))
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0

@@ -14,7 +14,7 @@ the weights of the whole model. The others are a stored table of gains: a word's
 weight; what a pair adds to its word's and its context's weight, with its own failure weight;
 what a triple adds to its pair's. A score is the sum of what the automaton gives and of the
 gains of the text's other words, pairs and triples: the next frequent ones (at most ``GAINS`` of
-each) are broadcast beside the automaton, all others meet the text's in a join. No pair is more
+each) are broadcast beside the automaton, all others meet the text's where their keys are dealt. No pair is more
 frequent than its words, nor a triple than its pairs, so the parts of an arc are arcs.
 
 Defined cases: a null text is empty (one end token); rows with a null id are learned from;
@@ -22,32 +22,38 @@ with nothing to learn from every token is unknown; repeated rows count and are s
 
 Scale: all counts cover all training texts and are map-side sums. At most ``ARCS`` words,
 pairs and triples each and ``WORDS`` base counts pass the relative thresholds, so what is
-broadcast has a bound that no input can exceed. The other, rare words meet their counts in a
-join on the word (one row for each rare word of a document), not in memory, and so do the other
-pairs and triples; those that a bitmap of fixed size rules out aren't moved. Scored documents
-are stored before that join, so their row numbers are what was written.
+broadcast has a bound that no input can exceed. The other, rare words meet their counts, and the
+other pairs and triples their gains, by keys dealt to shards of about ``SHARE``, whose number
+follows the input; keys and counts move as packed blocks, one for each task's buffer and shard.
+Pairs and triples that a bitmap of fixed size rules out aren't moved. Scored documents are stored
+before their keys move, so their row numbers are what was written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnorm.llm.bitmap import bitmap_of, may_hold
-from fieldnorm.llm.storage import discard, stored
+from fieldnorm.llm.storage import discard, dropping_shuffles, stored
 from fieldnorm.llm.words import mixed, slices, tidy, words_of
 
 WORDS = 1 << 20
 ARCS = 1 << 18  # at most WORDS
 GAINS = 1 << 21  # pairs, and triples, whose gains are broadcast
 COMBINED = 1 << 21  # grams counted in a task before they move
+SHARE = 1 << 20  # tokens whose grams, or grams whose gains, are met in one task
+PARTS = 4  # of the keys whose gains are met; one moves at a time
+SEEN = 27  # log2 of the bits of a filter of grams: 16 MB
 DISCOUNT = 0.5
 _BEGIN = int(mixed(np.array([0x626567], np.uint64)).view(np.int64)[0])
 _END = int(mixed(np.array([0x656E64], np.uint64)).view(np.int64)[0])
@@ -73,18 +79,46 @@ def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+class Index:
+    """Where keys stand in sorted, evenly spread ones: their first bits say where to look."""
+
+    def __init__(self, sorted_keys: np.ndarray):
+        self.keys, self.bits = sorted_keys, len(sorted_keys).bit_length() + 1
+        ranges = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        first = np.searchsorted(sorted_keys, (ranges ^ np.uint64(1 << 63)).view(np.int64))
+        self.first = np.append(first, len(sorted_keys)).astype(np.int32)
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key stands, or -1."""
+        own = ((keys.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        at, end, out = self.first[own], self.first[own + 1], np.full(len(keys), -1, np.int64)
+        left = np.flatnonzero(at < end)
+        at, end = at[left], end[left]
+        while len(left):
+            found = self.keys[at] == keys[left]
+            out[left[found]] = at[found]
+            more = ~found & (at + 1 < end)
+            left, at, end = left[more], at[more] + 1, end[more]
+        return out
+
+
 def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A 64-bit key for each pair of keys; a triple's is that of its pairs' keys."""
     return mixed(mixed(a.view(np.uint64)) * np.uint64(0xD1342543DE82EF95) + b.view(np.uint64)).view(np.int64)
 
 
-def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _grams(texts: pa.Array, size: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All tokens, a beginning in front of each text, where each text begins, and the keys of the pair and
-    the triple that start at each token (those that leave a text are marked by ``_within``)."""
+    (``size`` 3) the triple that start at each token (those that leave a text are marked by ``_within``)."""
     hashes, first = _with_ends(texts)
+    return _grams_of(hashes, first, size)
+
+
+def _grams_of(hashes: np.ndarray, first: np.ndarray, size: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     tokens = np.insert(hashes, first[:-1], _BEGIN)
     pairs = _joint(tokens[:-1], tokens[1:])
-    return tokens, first + np.arange(len(first)), pairs, _joint(pairs[:-1], pairs[1:])
+    triples = _joint(pairs[:-1], pairs[1:]) if size > 2 else pairs[:0]
+    return tokens, first + np.arange(len(first)), pairs, triples
 
 
 def _within(first: np.ndarray, size: int) -> np.ndarray:
@@ -154,7 +188,7 @@ class Automaton:
     def __init__(self, model: Model):
         n, pairs = len(model.grams), model.pairs
         p_word = (model.counts + 0.5) / model.whole
-        self.words, self.root = model.words, np.log10(p_word)
+        self.root = np.log10(p_word)
         first, second = pairs // (n + 1), pairs % (n + 1)
         context = np.append(model.counts[model.grams], model.texts)
         p_pair = (model.pair_counts - DISCOUNT) / context[first]
@@ -183,30 +217,51 @@ class Automaton:
         after_triple = entry[n + 2 + _place(pairs, second[of_pair] * (n + 1) + third)]
         state = np.concatenate([1 + first, n + 2 + of_pair])
         word = model.grams[np.concatenate([second, third])] if n else np.zeros(0, np.int64)
-        target = np.concatenate([entry[n + 2 :], after_triple])
-        weight = np.log10(np.concatenate([p_pair, p_triple]))
-        self.arcs = dict(zip(((state << 20) | word).tolist(), zip(target.tolist(), weight.tolist(), strict=True), strict=True))
-        self.after, self.weight = self.after.tolist(), self.root.tolist()
-
-    def score(self, words: list[int]) -> float:
-        """log10 probability of numbered words; rare words (-1) only cost their failure arcs here."""
-        arcs, fail, back, weight, after = self.arcs.get, self.fail, self.back, self.weight, self.after
-        state, total = self.start, 0.0
-        for word in words:
-            while state:
-                arc = arcs((state << 20) | word) if word >= 0 else None
-                if arc is not None:
-                    break
-                total += back[state]
-                state = fail[state]
-            else:
-                if word >= 0:
-                    total += weight[word]
-                    state = after[word]
-                continue
-            state, logp = arc
-            total += logp
-        return total
+        arcs = self._key(state, word)
+        order = np.argsort(arcs)
+        self.arcs = Index(arcs[order])
+        self.target = np.concatenate([entry[n + 2 :], after_triple])[order]
+        self.weight = np.log10(np.concatenate([p_pair, p_triple]))[order]
+        self.fail, self.back, self.start, self.begin = fail, back, entry[n + 1], n + 1
+        self.after, self.single = np.zeros((2, len(model.words) + 1), np.int64)  # the last is that of rare words
+        self.after[model.grams], self.single[model.grams] = entry[1 : n + 1], np.arange(1, n + 1)
+        self.root = np.append(self.root, 0.0)
+        self.words = Index(model.words)
+        self.near, self.own = Index(model.gain_keys), None if model.own_keys is None else Index(model.own_keys)
+
+    @staticmethod
+    def _key(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return mixed(((state << 20) | word).view(np.uint64)).view(np.int64)
+
+    def _arc(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return np.where((state > 0) & (word >= 0), self.arcs.place(self._key(state, word)), -1)
+
+    def scores(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """log10 probabilities of texts of numbered words; rare words (-1) only cost their failure arcs here.
+
+        All places go down their failure arcs in step. The state in front of each is known before:
+        a context's parts are contexts, so after a word it is the word with the one in front of it
+        if they are an arc, otherwise the word alone.
+        """
+        single = np.append(self.begin, self.single[words[:-1]])
+        single[first[:-1]] = self.begin
+        arc = self._arc(single, words)
+        after = np.where(arc >= 0, self.target[arc] if len(self.target) else 0, self.after[words])
+        state = np.append(0, after[:-1])
+        state[first[:-1]] = self.start
+        total = np.zeros(len(words))
+        left = np.arange(len(words))
+        while len(left):
+            done = state[left] == 0
+            total[left[done]] += self.root[words[left[done]]]
+            left = left[~done]
+            arc = self._arc(state[left], words[left])
+            found = arc >= 0
+            total[left[found]] += self.weight[arc[found]]
+            left = left[~found]
+            total[left] += self.back[state[left]]
+            state[left] = self.fail[state[left]]
+        return np.add.reduceat(total, first[:-1])
 
 
 def _counted(docs: DataFrame, tokens) -> DataFrame:
@@ -255,44 +310,105 @@ def learn(training: DataFrame) -> tuple[Model, DataFrame]:
     return model, counts
 
 
-def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarray) -> DataFrame:
-    """Pairs of tokens (size 2) or of pairs' keys (size 3) that occur ``least`` times: a, b, n.
+def _cuts(sorted_keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where the keys of each shard begin: a shard has an equal range of all 64-bit keys."""
+    bounds = np.arange(1, shards, dtype=np.uint64) * np.uint64((1 << 64) // shards if shards > 1 else 0)
+    bounds = (bounds ^ np.uint64(1 << 63)).view(np.int64)
+    return np.concatenate([[0], np.searchsorted(sorted_keys, bounds), [len(sorted_keys)]])
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Longs as bytes, their lowest bytes first, so that small ones compress to about a byte each."""
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+
+
+_BLOCK = "shard int, a binary, b binary, n binary"
+_COUNTED = "key long, a long, b long, n long"
+
+
+def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarray, shards: int) -> DataFrame:
+    """Pairs of tokens (size 2) or of pairs' keys (size 3) that occur ``least`` times: key, a, b, n.
 
     Those with a part that is not in the bitmap ``parts_seen`` occur less often and aren't moved.
+    The others are combined in a task and move in blocks, one for each shard of keys.
     """
     shared = docs.sparkSession.sparkContext.broadcast(parts_seen)
 
     def combined(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         keys, a, b = map(np.concatenate, zip(*held, strict=True))
-        _, one, n = np.unique(keys, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(a[one]), pa.array(b[one]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+        held.clear()
+        one = np.argsort(keys)
+        keys = keys[one]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.diff(np.append(starts, len(keys)))
+        keys, one = keys[starts], one[starts]
+        cuts = _cuts(keys, shards)
+        blocks: list[tuple] = []
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            own = one[cuts[shard] : cuts[shard + 1]]
+            order = np.argsort(a[own])  # equal ones side by side compress
+            own = own[order]
+            blocks.append((shard, a[own].tobytes(), b[own].tobytes(), _packed(n[cuts[shard] : cuts[shard + 1]][order])))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["shard", "a", "b", "n"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for part in slices(batch, "text"):
-                tokens, first, pairs, triples = _grams(part.column("text"))
+                tokens, first, pairs, triples = _grams(part.column("text"), size)
                 parts, keys = (tokens, pairs) if size == 2 else (pairs, triples)
                 seen = may_hold(shared.value, parts)
                 at = np.flatnonzero(_within(first, size) & seen[:-1] & seen[1:])
-                held.append((keys[at], parts[at], parts[at + 1]))
+                if len(at):
+                    held.append((keys[at], parts[at], parts[at + 1]))
                 if sum(len(x[0]) for x in held) >= COMBINED:
                     yield combined(held)
-                    held = []
         if held:
             yield combined(held)
 
-    counted = docs.select("text").mapInArrow(tidy(scan), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least)
-
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [
+            (np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), _unpacked(n))
+            for batch in batches
+            for a, b, n in zip(*(batch.column(name).to_pylist() for name in ("a", "b", "n")), strict=True)
+        ]
+        if not held:
+            return
+        a, b, n = map(np.concatenate, zip(*held, strict=True))
+        held.clear()
+        keys = _joint(a, b)
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.add.reduceat(n[order], starts)
+        often = n >= least
+        one = order[starts[often]]
+        columns = keys[starts[often]], a[one], b[one], n[often]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "a", "b", "n"])
+
+    blocks = docs.select("text").mapInArrow(tidy(scan), _BLOCK)
+    return blocks.repartitionById(shards, "shard").mapInArrow(tidy(summed), _COUNTED)
+
+
+def _with_frequent(pairs: DataFrame, model: Model) -> DataFrame:
+    """Pairs with the counts of their words where those are frequent: n_a, n_b."""
+    shared = pairs.sparkSession.sparkContext.broadcast((model.words, model.counts, model.texts))
 
-def _with_keys(grams: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts, texts = shared.value
+        index, counts = Index(words), np.append(counts, 0)
         for batch in batches:
-            key = _joint(*(batch.column(name).to_numpy() for name in ("a", "b")))
-            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *batch.schema.names])
+            a, b = (batch.column(name).to_numpy() for name in ("a", "b"))
+            at, to = index.place(a), index.place(b)
+            begin = a == _BEGIN
+            more = [pa.array(np.where(begin, texts, counts[at]), mask=(at < 0) & ~begin), pa.array(counts[to], mask=to < 0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n_a", "n_b"])
 
-    return grams.mapInArrow(tidy(scan), T.StructType([T.StructField("key", T.LongType()), *grams.schema.fields]))
+    return pairs.mapInArrow(tidy(scan), _COUNTED + ", n_a long, n_b long")
 
 
 def _failures(arcs: DataFrame, context: str) -> DataFrame:
@@ -315,16 +431,22 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     context = counts.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
     context = context.union(spark.range(1).select(F.lit(_BEGIN).alias("a"), F.lit(texts).cast("long").alias("n_a")))
     second = counts.select(F.col("key").alias("b"), ((F.col("n") + 0.5) / F.lit(model.whole)).alias("lower"))
-    seen = bitmap_of(context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)), F.col("a"))
+    seen = bitmap_of(context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)), F.col("a"), SEEN)
+    shards = 1 + tokens // SHARE
     # The second word or pair is read again only for what becomes an arc.
     slim = ["key", "a", F.when(frequent, F.col("b")).alias("b"), "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"]
-    pairs = stored(_with_keys(_counted_grams(training, 2, least, seen)).join(context, "a").join(second, "b").select(slim), "pairs")
+    counted = stored(_with_frequent(_counted_grams(training, 2, least, seen, shards), model), "pair-counts")
+    both = F.col("n_a").isNotNull() & F.col("n_b").isNotNull()
+    lower = (F.col("n_b") + 0.5) / F.lit(model.whole)
+    rest = counted.where(~both).drop("n_a", "n_b").join(context, "a").join(second, "b")
+    pairs = stored(counted.where(both).withColumn("lower", lower).select(slim).union(rest.select(slim)), "pairs")
+    discard(counted)
     of_words = stored(_failures(pairs, "a").join(context.withColumnRenamed("a", "of"), "of"), "word-failures")
 
     before = pairs.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
     after = pairs.select(F.col("key").alias("b"), F.col("p").alias("lower"))
-    seen = bitmap_of(pairs, F.col("key"))
-    counted = stored(_with_keys(_counted_grams(training, 3, least, seen)), "triple-counts")
+    seen = bitmap_of(pairs, F.col("key"), SEEN)
+    counted = stored(_counted_grams(training, 3, least, seen, shards), "triple-counts")
     triples = stored(counted.join(before, "a").join(after, "b").select(slim), "triples")
     discard(counted)
     of_pairs = stored(_failures(triples, "a"), "pair-failures")
@@ -334,11 +456,12 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     rare_pairs = rare_pairs.join(of_pairs.withColumnRenamed("of", "key"), "key", "left")
     rare_triples = triples.where(~frequent).join(of_pairs.withColumnRenamed("of", "a"), "a")
     gains = of_words.where((F.col("n_a") * ARCS < tokens) & (F.col("of") != _BEGIN)).select(F.col("of").alias("key"), F.col("n_a").alias("n"), F.col("back").alias("gain"))
-    gains = gains.union(rare_pairs.select("key", "n", F.col("gain") + F.coalesce("back", F.lit(0.0))))
-    gains = stored(gains.union(rare_triples.select("key", "n", added)), "gains")
+    gains = stored(gains.union(rare_pairs.select("key", "n", F.col("gain") + F.coalesce("back", F.lit(0.0)))), "gains")
+    gains = gains.union(stored(rare_triples.select("key", "n", added), "triple-gains"))
 
     def arrays(df: DataFrame) -> list[np.ndarray]:
-        return [column.to_numpy(zero_copy_only=False) for column in df.toArrow().combine_chunks().columns]
+        with dropping_shuffles(spark):
+            return [column.to_numpy(zero_copy_only=False) for column in df.toArrow().combine_chunks().columns]
 
     grams, size = model.words[model.grams], len(model.grams)
     of, back = arrays(of_words.where((F.col("n_a") * ARCS >= tokens) | (F.col("of") == _BEGIN)).select("of", "back"))
@@ -362,33 +485,38 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     order = np.argsort(key)
     model.gain_keys, model.gain_values = key[order], gain[order].astype(np.float64)
     gains = gains.where(~near).drop("n")
-    model.gains = bitmap_of(gains, F.col("key"))
+    model.gains = bitmap_of(gains, F.col("key"), SEEN)
     return model, counts, gains
 
 
-def _other_grams(model: Model, texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """For each text, the sum of the broadcast gains, and keys of words, pairs and triples that may have
-    another gain, with how often they occur."""
-    tokens, first, pairs, triples = _grams(texts)
-    row = np.repeat(np.arange(len(texts)), np.diff(first))
-    total, keys, rows = np.zeros(len(texts)), [], []
+def _other_grams(model: Model, automaton: Automaton, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text, the sum of the broadcast gains, and keys of all its words, pairs and triples that may
+    have another gain with where each text's begin."""
+    tokens, first, pairs, triples = _grams_of(hashes, starts)
+    texts = len(first) - 1
+    row = np.repeat(np.arange(texts), np.diff(first))
+    total, keys, rows = np.zeros(texts), [], []
     for size, own in enumerate((tokens, pairs, triples), 1):
         at = np.flatnonzero(_within(first, size))
-        near = _place(model.gain_keys, own[at])
+        near = automaton.near.place(own[at])
         found = near >= 0
-        total += np.bincount(row[at[found]], weights=model.gain_values[near[found]], minlength=len(texts))
+        total += np.bincount(row[at[found]], weights=model.gain_values[near[found]], minlength=texts)
         at = at[~found]
         at = at[may_hold(model.gains, own[at])]
-        at = at[_place(model.own_keys, own[at]) < 0]
+        at = at[automaton.own.place(own[at]) < 0]
         keys.append(own[at])
         rows.append(row[at])
-    keys, rows = np.concatenate(keys), np.concatenate(rows)
-    order = np.lexsort((keys, rows))
-    keys, rows = keys[order], rows[order]
-    starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    times = np.diff(np.append(starts, len(keys)))
-    cuts = np.searchsorted(rows[starts], np.arange(1, len(texts)))
-    return total, np.split(keys[starts], cuts), np.split(times, cuts)
+    rows = np.concatenate(rows)
+    order = np.argsort(rows, kind="stable")
+    return total, np.concatenate(keys)[order], np.searchsorted(rows[order], np.arange(texts + 1))
+
+
+def _binary(keys: np.ndarray, first: np.ndarray) -> Iterator[pa.Array]:
+    """The bytes of each text's keys, which begin at ``first``, in parts by their last bits."""
+    for part in range(PARTS):
+        own = keys % PARTS == part
+        begin = np.append(0, np.cumsum(own))[first] * 8
+        yield pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(keys[own])])
 
 
 _automata: dict[int, Automaton] = {}
@@ -405,10 +533,8 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
             T.StructField("n_frequent", T.LongType()),
             T.StructField("base_frequent", T.DoubleType()),
             T.StructField("score_frequent", T.DoubleType()),
-            T.StructField("rare", T.ArrayType(T.LongType())),
-            T.StructField("rare_n", T.ArrayType(T.LongType())),
-            T.StructField("grams", T.ArrayType(T.LongType())),
-            T.StructField("grams_n", T.ArrayType(T.LongType())),
+            T.StructField("n_grams", T.LongType()),
+            *(T.StructField(f"{name}_{k}", T.BinaryType()) for name in ("rare", "grams") for k in range(PARTS)),
         ]
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -422,19 +548,14 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, first = _with_ends(part.column("text"))
-                at = _place(automaton.words, hashes)
+                at = automaton.words.place(hashes)
                 known = at >= 0
-                base = np.where(known, automaton.root[at] if len(automaton.root) else 0.0, 0.0)
-                score, rare, rare_n = [], [], []
-                none = [np.zeros(0, np.int64)] * part.num_rows
-                gained, grams, grams_n = 0.0, none, none
+                base = automaton.root[at]
+                gained, grams, of_text = 0.0, hashes[:0], np.zeros(len(first), np.int64)
                 if shared.value.gains is not None:
-                    gained, grams, grams_n = _other_grams(shared.value, part.column("text"))
-                for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    score.append(automaton.score(at[a:b].tolist()))
-                    keys, n = np.unique(hashes[a:b][~known[a:b]], return_counts=True)
-                    rare.append(keys)
-                    rare_n.append(n)
+                    gained, grams, of_text = _other_grams(shared.value, automaton, hashes, first)
+                rare = np.append(0, np.cumsum(~known))[first]
+                parts = [*_binary(hashes[~known], rare), *_binary(grams, of_text)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(rows, rows + part.num_rows)),
@@ -443,11 +564,9 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                         pa.array(np.diff(first), pa.int64()),
                         pa.array(np.add.reduceat(known.astype(np.int64), first[:-1])),
                         pa.array(np.add.reduceat(base, first[:-1])),
-                        pa.array(np.array(score, np.float64) + gained),
-                        pa.array(rare, pa.list_(pa.int64())),
-                        pa.array(rare_n, pa.list_(pa.int64())),
-                        pa.array(grams, pa.list_(pa.int64())),
-                        pa.array(grams_n, pa.list_(pa.int64())),
+                        pa.array(automaton.scores(at, first) + gained),
+                        pa.array(np.diff(of_text)),
+                        *parts,
                     ],
                     names=schema.names,
                 )
@@ -456,6 +575,96 @@ def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
     return docs.select("doc_id", held_out, "text").mapInArrow(tidy(scan), schema)
 
 
+def _gained(scored: DataFrame, column: str, asked: int, gains: DataFrame) -> DataFrame:
+    """For each row with keys in ``column`` that have a gain (key, gain) the sum of these: row, gained, found.
+
+    Keys move in blocks, one for each shard of keys; sums move back to the shard of their rows.
+    One part of the keys moves at a time, the others are still in ``scored`` alone.
+    """
+    shards = 1 + asked // (PARTS * SHARE)
+    parts = [stored(_part_gained(scored, f"{column}_{k}", shards, gains.where(F.expr(f"pmod(key, {PARTS}) = {k}"))), "gained") for k in range(PARTS)]
+    return reduce(DataFrame.union, parts).groupBy("row").agg(F.sum("gained").alias("gained"), F.sum("found").alias("found"))
+
+
+def _part_gained(scored: DataFrame, column: str, shards: int, gains: DataFrame) -> DataFrame:
+    names = ["shard", "home", "keys", "rows", "gains"]
+    schema = "shard int, home int, keys binary, rows binary, gains binary"
+
+    def blocks(home: int | None, keys: np.ndarray, column: np.ndarray, pack) -> pa.RecordBatch:
+        shard_of = (mixed(keys.view(np.uint64)) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+        order = np.argsort(shard_of, kind="stable")
+        cuts, found = np.append(0, np.cumsum(np.bincount(shard_of, minlength=shards))), []
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            own = order[cuts[shard] : cuts[shard + 1]]
+            found.append((shard, home, keys[own].tobytes(), *pack(column[own])))
+        types = (pa.int32(), pa.int32(), *[pa.binary()] * 3)
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate(types)], names=names)
+
+    def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, own = batch.column("row").to_numpy(), batch.column(column)
+            sizes = pc.binary_length(own).to_numpy() // 8
+            keys = np.frombuffer(b"".join(own.to_pylist()), np.int64)
+            if not len(keys):
+                continue
+            home = int(mixed(row[:1].view(np.uint64))[0] % np.uint64(shards))
+            yield blocks(home, keys, np.repeat(row, sizes), lambda r: (_packed(np.diff(r, prepend=0)), None))
+
+    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def block() -> pa.RecordBatch:
+            keys, values = map(np.concatenate, zip(*held, strict=True))
+            held.clear()
+            return blocks(None, keys, values, lambda v: (None, v.tobytes()))
+
+        for batch in batches:
+            held.append((batch.column("key").to_numpy(), batch.column("gain").to_numpy()))
+            if sum(len(x[0]) for x in held) >= COMBINED:
+                yield block()
+        if sum(len(x[0]) for x in held):
+            yield block()
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, keys, values = [], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for batch in batches:
+            for _, home, own, rows, gain in zip(*(batch.column(name).to_pylist() for name in names), strict=True):
+                if gain is None:
+                    asked.append((home, np.frombuffer(own, np.int64), rows))
+                else:
+                    keys.append(np.frombuffer(own, np.int64))
+                    values.append(np.frombuffer(gain, np.float64))
+        keys, values = np.concatenate(keys), np.concatenate(values)
+        order = np.argsort(keys)
+        index, values = Index(keys[order]), values[order]
+        for home, own, rows in asked:
+            at = index.place(own)
+            met = np.flatnonzero(at >= 0)
+            if not len(met):
+                continue
+            rows = np.cumsum(_unpacked(rows))[met]
+            starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+            sums, found = np.add.reduceat(values[at[met]], starts), np.diff(np.append(starts, len(rows)))
+            columns = [_packed(np.diff(rows[starts], prepend=0)), sums.tobytes(), _packed(found)]
+            yield pa.RecordBatch.from_arrays([pa.array([home], pa.int32()), *(pa.array([x]) for x in columns)], names=["home", "rows", "sums", "found"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [
+            (np.cumsum(_unpacked(rows)), np.frombuffer(sums, np.float64), _unpacked(found))
+            for batch in batches
+            for rows, sums, found in zip(*(batch.column(name).to_pylist() for name in ("rows", "sums", "found")), strict=True)
+        ]
+        if held:
+            rows, sums, found = map(np.concatenate, zip(*held, strict=True))
+            rows, at = np.unique(rows, return_inverse=True)
+            columns = rows, np.bincount(at, weights=sums), np.bincount(at, weights=found).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["row", "gained", "found"])
+
+    met = scored.select("row", column).mapInArrow(tidy(requests), schema).union(gains.mapInArrow(tidy(table), schema))
+    answered = met.repartitionById(shards, "shard").mapInArrow(tidy(answers), "home int, rows binary, sums binary, found binary")
+    return answered.repartitionById(shards, "home").mapInArrow(tidy(added), "row long, gained double, found long")
+
+
 def score_texts(docs: DataFrame, held_out: Column, *, least: int | None = None) -> DataFrame:
     """Learn from the rows that aren't held out and score all of them.
 
@@ -467,25 +676,19 @@ def score_texts(docs: DataFrame, held_out: Column, *, least: int | None = None)
     training = docs.where(~F.col("held_out"))
     model, counts, *gains = learn(training) if least is None else learn_whole(training, least)
     scored = stored(_scored(docs, model, "held_out"), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select(
-        "row", F.col("x.rare").alias("key"), F.col("x.rare_n").alias("times")
-    )
-    met = rare.join(counts, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    of_rare = met.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.col("n") + 0.5) / F.lit(model.whole))).alias("rare_score"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-    )
-    of_rare = stored(of_rare, "rare-scores")
+    rare, grams = scored.agg(F.sum(F.col("n_tokens") - F.col("n_frequent")), F.sum("n_grams")).first()
+    # A rare word that was never seen costs 0.5 / whole; the others gain what they cost less.
+    of_words = counts.where(F.col("n") * WORDS < model.tokens).select("key", F.log10((F.col("n") + 0.5) / 0.5).alias("gain"))
+    of_rare = _gained(scored, "rare", rare or 0, of_words).toDF("row", "rare_gained", "rare_known")
+    discard(counts)
     of_grams = scored.limit(0).select("row", F.lit(0.0).alias("gained"))
     for table in gains:
-        own = scored.select("row", F.explode(F.arrays_zip("grams", "grams_n")).alias("x")).select(
-            "row", F.col("x.grams").alias("key"), F.col("x.grams_n").alias("times")
-        )
-        of_grams = own.join(table, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("gained"))
-        of_grams = stored(of_grams, "gained")
-    more = F.coalesce("rare_score", F.lit(0.0))
+        of_grams = _gained(scored, "grams", grams or 0, table).drop("found")
+        discard(table)
+    unseen = F.log10(F.lit(0.5 / model.whole))
+    more = F.coalesce("rare_gained", F.lit(0.0)) + (F.col("n_tokens") - F.col("n_frequent")) * unseen
     return (
-        scored.drop("rare", "rare_n", "grams", "grams_n")
+        scored.select("row", "doc_id", "held_out", "n_tokens", "n_frequent", "base_frequent", "score_frequent")
         .join(of_rare, "row", "left")
         .join(of_grams, "row", "left")
         .select(

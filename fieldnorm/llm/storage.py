@@ -35,7 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/fieldnorm-{name}-{uuid.uuid4().hex}"
-    with _dropping_shuffles(spark):
+    with dropping_shuffles(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -44,7 +44,8 @@ _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what runs meanwhile go when it ends."""
     before = spark.conf.get(_DROP_SHUFFLES, None)
     spark.conf.set(_DROP_SHUFFLES, "true")
     try:
