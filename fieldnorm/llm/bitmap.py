@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldnorm.llm.storage import dropping_shuffles
+from fieldnorm.llm.words import tidy
 
 BITS = 25  # 4 MB, whatever the number of values
 
@@ -43,3 +47,40 @@ def xxhash64(values: np.ndarray) -> np.ndarray:
 def may_hold(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = xxhash64(values) >> np.uint64(64 - 6 - (len(bitmap).bit_length() - 1))
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+
+
+def spread_bitmap_of(df: DataFrame, bits: int) -> np.ndarray:
+    """The same over the column ``key`` of hashes, placed by their own first bits. Places move in packed blocks."""
+    ranges = 64  # a task ors one of them
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at = np.sort((batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.uint32))
+                cuts = np.searchsorted(at, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(bits - 6))
+                own = [k for k in range(ranges) if cuts[k] < cuts[k + 1]]
+                raw = [at[cuts[k] : cuts[k + 1]].tobytes() for k in own]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(raw, pa.binary())], names=["range", "places"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("range").to_pylist(), batch.column("places").to_pylist(), strict=True):
+                own = marked.setdefault(k, np.zeros(1 << bits - 6, bool))
+                own[np.frombuffer(raw, np.uint32) - np.uint32(k << bits - 6)] = True
+        if marked:
+            raw = [np.packbits(own, bitorder="little").tobytes() for own in marked.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(marked), pa.int32()), pa.array(raw, pa.binary())], names=["range", "places"])
+
+    blocks = df.select("key").mapInArrow(tidy(scan), "range int, places binary").repartitionById(ranges, "range")
+    with dropping_shuffles(df.sparkSession):
+        rows = blocks.mapInArrow(tidy(joined), "range int, places binary").toArrow()
+    out = np.zeros((ranges, (1 << bits) // 8 // ranges), np.uint8)
+    for k, raw in zip(rows.column("range").to_pylist(), rows.column("places").to_pylist(), strict=True):
+        out[k] = np.frombuffer(raw, np.uint8)
+    return out.reshape(-1).view("<u8")
+
+
+def may_hold_spread(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values.view(np.uint64) >> np.uint64(64 - 6 - (len(bitmap).bit_length() - 1))
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0

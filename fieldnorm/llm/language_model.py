@@ -31,19 +31,19 @@ before their keys move, so their row numbers are what was written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldnorm.llm.bitmap import bitmap_of, may_hold
+from fieldnorm.llm.bitmap import may_hold_spread, spread_bitmap_of
 from fieldnorm.llm.storage import discard, dropping_shuffles, stored
 from fieldnorm.llm.words import mixed, slices, tidy, words_of
 
@@ -52,7 +52,6 @@ ARCS = 1 << 18  # at most WORDS
 GAINS = 1 << 21  # pairs, and triples, whose gains are broadcast
 COMBINED = 1 << 21  # grams counted in a task before they move
 SHARE = 1 << 20  # tokens whose grams, or grams whose gains, are met in one task
-PARTS = 4  # of the keys whose gains are met; one moves at a time
 SEEN = 27  # log2 of the bits of a filter of grams: 16 MB
 DISCOUNT = 0.5
 _BEGIN = int(mixed(np.array([0x626567], np.uint64)).view(np.int64)[0])
@@ -151,10 +150,10 @@ class Model:
     #: log10 failure weights of the whole model: of the grams and the beginning, and of the pairs (nan: no arcs).
     gram_back: np.ndarray | None = None
     pair_back: np.ndarray | None = None
-    #: Which other gains there may be, and sorted keys of what the automaton accounts for.
+    #: Which other gains there may be.
     gains: np.ndarray | None = None
-    own_keys: np.ndarray | None = None
-    #: Sorted keys of the next frequent words, pairs and triples, and their gains.
+    #: Sorted keys of the next frequent words, pairs and triples with their gains, and of those the automaton
+    #: accounts for, without one.
     gain_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     gain_values: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
@@ -226,8 +225,11 @@ class Automaton:
         self.after, self.single = np.zeros((2, len(model.words) + 1), np.int64)  # the last is that of rare words
         self.after[model.grams], self.single[model.grams] = entry[1 : n + 1], np.arange(1, n + 1)
         self.root = np.append(self.root, 0.0)
-        self.words = Index(model.words)
-        self.near, self.own = Index(model.gain_keys), None if model.own_keys is None else Index(model.own_keys)
+        self.words, self.near = Index(model.words), Index(model.gain_keys)
+        if model.gains is not None:
+            near = np.append(self.near.place(model.words), -1)
+            self.word_gain = np.append(model.gain_values, 0.0)[near]
+            self.word_ask = np.append(may_hold_spread(model.gains, model.words), False) & (near < 0)
 
     @staticmethod
     def _key(state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -264,25 +266,61 @@ class Automaton:
         return np.add.reduceat(total, first[:-1])
 
 
+def _by_shard(spread: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by shard, and where each shard begins in it. It is told by other bits than those ``Index`` looks at first."""
+    low = spread.view(np.uint64) & np.uint64(0xFFFFFFFF)
+    shard_of = (low * np.uint64(shards) >> np.uint64(32)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+    return np.argsort(shard_of, kind="stable"), np.append(0, np.cumsum(np.bincount(shard_of, minlength=shards)))
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes each as the largest needs; the first byte says how many."""
+    kind = np.min_scalar_type(x.max())
+    return bytes([kind.itemsize]) + x.astype(kind).tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 def _counted(docs: DataFrame, tokens) -> DataFrame:
-    """How often each of the long values occurs that ``tokens`` gives for a slice of texts."""
+    """How often each of the long values occurs that ``tokens`` gives for a slice of texts: key, n."""
+    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def combined(held: list[np.ndarray]) -> pa.RecordBatch:
         keys, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+        order, cuts = _by_shard(mixed(keys.view(np.uint64)), shards)
+        own = [(k, order[cuts[k] : cuts[k + 1]]) for k in np.flatnonzero(np.diff(cuts)).tolist()]
+        columns = [pa.array([k for k, _ in own], pa.int32()), pa.array([keys[x].tobytes() for _, x in own], pa.binary())]
+        columns.append(pa.array([_narrow(n[x]) for _, x in own], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "keys", "n"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
             for part in slices(batch, "text"):
-                held.append(tokens(part.column("text")))
+                held.append(tokens(part.column("text")).astype(np.int64, copy=False))
                 if sum(map(len, held)) >= COMBINED:
                     yield combined(held)
                     held = []
         if held:
             yield combined(held)
 
-    return docs.select("text").mapInArrow(tidy(scan), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [
+            (np.frombuffer(keys, np.int64), _wide(n))
+            for batch in batches
+            for keys, n in zip(batch.column("keys").to_pylist(), batch.column("n").to_pylist(), strict=True)
+        ]
+        if held:
+            keys, n = map(np.concatenate, zip(*held, strict=True))
+            order = np.argsort(keys)
+            keys = keys[order]
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[starts]), pa.array(np.add.reduceat(n[order], starts))], names=["key", "n"])
+
+    blocks = docs.select("text").mapInArrow(tidy(scan), "shard int, keys binary, n binary")
+    return blocks.repartitionById(shards, "shard").mapInArrow(tidy(summed), "key long, n long")
 
 
 def _arrays(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -361,7 +399,7 @@ def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarra
             for part in slices(batch, "text"):
                 tokens, first, pairs, triples = _grams(part.column("text"), size)
                 parts, keys = (tokens, pairs) if size == 2 else (pairs, triples)
-                seen = may_hold(shared.value, parts)
+                seen = may_hold_spread(shared.value, parts)
                 at = np.flatnonzero(_within(first, size) & seen[:-1] & seen[1:])
                 if len(at):
                     held.append((keys[at], parts[at], parts[at + 1]))
@@ -394,13 +432,24 @@ def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarra
     return blocks.repartitionById(shards, "shard").mapInArrow(tidy(summed), _COUNTED)
 
 
+_cached: dict[str, object] = {}
+
+
+def _once(name: str, make):
+    """What a worker has made under that name, or else makes now; it keeps one thing alone."""
+    if name not in _cached:
+        _cached.clear()
+        _cached[name] = make()
+    return _cached[name]
+
+
 def _with_frequent(pairs: DataFrame, model: Model) -> DataFrame:
     """Pairs with the counts of their words where those are frequent: n_a, n_b."""
-    shared = pairs.sparkSession.sparkContext.broadcast((model.words, model.counts, model.texts))
+    shared, name = pairs.sparkSession.sparkContext.broadcast((model.words, model.counts, model.texts)), uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts, texts = shared.value
-        index, counts = Index(words), np.append(counts, 0)
+        index, counts = _once(name, lambda: Index(words)), np.append(counts, 0)
         for batch in batches:
             a, b = (batch.column(name).to_numpy() for name in ("a", "b"))
             at, to = index.place(a), index.place(b)
@@ -431,7 +480,7 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     context = counts.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
     context = context.union(spark.range(1).select(F.lit(_BEGIN).alias("a"), F.lit(texts).cast("long").alias("n_a")))
     second = counts.select(F.col("key").alias("b"), ((F.col("n") + 0.5) / F.lit(model.whole)).alias("lower"))
-    seen = bitmap_of(context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)), F.col("a"), SEEN)
+    seen = spread_bitmap_of(context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)).withColumnRenamed("a", "key"), SEEN)
     shards = 1 + tokens // SHARE
     # The second word or pair is read again only for what becomes an arc.
     slim = ["key", "a", F.when(frequent, F.col("b")).alias("b"), "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"]
@@ -445,7 +494,7 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
 
     before = pairs.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
     after = pairs.select(F.col("key").alias("b"), F.col("p").alias("lower"))
-    seen = bitmap_of(pairs, F.col("key"), SEEN)
+    seen = spread_bitmap_of(pairs, SEEN)
     counted = stored(_counted_grams(training, 3, least, seen, shards), "triple-counts")
     triples = stored(counted.join(before, "a").join(after, "b").select(slim), "triples")
     discard(counted)
@@ -477,146 +526,126 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     numbers = place[0] * size + model.pairs[place[1]] % (size + 1)
     order = np.argsort(numbers)
     model.triples, model.triple_counts = numbers[order], n[order]
-    model.own_keys = np.sort(np.concatenate([grams, key, key3, [_BEGIN, _END]]))
+    own = np.unique(np.concatenate([grams, key, key3, [_BEGIN, _END]]))
     discard(pairs, triples, of_words, of_pairs)
     # At most GAINS of words, of pairs and of triples are as frequent as that.
     near = F.col("n") * GAINS >= tokens
     key, gain = arrays(gains.where(near).select("key", "gain"))
+    key, gain = np.append(own, key), np.append(np.zeros(len(own)), gain.astype(np.float64))
     order = np.argsort(key)
-    model.gain_keys, model.gain_values = key[order], gain[order].astype(np.float64)
+    model.gain_keys, model.gain_values = key[order], gain[order]
     gains = gains.where(~near).drop("n")
-    model.gains = bitmap_of(gains, F.col("key"), SEEN)
+    model.gains = spread_bitmap_of(gains, SEEN)
     return model, counts, gains
 
 
-def _other_grams(model: Model, automaton: Automaton, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text, the sum of the broadcast gains, and keys of all its words, pairs and triples that may
-    have another gain with where each text's begin."""
+def _asked(model: Model, automaton: Automaton, hashes: np.ndarray, at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the sum of the broadcast gains; keys and texts of all words (numbered ``at``), pairs and
+    triples that may have another gain. A triple has one only where both of its pairs are in the model."""
     tokens, first, pairs, triples = _grams_of(hashes, starts)
     texts = len(first) - 1
     row = np.repeat(np.arange(texts), np.diff(first))
-    total, keys, rows = np.zeros(texts), [], []
+    total = np.bincount(np.repeat(np.arange(texts), np.diff(starts)), weights=automaton.word_gain[at], minlength=texts)
+    inside = np.zeros(len(pairs), bool)
+    keys, rows = [], []
     for size, own in enumerate((tokens, pairs, triples), 1):
-        at = np.flatnonzero(_within(first, size))
-        near = automaton.near.place(own[at])
+        if size == 1:
+            left = np.flatnonzero(np.insert((at < 0) | automaton.word_ask[at], starts[:-1], False))
+        elif size == 2:
+            left = np.flatnonzero(_within(first, 2))
+        else:
+            left = np.flatnonzero(_within(first, 3) & inside[:-1] & inside[1:])
+        near = automaton.near.place(own[left])
         found = near >= 0
-        total += np.bincount(row[at[found]], weights=model.gain_values[near[found]], minlength=texts)
-        at = at[~found]
-        at = at[may_hold(model.gains, own[at])]
-        at = at[automaton.own.place(own[at]) < 0]
-        keys.append(own[at])
-        rows.append(row[at])
-    rows = np.concatenate(rows)
-    order = np.argsort(rows, kind="stable")
-    return total, np.concatenate(keys)[order], np.searchsorted(rows[order], np.arange(texts + 1))
-
-
-def _binary(keys: np.ndarray, first: np.ndarray) -> Iterator[pa.Array]:
-    """The bytes of each text's keys, which begin at ``first``, in parts by their last bits."""
-    for part in range(PARTS):
-        own = keys % PARTS == part
-        begin = np.append(0, np.cumsum(own))[first] * 8
-        yield pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(keys[own])])
-
-
-_automata: dict[int, Automaton] = {}
-
-
-def _scored(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
-    """One row per document with what frequent words add, and its rare words."""
-    schema = T.StructType(
-        [
-            T.StructField("row", T.LongType()),
-            docs.schema["doc_id"],
-            docs.schema[held_out],
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("n_frequent", T.LongType()),
-            T.StructField("base_frequent", T.DoubleType()),
-            T.StructField("score_frequent", T.DoubleType()),
-            T.StructField("n_grams", T.LongType()),
-            *(T.StructField(f"{name}_{k}", T.BinaryType()) for name in ("rare", "grams") for k in range(PARTS)),
-        ]
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    number = id(model)
+        total += np.bincount(row[left[found]], weights=model.gain_values[near[found]], minlength=texts)
+        other = left[~found]
+        other = other[may_hold_spread(model.gains, own[other])]
+        if size == 2:
+            inside[left[found]] = inside[other] = True
+        keys.append(own[other])
+        rows.append(row[other])
+    return total, np.concatenate(keys), np.concatenate(rows)
+
+
+_MET = "shard int, kind int, block long, keys binary, more binary"
+_GAINS, _WORD_GAINS, _ASKED, _WORDS_ASKED, _TEXTS = range(5)  # kinds of what meets
+
+
+def _dealt(keys: np.ndarray, more: np.ndarray, shards: int, kind: int, block: int | None, pack) -> list[tuple]:
+    """Blocks of keys and what goes with them, one for each shard."""
+    order, cuts = _by_shard(keys, shards)
+    keys, more = keys[order], more[order]
+    return [
+        (shard, kind, block, keys[cuts[shard] : cuts[shard + 1]].tobytes(), pack(more[cuts[shard] : cuts[shard + 1]]))
+        for shard in np.flatnonzero(np.diff(cuts)).tolist()
+    ]
+
+
+def _met(blocks: list[tuple]) -> pa.RecordBatch:
+    types = {"shard": pa.int32(), "kind": pa.int32(), "block": pa.int64(), "keys": pa.binary(), "more": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks, strict=True), types.values(), strict=True)], names=list(types))
+
+
+def _requests(docs: DataFrame, model: Model, shards: int) -> DataFrame:
+    """Texts in blocks of rows with what frequent words and broadcast gains add, and the keys they ask for."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+
+    def flushed(block: int, texts: list[pa.RecordBatch], grams: list, words: list) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        table = pa.Table.from_batches(texts)
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        home = int(mixed(np.array([block], np.uint64))[0] % np.uint64(shards))
+        blocks = [(home, _TEXTS, block, None, sink.getvalue().to_pybytes())]
+        for kind, held in ((_ASKED, grams), (_WORDS_ASKED, words)):
+            keys, rows = map(np.concatenate, zip(*held, strict=True))
+            order = np.argsort(rows, kind="stable") if kind == _ASKED else slice(None)
+            blocks += _dealt(keys[order], rows[order], shards, kind, block, lambda r: _narrow(np.diff(r, prepend=0)))
+            held.clear()
+        texts.clear()
+        return _met(blocks)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if number not in _automata:
-            _automata.clear()
-            _automata[number] = Automaton(shared.value)
-        automaton, rows = _automata[number], TaskContext.get().partitionId() << 40
+        automaton = _once(name, lambda: Automaton(shared.value))
+        block, rows = TaskContext.get().partitionId() << 24, 0
+        texts, grams, words = [], [], []
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, first = _with_ends(part.column("text"))
                 at = automaton.words.place(hashes)
                 known = at >= 0
-                base = automaton.root[at]
-                gained, grams, of_text = 0.0, hashes[:0], np.zeros(len(first), np.int64)
+                rare = np.flatnonzero(~known)
+                score = automaton.scores(at, first)
+                words.append((hashes[rare], rows + np.searchsorted(first, rare, side="right") - 1))
+                keys, asking = hashes[:0], rare[:0]
                 if shared.value.gains is not None:
-                    gained, grams, of_text = _other_grams(shared.value, automaton, hashes, first)
-                rare = np.append(0, np.cumsum(~known))[first]
-                parts = [*_binary(hashes[~known], rare), *_binary(grams, of_text)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(rows, rows + part.num_rows)),
-                        part.column("doc_id"),
-                        part.column(held_out),
-                        pa.array(np.diff(first), pa.int64()),
-                        pa.array(np.add.reduceat(known.astype(np.int64), first[:-1])),
-                        pa.array(np.add.reduceat(base, first[:-1])),
-                        pa.array(automaton.scores(at, first) + gained),
-                        pa.array(np.diff(of_text)),
-                        *parts,
-                    ],
-                    names=schema.names,
-                )
+                    gained, keys, asking = _asked(shared.value, automaton, hashes, at, first)
+                    score += gained
+                grams.append((keys, rows + asking))
+                columns = [part.column("doc_id"), part.column("held_out"), pa.array(np.diff(first), pa.int64())]
+                columns.append(pa.array(np.add.reduceat(known.astype(np.int64), first[:-1])))
+                columns += [pa.array(np.add.reduceat(automaton.root[at], first[:-1])), pa.array(score)]
+                texts.append(pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_frequent", "base", "score"]))
                 rows += part.num_rows
+                if rows >= COMBINED or sum(len(x[0]) for x in (*grams, *words)) >= COMBINED:
+                    yield flushed(block, texts, grams, words)
+                    block, rows = block + 1, 0
+        if texts:
+            yield flushed(block, texts, grams, words)
 
-    return docs.select("doc_id", held_out, "text").mapInArrow(tidy(scan), schema)
-
+    return docs.mapInArrow(tidy(scan), _MET)
 
-def _gained(scored: DataFrame, column: str, asked: int, gains: DataFrame) -> DataFrame:
-    """For each row with keys in ``column`` that have a gain (key, gain) the sum of these: row, gained, found.
-
-    Keys move in blocks, one for each shard of keys; sums move back to the shard of their rows.
-    One part of the keys moves at a time, the others are still in ``scored`` alone.
-    """
-    shards = 1 + asked // (PARTS * SHARE)
-    parts = [stored(_part_gained(scored, f"{column}_{k}", shards, gains.where(F.expr(f"pmod(key, {PARTS}) = {k}"))), "gained") for k in range(PARTS)]
-    return reduce(DataFrame.union, parts).groupBy("row").agg(F.sum("gained").alias("gained"), F.sum("found").alias("found"))
 
+def _table(gains: DataFrame, shards: int, kind: int) -> DataFrame:
+    """Gains (key, gain) in blocks, one for each buffer and shard of keys."""
 
-def _part_gained(scored: DataFrame, column: str, shards: int, gains: DataFrame) -> DataFrame:
-    names = ["shard", "home", "keys", "rows", "gains"]
-    schema = "shard int, home int, keys binary, rows binary, gains binary"
-
-    def blocks(home: int | None, keys: np.ndarray, column: np.ndarray, pack) -> pa.RecordBatch:
-        shard_of = (mixed(keys.view(np.uint64)) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
-        order = np.argsort(shard_of, kind="stable")
-        cuts, found = np.append(0, np.cumsum(np.bincount(shard_of, minlength=shards))), []
-        for shard in np.flatnonzero(np.diff(cuts)).tolist():
-            own = order[cuts[shard] : cuts[shard + 1]]
-            found.append((shard, home, keys[own].tobytes(), *pack(column[own])))
-        types = (pa.int32(), pa.int32(), *[pa.binary()] * 3)
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate(types)], names=names)
-
-    def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, own = batch.column("row").to_numpy(), batch.column(column)
-            sizes = pc.binary_length(own).to_numpy() // 8
-            keys = np.frombuffer(b"".join(own.to_pylist()), np.int64)
-            if not len(keys):
-                continue
-            home = int(mixed(row[:1].view(np.uint64))[0] % np.uint64(shards))
-            yield blocks(home, keys, np.repeat(row, sizes), lambda r: (_packed(np.diff(r, prepend=0)), None))
-
-    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def block() -> pa.RecordBatch:
             keys, values = map(np.concatenate, zip(*held, strict=True))
             held.clear()
-            return blocks(None, keys, values, lambda v: (None, v.tobytes()))
+            return _met(_dealt(keys, values, shards, kind, None, lambda v: v.tobytes()))
 
         for batch in batches:
             held.append((batch.column("key").to_numpy(), batch.column("gain").to_numpy()))
@@ -625,44 +654,77 @@ def _part_gained(scored: DataFrame, column: str, shards: int, gains: DataFrame)
         if sum(len(x[0]) for x in held):
             yield block()
 
+    return gains.select("key", "gain").mapInArrow(tidy(scan), _MET)
+
+
+def _scored(docs: DataFrame, model: Model, tables: dict[int, DataFrame]) -> DataFrame:
+    """The rows of ``score_texts``. Keys meet the gains of ``tables`` by shards, sums meet the texts' blocks."""
+    shards = 1 + model.tokens // SHARE
+    # A rare word that was never seen costs 0.5 / whole; the others gain what they cost less.
+    unseen, tokens = float(np.log10(0.5 / model.whole)), model.tokens
+    of = T.StructType([docs.schema["doc_id"], docs.schema["held_out"]])
+    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
+        of = of.add(name, kind)
+
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, keys, values = [], [np.zeros(0, np.int64)], [np.zeros(0)]
+        asked: list[tuple[int, int, bytes, bytes]] = []
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {_GAINS: [], _WORD_GAINS: []}
         for batch in batches:
-            for _, home, own, rows, gain in zip(*(batch.column(name).to_pylist() for name in names), strict=True):
-                if gain is None:
-                    asked.append((home, np.frombuffer(own, np.int64), rows))
+            for shard, kind, block, keys, more in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if kind == _TEXTS:
+                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([kind], pa.int32()), pa.array([block]), *(pa.array([x], pa.binary()) for x in (None, None, more))], names=names)
+                elif kind in held:
+                    held[kind].append((np.frombuffer(keys, np.int64), np.frombuffer(more, np.float64)))
                 else:
-                    keys.append(np.frombuffer(own, np.int64))
-                    values.append(np.frombuffer(gain, np.float64))
-        keys, values = np.concatenate(keys), np.concatenate(values)
-        order = np.argsort(keys)
-        index, values = Index(keys[order]), values[order]
-        for home, own, rows in asked:
-            at = index.place(own)
-            met = np.flatnonzero(at >= 0)
-            if not len(met):
+                    asked.append((kind, block, keys, more))
+        found: list[tuple] = []
+        for table, kind in ((_GAINS, _ASKED), (_WORD_GAINS, _WORDS_ASKED)):
+            if not held[table]:
                 continue
-            rows = np.cumsum(_unpacked(rows))[met]
-            starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-            sums, found = np.add.reduceat(values[at[met]], starts), np.diff(np.append(starts, len(rows)))
-            columns = [_packed(np.diff(rows[starts], prepend=0)), sums.tobytes(), _packed(found)]
-            yield pa.RecordBatch.from_arrays([pa.array([home], pa.int32()), *(pa.array([x]) for x in columns)], names=["home", "rows", "sums", "found"])
+            keys, values = map(np.concatenate, zip(*held.pop(table), strict=True))
+            order = np.argsort(keys)
+            index, values = Index(keys[order]), values[order]
+            for _, block, own, rows in (x for x in asked if x[0] == kind):
+                at = index.place(np.frombuffer(own, np.int64))
+                met = np.flatnonzero(at >= 0)
+                if not len(met):
+                    continue
+                rows = np.cumsum(_wide(rows))[met]
+                starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+                sums, n = np.add.reduceat(values[at[met]], starts), np.diff(np.append(starts, len(rows)))
+                home = int(mixed(np.array([block], np.uint64))[0] % np.uint64(shards))
+                found.append((home, kind, block, _narrow(np.diff(rows[starts], prepend=0)), _narrow(n), sums.tobytes()))
+        if found:
+            types = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 3)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)], names=names)
+
+    names = ["home", "kind", "block", "rows", "n", "more"]
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [
-            (np.cumsum(_unpacked(rows)), np.frombuffer(sums, np.float64), _unpacked(found))
-            for batch in batches
-            for rows, sums, found in zip(*(batch.column(name).to_pylist() for name in ("rows", "sums", "found")), strict=True)
-        ]
-        if held:
-            rows, sums, found = map(np.concatenate, zip(*held, strict=True))
-            rows, at = np.unique(rows, return_inverse=True)
-            columns = rows, np.bincount(at, weights=sums), np.bincount(at, weights=found).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["row", "gained", "found"])
+        texts: dict[int, pa.Table] = {}
+        sums: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for _, kind, block, rows, n, more in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                if kind == _TEXTS:
+                    texts[block] = pa.ipc.open_stream(more).read_all().combine_chunks()
+                else:
+                    sums.setdefault(block, []).append((kind, np.cumsum(_wide(rows)), _wide(n), np.frombuffer(more, np.float64)))
+        for block, own in texts.items():
+            n_tokens, known, base, score = (own.column(name).to_numpy() for name in ("n_tokens", "n_frequent", "base", "score"))
+            more = (n_tokens - known) * unseen
+            known, gained = known.copy(), np.zeros(len(score))
+            for kind, rows, n, values in sums.pop(block, []):
+                if kind == _ASKED:
+                    gained[rows] += values
+                else:
+                    more[rows] += values
+                    known[rows] += n
+            columns = [pa.array(x) for x in (n_tokens, known, np.full(len(score), tokens), base + more, score + more + gained)]
+            yield from pa.table([own.column("doc_id"), own.column("held_out"), *columns], names=of.names).to_batches()
 
-    met = scored.select("row", column).mapInArrow(tidy(requests), schema).union(gains.mapInArrow(tidy(table), schema))
-    answered = met.repartitionById(shards, "shard").mapInArrow(tidy(answers), "home int, rows binary, sums binary, found binary")
-    return answered.repartitionById(shards, "home").mapInArrow(tidy(added), "row long, gained double, found long")
+    met = reduce(DataFrame.union, [_requests(docs, model, shards), *(_table(gains, shards, kind) for kind, gains in tables.items())])
+    answered = met.repartitionById(shards, "shard").mapInArrow(tidy(answers), "home int, kind int, block long, rows binary, n binary, more binary")
+    return answered.repartitionById(shards, "home").mapInArrow(tidy(added), of)
 
 
 def score_texts(docs: DataFrame, held_out: Column, *, least: int | None = None) -> DataFrame:
@@ -675,29 +737,7 @@ def score_texts(docs: DataFrame, held_out: Column, *, least: int | None = None)
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
     training = docs.where(~F.col("held_out"))
     model, counts, *gains = learn(training) if least is None else learn_whole(training, least)
-    scored = stored(_scored(docs, model, "held_out"), "scored")
-    rare, grams = scored.agg(F.sum(F.col("n_tokens") - F.col("n_frequent")), F.sum("n_grams")).first()
-    # A rare word that was never seen costs 0.5 / whole; the others gain what they cost less.
-    of_words = counts.where(F.col("n") * WORDS < model.tokens).select("key", F.log10((F.col("n") + 0.5) / 0.5).alias("gain"))
-    of_rare = _gained(scored, "rare", rare or 0, of_words).toDF("row", "rare_gained", "rare_known")
-    discard(counts)
-    of_grams = scored.limit(0).select("row", F.lit(0.0).alias("gained"))
-    for table in gains:
-        of_grams = _gained(scored, "grams", grams or 0, table).drop("found")
-        discard(table)
-    unseen = F.log10(F.lit(0.5 / model.whole))
-    more = F.coalesce("rare_gained", F.lit(0.0)) + (F.col("n_tokens") - F.col("n_frequent")) * unseen
-    return (
-        scored.select("row", "doc_id", "held_out", "n_tokens", "n_frequent", "base_frequent", "score_frequent")
-        .join(of_rare, "row", "left")
-        .join(of_grams, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(model.tokens).cast("long").alias("train_tokens"),
-            (F.col("base_frequent") + more).alias("base_score"),
-            (F.col("score_frequent") + more + F.coalesce("gained", F.lit(0.0))).alias("score"),
-        )
-    )
+    rare = counts.where(F.col("n") * WORDS < model.tokens).select("key", F.log10((F.col("n") + 0.5) / 0.5).alias("gain"))
+    scored = stored(_scored(docs, model, {_WORD_GAINS: rare, **{_GAINS: table for table in gains}}), "scores")
+    discard(counts, *gains)
+    return scored
