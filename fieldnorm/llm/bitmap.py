@@ -51,13 +51,13 @@ def may_hold(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 def spread_bitmap_of(df: DataFrame, bits: int) -> np.ndarray:
     """The same over the column ``key`` of hashes, placed by their own first bits. Places move in packed blocks."""
-    ranges = 64  # a task ors one of them
+    ranges = 16  # a task ors one of them
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 at = np.sort((batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.uint32))
-                cuts = np.searchsorted(at, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(bits - 6))
+                cuts = np.searchsorted(at, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(bits - 4))
                 own = [k for k in range(ranges) if cuts[k] < cuts[k + 1]]
                 raw = [at[cuts[k] : cuts[k + 1]].tobytes() for k in own]
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(raw, pa.binary())], names=["range", "places"])
@@ -66,8 +66,9 @@ def spread_bitmap_of(df: DataFrame, bits: int) -> np.ndarray:
         marked: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column("range").to_pylist(), batch.column("places").to_pylist(), strict=True):
-                own = marked.setdefault(k, np.zeros(1 << bits - 6, bool))
-                own[np.frombuffer(raw, np.uint32) - np.uint32(k << bits - 6)] = True
+                if k not in marked:
+                    marked[k] = np.zeros(1 << bits - 4, bool)
+                marked[k][np.frombuffer(raw, np.uint32) - np.uint32(k << bits - 4)] = True
         if marked:
             raw = [np.packbits(own, bitorder="little").tobytes() for own in marked.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(marked), pa.int32()), pa.array(raw, pa.binary())], names=["range", "places"])

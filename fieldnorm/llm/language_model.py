@@ -14,19 +14,20 @@ the weights of the whole model. The others are a stored table of gains: a word's
 weight; what a pair adds to its word's and its context's weight, with its own failure weight;
 what a triple adds to its pair's. A score is the sum of what the automaton gives and of the
 gains of the text's other words, pairs and triples: the next frequent ones (at most ``GAINS`` of
-each) are broadcast beside the automaton, all others meet the text's where their keys are dealt. No pair is more
-frequent than its words, nor a triple than its pairs, so the parts of an arc are arcs.
+each) are broadcast beside the automaton, all others meet the text's where their keys are dealt.
+No pair is more frequent than its words, nor a triple than its pairs, so the parts of an arc are arcs.
 
 Defined cases: a null text is empty (one end token); rows with a null id are learned from;
 with nothing to learn from every token is unknown; repeated rows count and are scored each.
 
 Scale: all counts cover all training texts and are map-side sums. At most ``ARCS`` words,
 pairs and triples each and ``WORDS`` base counts pass the relative thresholds, so what is
-broadcast has a bound that no input can exceed. The other, rare words meet their counts, and the
-other pairs and triples their gains, by keys dealt to shards of about ``SHARE``, whose number
-follows the input; keys and counts move as packed blocks, one for each task's buffer and shard.
-Pairs and triples that a bitmap of fixed size rules out aren't moved. Scored documents are stored
-before their keys move, so their row numbers are what was written.
+broadcast has a bound that no input can exceed. Triples meet the probabilities of their pairs,
+the other, rare words their counts, and the other pairs and triples their gains, by keys dealt to
+shards of a few times ``SHARE``, whose number follows the input; keys and counts move as packed
+blocks, one for each task's buffer and shard. Pairs and triples that a bitmap of fixed size rules
+out aren't moved. Texts are scored in one pass: a block of them moves with the keys it asks for,
+which name their rows by their place in it, and meets the sums of what they gain.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,22 +83,25 @@ class Index:
     """Where keys stand in sorted, evenly spread ones: their first bits say where to look."""
 
     def __init__(self, sorted_keys: np.ndarray):
-        self.keys, self.bits = sorted_keys, len(sorted_keys).bit_length() + 1
+        self.size, self.bits = len(sorted_keys), len(sorted_keys).bit_length() + 1
         ranges = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
-        first = np.searchsorted(sorted_keys, (ranges ^ np.uint64(1 << 63)).view(np.int64))
-        self.first = np.append(first, len(sorted_keys)).astype(np.int32)
+        self.first = np.searchsorted(sorted_keys, (ranges ^ np.uint64(1 << 63)).view(np.int64)).astype(np.int32)
+        self.keys = np.append(sorted_keys, np.iinfo(np.int64).max)
 
     def place(self, keys: np.ndarray) -> np.ndarray:
         """Where each key stands, or -1."""
-        own = ((keys.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(64 - self.bits)).astype(np.int64)
-        at, end, out = self.first[own], self.first[own + 1], np.full(len(keys), -1, np.int64)
-        left = np.flatnonzero(at < end)
-        at, end = at[left], end[left]
+        at = self.first[((keys.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(64 - self.bits)).view(np.int64)]
+        found = self.keys[at]
+        out = np.where((found == keys) & (at < self.size), at, -1).astype(np.int64)
+        left = np.flatnonzero(found < keys)
+        at = at[left]
         while len(left):
-            found = self.keys[at] == keys[left]
-            out[left[found]] = at[found]
-            more = ~found & (at + 1 < end)
-            left, at, end = left[more], at[more] + 1, end[more]
+            at += 1
+            found, own = self.keys[at], keys[left]
+            met = (found == own) & (at < self.size)
+            out[left[met]] = at[met]
+            more = found < own
+            left, at = left[more], at[more]
         return out
 
 
@@ -243,7 +247,7 @@ class Automaton:
 
         All places go down their failure arcs in step. The state in front of each is known before:
         a context's parts are contexts, so after a word it is the word with the one in front of it
-        if they are an arc, otherwise the word alone.
+        if they are an arc, otherwise the word alone; the former fails to the latter.
         """
         single = np.append(self.begin, self.single[words[:-1]])
         single[first[:-1]] = self.begin
@@ -251,18 +255,20 @@ class Automaton:
         after = np.where(arc >= 0, self.target[arc] if len(self.target) else 0, self.after[words])
         state = np.append(0, after[:-1])
         state[first[:-1]] = self.start
-        total = np.zeros(len(words))
-        left = np.arange(len(words))
-        while len(left):
-            done = state[left] == 0
-            total[left[done]] += self.root[words[left[done]]]
-            left = left[~done]
-            arc = self._arc(state[left], words[left])
-            found = arc >= 0
-            total[left[found]] += self.weight[arc[found]]
-            left = left[~found]
-            total[left] += self.back[state[left]]
-            state[left] = self.fail[state[left]]
+        total, left = np.zeros(len(words)), np.ones(len(words), bool)
+
+        def step(at: np.ndarray, arc: np.ndarray) -> None:
+            found, failed = arc >= 0, at[arc < 0]
+            total[at[found]] += self.weight[arc[found]]
+            left[at[found]] = False
+            total[failed] += self.back[state[failed]]
+            state[failed] = self.fail[state[failed]]
+
+        deep = np.flatnonzero(state > self.begin)
+        step(deep, self._arc(state[deep], words[deep]))
+        shallow = np.flatnonzero(left & (state > 0))
+        step(shallow, arc[shallow])
+        total[left] += self.root[words[left]]
         return np.add.reduceat(total, first[:-1])
 
 
@@ -368,13 +374,18 @@ _BLOCK = "shard int, a binary, b binary, n binary"
 _COUNTED = "key long, a long, b long, n long"
 
 
-def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarray, shards: int) -> DataFrame:
-    """Pairs of tokens (size 2) or of pairs' keys (size 3) that occur ``least`` times: key, a, b, n.
+def _as_rows(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "a", "b", "n"])
+
+
+def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarray | Broadcast, shards: int, given=_as_rows, schema: str = _COUNTED) -> DataFrame:
+    """Pairs of tokens (size 2) or of pairs' keys (size 3) that occur ``least`` times: key, a, b, n, or what
+    ``given`` makes of these for each shard.
 
     Those with a part that is not in the bitmap ``parts_seen`` occur less often and aren't moved.
     The others are combined in a task and move in blocks, one for each shard of keys.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(parts_seen)
+    shared = parts_seen if isinstance(parts_seen, Broadcast) else docs.sparkSession.sparkContext.broadcast(parts_seen)
 
     def combined(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         keys, a, b = map(np.concatenate, zip(*held, strict=True))
@@ -425,11 +436,11 @@ def _counted_grams(docs: DataFrame, size: int, least: int, parts_seen: np.ndarra
         n = np.add.reduceat(n[order], starts)
         often = n >= least
         one = order[starts[often]]
-        columns = keys[starts[often]], a[one], b[one], n[often]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "a", "b", "n"])
+        if len(one):
+            yield given(keys[starts[often]], a[one], b[one], n[often])
 
     blocks = docs.select("text").mapInArrow(tidy(scan), _BLOCK)
-    return blocks.repartitionById(shards, "shard").mapInArrow(tidy(summed), _COUNTED)
+    return blocks.repartitionById(shards, "shard").mapInArrow(tidy(summed), schema)
 
 
 _cached: dict[str, object] = {}
@@ -443,21 +454,99 @@ def _once(name: str, make):
     return _cached[name]
 
 
-def _with_frequent(pairs: DataFrame, model: Model) -> DataFrame:
+def _counted_pairs(docs: DataFrame, least: int, words_seen: Broadcast, shards: int, model: Model) -> DataFrame:
     """Pairs with the counts of their words where those are frequent: n_a, n_b."""
-    shared, name = pairs.sparkSession.sparkContext.broadcast((model.words, model.counts, model.texts)), uuid.uuid4().hex
+    shared, name = docs.sparkSession.sparkContext.broadcast((model.words, model.counts, model.texts)), uuid.uuid4().hex
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def given(keys: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         words, counts, texts = shared.value
         index, counts = _once(name, lambda: Index(words)), np.append(counts, 0)
-        for batch in batches:
-            a, b = (batch.column(name).to_numpy() for name in ("a", "b"))
-            at, to = index.place(a), index.place(b)
-            begin = a == _BEGIN
-            more = [pa.array(np.where(begin, texts, counts[at]), mask=(at < 0) & ~begin), pa.array(counts[to], mask=to < 0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n_a", "n_b"])
+        at, to, begin = index.place(a), index.place(b), a == _BEGIN
+        more = [pa.array(np.where(begin, texts, counts[at]), mask=(at < 0) & ~begin), pa.array(counts[to], mask=to < 0)]
+        return pa.RecordBatch.from_arrays([*map(pa.array, (keys, a, b, n)), *more], names=["key", "a", "b", "n", "n_a", "n_b"])
+
+    return _counted_grams(docs, 2, least, words_seen, shards, given, _COUNTED + ", n_a long, n_b long")
+
 
-    return pairs.mapInArrow(tidy(scan), _COUNTED + ", n_a long, n_b long")
+_ARCS = "shard int, kind int, a binary, b binary, n binary, x binary"
+_LOWER, _PAIR, _TRIPLE = range(3)  # kinds of arcs' blocks
+
+
+def _arc_blocks(kind: int, of: np.ndarray, shards: int, a: np.ndarray, b: np.ndarray | None, n: np.ndarray | None, x: np.ndarray | None) -> pa.RecordBatch:
+    """Blocks of arcs, dealt by the keys ``of``, equal ones side by side."""
+    first = np.argsort(of)
+    order, cuts = _by_shard(of[first], shards)
+    order, blocks = first[order], []
+    for shard in np.flatnonzero(np.diff(cuts)).tolist():
+        own = order[cuts[shard] : cuts[shard + 1]]
+        of_n = None if n is None else _packed(n[own])
+        blocks.append((shard, kind, a[own].tobytes(), None if b is None else b[own].tobytes(), of_n, None if x is None else x[own].tobytes()))
+    types = {"shard": pa.int32(), "kind": pa.int32(), "a": pa.binary(), "b": pa.binary(), "n": pa.binary(), "x": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(y, t) for y, t in zip(zip(*blocks, strict=True), types.values(), strict=True)], names=list(types))
+
+
+def _arcs_in(batches: Iterator[pa.RecordBatch], *kinds: int) -> list[list[np.ndarray]]:
+    """The columns a, b, n and x of the blocks of each kind."""
+    none = [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.float64)]
+    held: dict[int, list] = {kind: [none] for kind in kinds}
+    for batch in batches:
+        for kind, a, b, n, x in zip(*(batch.column(name).to_pylist() for name in ("kind", "a", "b", "n", "x")), strict=True):
+            held[kind].append([np.frombuffer(a, np.int64), np.frombuffer(b or b"", np.int64), _unpacked(n or b""), np.frombuffer(x or b"")])
+    return [[np.concatenate(x) for x in zip(*held[kind], strict=True)] for kind in kinds]
+
+
+def _joined_triples(pairs: DataFrame, weighed: DataFrame, triples: DataFrame, shards: int, often: int) -> DataFrame:
+    """Gains of pairs and triples: kind, key, n, gain. Those that occur ``often`` have their a, b and, if pairs, failure
+    weights too (back, nan without arcs).
+
+    ``pairs``: key, p; ``weighed``: key, a, b, n, gain without the pair's own failure weight; ``triples``: blocks of
+    counted ones, dealt by their second pairs. They meet the second pairs' probabilities, then their first pairs.
+    """
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key, p = (batch.column(name).to_numpy() for name in ("key", "p"))
+                yield _arc_blocks(_LOWER, key, shards, key, None, None, p)
+
+    def lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (key, _, _, p), (a, b, n, _) = _arcs_in(batches, _LOWER, _TRIPLE)
+        if len(a):
+            order = np.argsort(key)
+            at = Index(key[order]).place(b)
+            own = at >= 0
+            yield _arc_blocks(_TRIPLE, a[own], shards, a[own], b[own], n[own], p[order][at[own]])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key, a, b, n, gain = (batch.column(name).to_numpy() for name in ("key", "a", "b", "n", "gain"))
+                yield _arc_blocks(_PAIR, key, shards, np.stack([a, b], 1), key, n, gain)
+
+    def gained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (ends, key, count, gain), (a, b, n, lower) = _arcs_in(batches, _PAIR, _TRIPLE)
+        order = np.argsort(key)
+        ends, key, count, gain = ends.reshape(-1, 2)[order], key[order], count[order], gain[order]
+        at = Index(key).place(a)
+        own = at >= 0
+        at, a, b, n, lower = at[own], a[own], b[own], n[own], lower[own]
+        p = (n - DISCOUNT) / count[at]
+        kept, below = (np.bincount(at, weights=x, minlength=len(key)) for x in (p, lower))
+        back = np.log10(np.maximum(1 - kept, 1e-12) / np.maximum(1 - below, 1e-12))
+        arcs = kept > 0
+        few = n < often
+        of_triples = _joint(a, b), np.where(few, 0, a), np.where(few, 0, b), n, np.log10(p) - np.log10(lower) - back[at], np.zeros(len(a))
+        weight = np.where(count < often, 0.0, np.where(arcs, back, np.nan))
+        of_pairs = key, ends[:, 0], ends[:, 1], count, gain + np.where(arcs, back, 0.0), weight
+        for kind, columns in ((_PAIR, of_pairs), (_TRIPLE, of_triples)):
+            if len(columns[0]):
+                kinds = np.full(len(columns[0]), kind, np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kinds, *columns)], names=["kind", "key", "a", "b", "n", "gain", "back"])
+
+    met = triples.union(pairs.select("key", "p").mapInArrow(tidy(second), _ARCS))
+    met = met.repartitionById(shards, "shard").mapInArrow(tidy(lowered), _ARCS)
+    met = met.union(weighed.mapInArrow(tidy(first), _ARCS))
+    return met.repartitionById(shards, "shard").mapInArrow(tidy(gained), "kind int, key long, a long, b long, n long, gain double, back double")
 
 
 def _failures(arcs: DataFrame, context: str) -> DataFrame:
@@ -480,11 +569,13 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     context = counts.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
     context = context.union(spark.range(1).select(F.lit(_BEGIN).alias("a"), F.lit(texts).cast("long").alias("n_a")))
     second = counts.select(F.col("key").alias("b"), ((F.col("n") + 0.5) / F.lit(model.whole)).alias("lower"))
-    seen = spread_bitmap_of(context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)).withColumnRenamed("a", "key"), SEEN)
+    seen = context.where((F.col("n_a") >= least) | (F.col("a") == _BEGIN)).withColumnRenamed("a", "key")
+    seen = spark.sparkContext.broadcast(spread_bitmap_of(seen, SEEN))
     shards = 1 + tokens // SHARE
-    # The second word or pair is read again only for what becomes an arc.
+    # The words are read again only for what becomes an arc.
     slim = ["key", "a", F.when(frequent, F.col("b")).alias("b"), "n", ((F.col("n") - DISCOUNT) / F.col("n_a")).alias("p"), "lower"]
-    counted = stored(_with_frequent(_counted_grams(training, 2, least, seen, shards), model), "pair-counts")
+    counted = stored(_counted_pairs(training, least, seen, shards, model), "pair-counts")
+    seen.destroy()
     both = F.col("n_a").isNotNull() & F.col("n_b").isNotNull()
     lower = (F.col("n_b") + 0.5) / F.lit(model.whole)
     rest = counted.where(~both).drop("n_a", "n_b").join(context, "a").join(second, "b")
@@ -492,21 +583,21 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     discard(counted)
     of_words = stored(_failures(pairs, "a").join(context.withColumnRenamed("a", "of"), "of"), "word-failures")
 
-    before = pairs.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
-    after = pairs.select(F.col("key").alias("b"), F.col("p").alias("lower"))
-    seen = spread_bitmap_of(pairs, SEEN)
-    counted = stored(_counted_grams(training, 3, least, seen, shards), "triple-counts")
-    triples = stored(counted.join(before, "a").join(after, "b").select(slim), "triples")
-    discard(counted)
-    of_pairs = stored(_failures(triples, "a"), "pair-failures")
+    seen = spark.sparkContext.broadcast(spread_bitmap_of(pairs, SEEN))
+    wide = 1 + shards // 4
+
+    def by_second(key: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return _arc_blocks(_TRIPLE, b, wide, a, b, n, None)
 
+    triples = stored(_counted_grams(training, 3, least, seen, shards, by_second, _ARCS), "triple-counts")
+    seen.destroy()
     added = F.log10("p") - F.log10("lower") - F.col("back")
-    rare_pairs = pairs.where(~frequent).join(of_words.select(F.col("of").alias("a"), "back"), "a").select("key", "n", added.alias("gain"))
-    rare_pairs = rare_pairs.join(of_pairs.withColumnRenamed("of", "key"), "key", "left")
-    rare_triples = triples.where(~frequent).join(of_pairs.withColumnRenamed("of", "a"), "a")
+    ends = [F.when(frequent, F.col(name)).otherwise(F.lit(0)).alias(name) for name in ("a", "b")]
+    weighed = pairs.join(of_words.select(F.col("of").alias("a"), "back"), "a").select("key", *ends, "n", added.alias("gain"))
+    arcs = stored(_joined_triples(pairs, weighed, triples, wide, -(-tokens // ARCS)), "arcs")
+    discard(triples, pairs)
     gains = of_words.where((F.col("n_a") * ARCS < tokens) & (F.col("of") != _BEGIN)).select(F.col("of").alias("key"), F.col("n_a").alias("n"), F.col("back").alias("gain"))
-    gains = stored(gains.union(rare_pairs.select("key", "n", F.col("gain") + F.coalesce("back", F.lit(0.0)))), "gains")
-    gains = gains.union(stored(rare_triples.select("key", "n", added), "triple-gains"))
+    gains = gains.union(arcs.where(~frequent).select("key", "n", "gain"))
 
     def arrays(df: DataFrame) -> list[np.ndarray]:
         with dropping_shuffles(spark):
@@ -516,18 +607,17 @@ def learn_whole(training: DataFrame, least: int) -> tuple[Model, DataFrame, Data
     of, back = arrays(of_words.where((F.col("n_a") * ARCS >= tokens) | (F.col("of") == _BEGIN)).select("of", "back"))
     model.gram_back = np.full(size + 1, np.nan)
     model.gram_back[np.where(of == _BEGIN, size, _place(grams, of))] = back
-    key, a, b, n, back = arrays(pairs.where(frequent).join(of_pairs.withColumnRenamed("of", "key"), "key", "left").select("key", "a", "b", "n", "back"))
+    key, a, b, n, back = arrays(arcs.where(frequent & (F.col("kind") == _PAIR)).select("key", "a", "b", "n", "back"))
     numbers = np.where(a == _BEGIN, size, _place(grams, a)) * (size + 1) + _place(grams, b)
     order = np.argsort(numbers)
     model.pairs, model.pair_counts, model.pair_back = numbers[order], n[order], back[order].astype(np.float64)
     by_key = np.argsort(key[order])
-    key3, a, b, n = arrays(triples.where(frequent).select("key", "a", "b", "n"))
+    key3, a, b, n = arrays(arcs.where(frequent & (F.col("kind") == _TRIPLE)).select("key", "a", "b", "n"))
     place = [by_key[_place(key[order][by_key], x)] if len(x) else np.zeros(0, np.int64) for x in (a, b)]
     numbers = place[0] * size + model.pairs[place[1]] % (size + 1)
     order = np.argsort(numbers)
     model.triples, model.triple_counts = numbers[order], n[order]
     own = np.unique(np.concatenate([grams, key, key3, [_BEGIN, _END]]))
-    discard(pairs, triples, of_words, of_pairs)
     # At most GAINS of words, of pairs and of triples are as frequent as that.
     near = F.col("n") * GAINS >= tokens
     key, gain = arrays(gains.where(near).select("key", "gain"))
@@ -586,8 +676,17 @@ def _met(blocks: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks, strict=True), types.values(), strict=True)], names=list(types))
 
 
+def _home(block: int, homes: int) -> int:
+    """Where a block of texts meets its sums."""
+    return int(mixed(np.array([block], np.uint64))[0] % np.uint64(homes))
+
+
 def _requests(docs: DataFrame, model: Model, shards: int) -> DataFrame:
-    """Texts in blocks of rows with what frequent words and broadcast gains add, and the keys they ask for."""
+    """Texts in blocks of rows with what frequent words and broadcast gains add, and the keys they ask for.
+
+    A block's number is that of its task and place and of its words in their order: where a lost task runs again and
+    gets its rows in another order, no sum meets the wrong row.
+    """
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def flushed(block: int, texts: list[pa.RecordBatch], grams: list, words: list) -> pa.RecordBatch:
@@ -595,11 +694,10 @@ def _requests(docs: DataFrame, model: Model, shards: int) -> DataFrame:
         table = pa.Table.from_batches(texts)
         with pa.ipc.new_stream(sink, table.schema) as out:
             out.write_table(table)
-        home = int(mixed(np.array([block], np.uint64))[0] % np.uint64(shards))
-        blocks = [(home, _TEXTS, block, None, sink.getvalue().to_pybytes())]
+        blocks = [(_home(block, shards), _TEXTS, block, None, sink.getvalue().to_pybytes())]
         for kind, held in ((_ASKED, grams), (_WORDS_ASKED, words)):
             keys, rows = map(np.concatenate, zip(*held, strict=True))
-            order = np.argsort(rows, kind="stable") if kind == _ASKED else slice(None)
+            order = np.argsort(rows.astype(np.uint16) if rows.max(initial=0) < 1 << 16 else rows, kind="stable") if kind == _ASKED else slice(None)
             blocks += _dealt(keys[order], rows[order], shards, kind, block, lambda r: _narrow(np.diff(r, prepend=0)))
             held.clear()
         texts.clear()
@@ -607,11 +705,17 @@ def _requests(docs: DataFrame, model: Model, shards: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _once(name, lambda: Automaton(shared.value))
-        block, rows = TaskContext.get().partitionId() << 24, 0
+        number, mark, rows = TaskContext.get().partitionId() << 24, np.uint64(0), 0
         texts, grams, words = [], [], []
+
+        def block() -> int:
+            return int(mixed(mark[None] + np.uint64(number))[0] >> np.uint64(1))
+
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, first = _with_ends(part.column("text"))
+                with np.errstate(over="ignore"):
+                    mark = mixed(mark[None] + mixed(hashes.view(np.uint64) + np.arange(len(hashes), dtype=np.uint64)).sum())[0]
                 at = automaton.words.place(hashes)
                 known = at >= 0
                 rare = np.flatnonzero(~known)
@@ -628,10 +732,10 @@ def _requests(docs: DataFrame, model: Model, shards: int) -> DataFrame:
                 texts.append(pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_frequent", "base", "score"]))
                 rows += part.num_rows
                 if rows >= COMBINED or sum(len(x[0]) for x in (*grams, *words)) >= COMBINED:
-                    yield flushed(block, texts, grams, words)
-                    block, rows = block + 1, 0
+                    yield flushed(block(), texts, grams, words)
+                    number, rows = number + 1, 0
         if texts:
-            yield flushed(block, texts, grams, words)
+            yield flushed(block(), texts, grams, words)
 
     return docs.mapInArrow(tidy(scan), _MET)
 
@@ -659,7 +763,7 @@ def _table(gains: DataFrame, shards: int, kind: int) -> DataFrame:
 
 def _scored(docs: DataFrame, model: Model, tables: dict[int, DataFrame]) -> DataFrame:
     """The rows of ``score_texts``. Keys meet the gains of ``tables`` by shards, sums meet the texts' blocks."""
-    shards = 1 + model.tokens // SHARE
+    shards, homes = 1 + model.tokens // (4 * SHARE), 1 + model.tokens // SHARE
     # A rare word that was never seen costs 0.5 / whole; the others gain what they cost less.
     unseen, tokens = float(np.log10(0.5 / model.whole)), model.tokens
     of = T.StructType([docs.schema["doc_id"], docs.schema["held_out"]])
@@ -670,9 +774,9 @@ def _scored(docs: DataFrame, model: Model, tables: dict[int, DataFrame]) -> Data
         asked: list[tuple[int, int, bytes, bytes]] = []
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {_GAINS: [], _WORD_GAINS: []}
         for batch in batches:
-            for shard, kind, block, keys, more in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            for _, kind, block, keys, more in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 if kind == _TEXTS:
-                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([kind], pa.int32()), pa.array([block]), *(pa.array([x], pa.binary()) for x in (None, None, more))], names=names)
+                    yield answered([(_home(block, homes), kind, block, None, None, more)])
                 elif kind in held:
                     held[kind].append((np.frombuffer(keys, np.int64), np.frombuffer(more, np.float64)))
                 else:
@@ -692,39 +796,43 @@ def _scored(docs: DataFrame, model: Model, tables: dict[int, DataFrame]) -> Data
                 rows = np.cumsum(_wide(rows))[met]
                 starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
                 sums, n = np.add.reduceat(values[at[met]], starts), np.diff(np.append(starts, len(rows)))
-                home = int(mixed(np.array([block], np.uint64))[0] % np.uint64(shards))
-                found.append((home, kind, block, _narrow(np.diff(rows[starts], prepend=0)), _narrow(n), sums.tobytes()))
+                found.append((_home(block, homes), kind, block, _narrow(np.diff(rows[starts], prepend=0)), _narrow(n), sums.tobytes()))
         if found:
-            types = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 3)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)], names=names)
+            yield answered(found)
 
-    names = ["home", "kind", "block", "rows", "n", "more"]
+    def answered(blocks: list[tuple]) -> pa.RecordBatch:
+        types = {"home": pa.int32(), "kind": pa.int32(), "block": pa.int64(), "rows": pa.binary(), "n": pa.binary(), "more": pa.binary()}
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks, strict=True), types.values(), strict=True)], names=list(types))
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts: dict[int, pa.Table] = {}
+        texts: dict[int, bytes] = {}
         sums: dict[int, list[tuple]] = {}
         for batch in batches:
             for _, kind, block, rows, n, more in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 if kind == _TEXTS:
-                    texts[block] = pa.ipc.open_stream(more).read_all().combine_chunks()
+                    texts[block] = more
                 else:
-                    sums.setdefault(block, []).append((kind, np.cumsum(_wide(rows)), _wide(n), np.frombuffer(more, np.float64)))
-        for block, own in texts.items():
+                    sums.setdefault(block, []).append((kind, rows, n, more))
+        for block, raw in texts.items():
+            own = pa.ipc.open_stream(raw).read_all().combine_chunks()
             n_tokens, known, base, score = (own.column(name).to_numpy() for name in ("n_tokens", "n_frequent", "base", "score"))
             more = (n_tokens - known) * unseen
             known, gained = known.copy(), np.zeros(len(score))
             for kind, rows, n, values in sums.pop(block, []):
+                rows, values = np.cumsum(_wide(rows)), np.frombuffer(values, np.float64)
                 if kind == _ASKED:
                     gained[rows] += values
                 else:
                     more[rows] += values
-                    known[rows] += n
+                    known[rows] += _wide(n)
             columns = [pa.array(x) for x in (n_tokens, known, np.full(len(score), tokens), base + more, score + more + gained)]
             yield from pa.table([own.column("doc_id"), own.column("held_out"), *columns], names=of.names).to_batches()
+        if sums:
+            raise RuntimeError("a lost task got its texts in another order; store them before they are scored")
 
     met = reduce(DataFrame.union, [_requests(docs, model, shards), *(_table(gains, shards, kind) for kind, gains in tables.items())])
-    answered = met.repartitionById(shards, "shard").mapInArrow(tidy(answers), "home int, kind int, block long, rows binary, n binary, more binary")
-    return answered.repartitionById(shards, "home").mapInArrow(tidy(added), of)
+    sums = met.repartitionById(shards, "shard").mapInArrow(tidy(answers), "home int, kind int, block long, rows binary, n binary, more binary")
+    return sums.repartitionById(homes, "home").mapInArrow(tidy(added), of)
 
 
 def score_texts(docs: DataFrame, held_out: Column, *, least: int | None = None) -> DataFrame:
